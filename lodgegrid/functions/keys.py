@@ -13,8 +13,9 @@ def surrogate_key(*columns: str) -> Column:
     about a billion natural keys; 128 do not. Each part carries its length, and NULL
     differs from every text, so no two natural keys share an input.
     """
-    parts = [
-        F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
-        for text in (F.col(c).cast("string") for c in columns)
-    ]
-    return F.unhex(F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 32))
+    texts = [f"CAST(`{c}` AS STRING)" for c in columns]
+    parts = ", ".join(f"coalesce(concat(length({t}), ':', {t}), '-')" for t in texts)
+    digest = f"unhex(substring(sha2(concat_ws('|', {parts}), 256), 1, 32))"
+    # never NULL, and declared so: joins on the key then need no not-null filter, which
+    # would compute the digest once more
+    return F.expr(f"coalesce({digest}, X'')")

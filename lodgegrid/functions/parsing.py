@@ -1,49 +1,57 @@
-"""Text to typed values: missing tokens, whole numbers, currency."""
+"""Text to typed values: missing tokens, whole numbers, currency.
+
+The helpers take a column name and return SQL text where a whole table's columns are
+built with them: one ``selectExpr`` then carries them all.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..schemas import MISSING_TOKENS, PRICE_TYPE
+from ..schemas import MISSING_TOKENS
+
+_TOKENS = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
 
 # What a currency text may look like: one sign or a pair of brackets, an optional
 # dollar sign, digits with thousands commas, an optional fraction.
-_MONEY_SHAPE = r"^\s*(-?\s*\$?\s*-?|\(\s*\$?)\s*[0-9][0-9,]*(\.[0-9]*)?\s*\)?\s*$"
+_MONEY_SHAPE = r"^\s*(-?\s*[$]?\s*-?|\(\s*[$]?)\s*[0-9][0-9,]*([.][0-9]*)?\s*\)?\s*$"
 
 
-def missing_to(column: str, missing_text: str | None = None) -> Column:
-    """NULL (or ``missing_text``) where the delivered text is a missing token."""
-    value = F.col(column)
-    absent = value.isNull() | value.isin(MISSING_TOKENS)
-    return F.when(absent, F.lit(missing_text)).otherwise(value).alias(column)
+def missing_to_null(column: str) -> str:
+    """NULL where the delivered text is a missing token."""
+    return f"CASE WHEN `{column}` NOT IN ({_TOKENS}) THEN `{column}` END"
 
 
-def number(text: Column) -> Column:
+def number(column: str, to: str = "decimal(30,8)") -> str:
     """Numeric text to an exact decimal; NULL where it is no number."""
-    return text.try_cast("decimal(30,8)")
+    return f"try_cast(`{column}` AS {to})"
 
 
-def whole_number(text: Column, to: str = "int") -> Column:
+def whole_number(column: str, to: str = "int") -> str:
     """Numeric text such as ``'95'`` or ``'95.0'`` to an integer type.
 
     A value with a fraction, or out of range, is NULL and shows up in
     :func:`lodgegrid.operators.audit.cast_rejects`.
     """
-    value = number(text)
-    return F.when(value == F.floor(value), value.try_cast(to))
+    exact = number(column)
+    return (
+        f"coalesce({number(column, to)}, "
+        f"CASE WHEN {exact} = floor({exact}) THEN try_cast({exact} AS {to}) END)"
+    )
 
 
-def money(text: Column) -> Column:
+def money(column: str) -> str:
     """Currency text such as ``'$1,234.50'``, ``'-$5'`` or ``'($5.00)'`` to a decimal."""
-    amount = F.regexp_replace(text, r"[^0-9.]", "").try_cast(PRICE_TYPE)
-    negative = text.contains("-") | text.contains("(")
-    signed = F.when(negative, -amount).otherwise(amount)
-    return F.when(text.rlike(_MONEY_SHAPE), signed).cast(PRICE_TYPE)
+    amount = f"try_cast(trim(translate(`{column}`, '$,()- ', '')) AS decimal(12,2))"
+    return (
+        f"CASE WHEN NOT `{column}` RLIKE r'{_MONEY_SHAPE}' THEN NULL "
+        f"WHEN `{column}` RLIKE '[-(]' THEN -{amount} ELSE {amount} END"
+    )
 
 
-def rating(text: Column) -> Column:
+def rating(column: str) -> str:
     """Rating text to double; the text ``'NaN'`` becomes a NaN value."""
-    return text.try_cast("double")
+    return number(column, "double")
 
 
 def has_rating(value: Column) -> Column:

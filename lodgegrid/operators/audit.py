@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -25,10 +26,13 @@ def null_counts(df: DataFrame, required: list[str]) -> DataFrame:
     return counted.unpivot([], required, "column_name", "null_rows")
 
 
-def cast_rejects(raw: DataFrame, parse, columns: list[str]) -> DataFrame:
-    """Raw rows with a value that is present but does not parse, with the column names."""
+def cast_rejects(raw: DataFrame, parse: Callable[[str], str], columns: list[str]) -> DataFrame:
+    """Raw rows with a value that is present but does not parse, with the column names.
+
+    ``parse`` gives the SQL text of a column's typed value.
+    """
     bad = [
-        F.when(F.col(c).isNotNull() & (F.col(c) != "NaN") & parse(c).isNull(), F.lit(c))
+        F.expr(f"CASE WHEN `{c}` <> 'NaN' AND ({parse(c)}) IS NULL THEN '{c}' END")
         for c in columns
     ]
     listed = raw.withColumn("rejected_columns", F.array_compact(F.array(*bad)))

@@ -15,13 +15,14 @@ from ..operators import audit, metrics as m
 from ..operators.census import SHARES
 from ..operators.upsert import upsert
 from ..schemas import HOST_KEY, LISTING_COLUMNS, PROPERTY_KEY, TIME_KEY
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sinks import store
 from ..sources.census_csv import read_columns
 from ..sources.listings_csv import CSV_OPTIONS, add_host_area, conform
 from ..sources.split_csv import read_split_records
-from ..sources.tables import preview, read_table, row_counts
+from ..sources.tables import preview, row_counts
 from . import datamart, tpch_mapping as tm, warehouse as w
+from .tpch_mapping import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -147,10 +148,18 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
     """All-text listings with their host area, as the raw table holds them."""
     delivered = tm.delivered_listings(spark, folder)
     return add_host_area(
-        conform(delivered, F.col("snapshot")), tm.suburb_lookup(spark, folder)
+        conform(delivered, "snapshot"), tm.suburb_lookup(spark, folder)
     ).select(*LISTING_COLUMNS)
 
 
+def _star(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The stored raw table and the stored star schema built from it."""
+    raw = cut_lineage(_raw(spark, folder), "raw")
+    path = scratch_path(spark, "star")
+    w.build_star(raw, path, by_month=False)
+    return raw, w.read_star(spark, path)
+
+
 def lookup_left_join(spark: SparkSession, folder: str) -> DataFrame:
     return _raw(spark, folder).select(
         "id", "year_month", "host_id", "host_neighbourhood", "host_neighbourhood_cleansed"
@@ -160,7 +169,7 @@ def lookup_left_join(spark: SparkSession, folder: str) -> DataFrame:
 def month_conform(spark: SparkSession, folder: str) -> DataFrame:
     """Month stamps, absent columns and a month whose columns load as blanks."""
     blanks = {199605: ["bathrooms_text", "bedrooms", "amenities"], 199606: ["bathrooms_text"]}
-    conformed = conform(tm.delivered_listings(spark, folder), F.col("snapshot"), blanks)
+    conformed = conform(tm.delivered_listings(spark, folder), "snapshot", blanks)
     return conformed.select(
         "id", "host_name", "bathrooms_text", "bedrooms", "amenities", "month", "year_month", "year"
     )
@@ -168,16 +177,14 @@ def month_conform(spark: SparkSession, folder: str) -> DataFrame:
 
 def money_parse(spark: SparkSession, folder: str) -> DataFrame:
     """Currency text with signs and brackets, back to amounts."""
-    amount = F.format_number(F.col("l_extendedprice").cast("decimal(12,2)"), 2)
-    line = F.col("l_linenumber")
+    amount = "format_number(CAST(l_extendedprice AS decimal(12,2)), 2)"
     text = (
-        F.when(line == 1, F.concat(F.lit("("), F.lit("$"), amount, F.lit(")")))
-        .when(line == 2, F.concat(F.lit("-$"), amount))
-        .when(line == 3, F.lit("on request"))
-        .otherwise(F.concat(F.lit("$"), amount))
+        f"CASE l_linenumber WHEN 1 THEN concat('($', {amount}, ')') "
+        f"WHEN 2 THEN concat('-$', {amount}) WHEN 3 THEN 'on request' "
+        f"ELSE concat('$', {amount}) END AS price"
     )
-    rows = read_table(spark, folder, "lineitem")
-    return rows.select("l_orderkey", "l_linenumber", money(text).cast("double").alias("amount"))
+    rows = read_table(spark, folder, "lineitem").selectExpr("l_orderkey", "l_linenumber", text)
+    return rows.selectExpr("l_orderkey", "l_linenumber", f"double({money('price')}) AS amount")
 
 
 def _quoted_csv(spark: SparkSession, folder: str) -> str:
@@ -231,18 +238,18 @@ _STAR_COLUMNS = [
 
 def listing_fact(spark: SparkSession, folder: str) -> DataFrame:
     """Facts with computed keys, read back through their three dimensions."""
-    raw = _raw(spark, folder)
-    star = w.listings_from_star(
-        w.listing_fact(raw), w.dim_host(raw), w.dim_property(raw), w.dim_time(raw)
+    _, star = _star(spark, folder)
+    listings = w.listings_from_star(
+        star["listing_fact"], star["dim_host"], star["dim_property"], star["dim_time"]
     )
-    return _comparable(star.select(*_STAR_COLUMNS))
+    return _comparable(listings.select(*_STAR_COLUMNS))
 
 
 def listing_fact_by_join(spark: SparkSession, folder: str) -> DataFrame:
     """Facts by natural-key joins on the five-column host key, read back through the hosts."""
-    raw = _raw(spark, folder)
-    hosts = w.dim_host(raw)
-    fact = w.listing_fact_by_join(raw, hosts, w.dim_property(raw), w.dim_time(raw))
+    raw, star = _star(spark, folder)
+    hosts = star["dim_host"]
+    fact = w.listing_fact_by_join(raw, hosts, star["dim_property"], star["dim_time"])
     return _comparable(
         w.listings_from_star(fact, hosts).select(
             "id", "year_month", "host_id", "host_neighbourhood_cleansed", "price"
@@ -252,9 +259,9 @@ def listing_fact_by_join(spark: SparkSession, folder: str) -> DataFrame:
 
 def star_active_rate(spark: SparkSession, folder: str) -> DataFrame:
     """The active rate per area from the star schema."""
-    raw = _raw(spark, folder)
-    star = w.listings_from_star(w.listing_fact(raw), w.dim_host(raw), w.dim_property(raw))
-    return _comparable(m.active_rate(star, m.AREA))
+    _, star = _star(spark, folder)
+    listings = w.listings_from_star(star["listing_fact"], star["dim_host"], star["dim_property"])
+    return _comparable(m.active_rate(listings, m.AREA))
 
 
 def census_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -299,8 +306,8 @@ def audit_casts(spark: SparkSession, folder: str) -> DataFrame:
 
 def audit_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Violations per rule over the built warehouse."""
-    raw = _raw(spark, folder)
-    fact, hosts, properties = w.listing_fact(raw), w.dim_host(raw), w.dim_property(raw)
+    _, star = _star(spark, folder)
+    fact, hosts, properties = star["listing_fact"], star["dim_host"], star["dim_property"]
     return audit.violation_summary(
         {
             "host_key_unique": audit.duplicate_keys(hosts, ["h_id"]),

@@ -9,46 +9,55 @@ areas both occur.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from ..schemas import (
-    CENSUS_CODE,
-    CENSUS_FACT_TOPICS,
-    CENSUS_MEDIANS,
-    PRICE_TYPE,
-)
-from ..sources.tables import read_table
-
-
-def _year_month() -> Column:
-    return F.year("l_shipdate") * 100 + F.month("l_shipdate")
-
-
-def _from_lineitem() -> dict[str, Column]:
-    bucket = F.floor(F.col("l_extendedprice") / 10000)
-    rating = F.round(F.col("l_discount") * 100).cast("int") * 10
-    return {
-        "id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
-        "room_type": F.col("l_returnflag"),
-        "has_availability": F.when(F.col("l_linestatus") == "O", "t").otherwise("f"),
-        "year_month": _year_month(),
-        "availability_30": F.col("l_quantity").cast("int") % 31,
-        "price": (bucket * 50 + 50).cast(PRICE_TYPE),
-        "review_scores_rating": F.when(
-            F.col("l_discount") == 0, F.lit(float("nan"))
-        ).otherwise(rating.cast("double")),
-    }
-
-
-def _from_part() -> dict[str, Column]:
-    return {"property_type": F.col("p_type"), "accommodates": F.col("p_size") % 8 + 1}
-
-
-def _from_customer() -> dict[str, Column]:
-    return {
-        "host_name": F.col("c_name"),
-        "host_is_superhost": F.when(F.col("c_acctbal") > 5000, "t").otherwise("f"),
-    }
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..schemas import CENSUS_CODE, CENSUS_FACT_TOPICS, CENSUS_MEDIANS
+from ..sources import tables
+
+# The input tables' columns, so that no read has to infer a schema.
+TABLE_SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return tables.read_table(spark, folder, name, TABLE_SCHEMAS[name])
+
+
+# listing column -> SQL text, by the table it comes from
+_FROM_LINEITEM = {
+    "id": "l_orderkey * 8 + l_linenumber",
+    "room_type": "l_returnflag",
+    "has_availability": "CASE WHEN l_linestatus = 'O' THEN 't' ELSE 'f' END",
+    "year_month": "year(l_shipdate) * 100 + month(l_shipdate)",
+    "availability_30": "int(l_quantity) % 31",
+    "price": "CAST(floor(l_extendedprice / 10000) * 50 + 50 AS decimal(12,2))",
+    "review_scores_rating": "CASE WHEN l_discount = 0 THEN double('NaN') "
+    "ELSE double(int(round(l_discount * 100)) * 10) END",
+}
+_FROM_PART = {"property_type": "p_type", "accommodates": "p_size % 8 + 1"}
+_FROM_ORDERS = {"host_id": "string(o_custkey)"}
+_FROM_CUSTOMER = {
+    "host_name": "c_name",
+    "host_is_superhost": "CASE WHEN c_acctbal > 5000 THEN 't' ELSE 'f' END",
+}
+_FROM_NATION = {"neighbourhood_cleansed": "n_name"}
+_SOURCES = _FROM_LINEITEM | _FROM_PART | _FROM_ORDERS | _FROM_CUSTOMER | _FROM_NATION
+
+
+def _named(expressions: dict[str, str]) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in expressions.items()]
 
 
 def listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
@@ -57,42 +66,35 @@ def listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     Every line item has one order, customer, nation and part, so leaving a join out
     changes no row. Customers meet orders before line items do: a customer with very
     many orders is then split on the smaller table, and the large join is on the order.
+    Both sides of that join grow with the data, so it is always a sort-merge join.
     """
     wanted = set(columns)
-    own, part, customer = _from_lineitem(), _from_part(), _from_customer()
     rows = read_table(spark, folder, "lineitem")
-    if wanted & part.keys():
-        rows = rows.join(read_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-    if wanted & {"host_id", "neighbourhood_cleansed", *customer}:
+    if wanted & _FROM_PART.keys():
+        rows = rows.join(read_table(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
+    people_wanted = wanted & (_FROM_CUSTOMER | _FROM_NATION).keys()
+    if people_wanted or wanted & _FROM_ORDERS.keys():
         hosts = read_table(spark, folder, "orders")
-        if wanted & {"neighbourhood_cleansed", *customer}:
+        if people_wanted:
             people = read_table(spark, folder, "customer")
-            if "neighbourhood_cleansed" in wanted:
+            if wanted & _FROM_NATION.keys():
                 nations = read_table(spark, folder, "nation")
-                people = people.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
-            hosts = hosts.join(people, F.col("o_custkey") == F.col("c_custkey"))
-        rows = rows.join(hosts, F.col("l_orderkey") == F.col("o_orderkey"))
-    sources = own | part | customer | {
-        "host_id": F.col("o_custkey").cast("string"),
-        "neighbourhood_cleansed": F.col("n_name"),
-    }
-    return rows.select(*[sources[c].alias(c) for c in columns])
+                people = people.join(nations, F.expr("c_nationkey = n_nationkey"))
+            hosts = hosts.join(people, F.expr("o_custkey = c_custkey"))
+        rows = rows.join(hosts.hint("merge"), F.expr("l_orderkey = o_orderkey"))
+    return rows.selectExpr(*_named({c: _SOURCES[c] for c in columns}))
 
 
 def host_listings(spark: SparkSession, folder: str) -> DataFrame:
     """Listings by order (host) and supplier nation (neighbourhood)."""
     nations = read_table(spark, folder, "nation")
     suppliers = read_table(spark, folder, "supplier").join(
-        nations, F.col("s_nationkey") == F.col("n_nationkey")
-    )
-    rows = read_table(spark, folder, "lineitem").join(
-        suppliers, F.col("l_suppkey") == F.col("s_suppkey")
+        nations, F.expr("s_nationkey = n_nationkey")
     )
-    own = _from_lineitem()
-    return rows.select(
-        F.col("l_orderkey").cast("string").alias("host_id"),
-        F.col("n_name").alias("neighbourhood_cleansed"),
-        *[own[c].alias(c) for c in ("id", "availability_30", "price")],
+    rows = read_table(spark, folder, "lineitem").join(suppliers, F.expr("l_suppkey = s_suppkey"))
+    own = {c: _FROM_LINEITEM[c] for c in ("id", "availability_30", "price")}
+    return rows.selectExpr(
+        "string(l_orderkey) AS host_id", "n_name AS neighbourhood_cleansed", *_named(own)
     )
 
 
@@ -100,11 +102,10 @@ def lga(spark: SparkSession, folder: str) -> DataFrame:
     """Area list: nations under their region; some nations are an area of their own."""
     nations = read_table(spark, folder, "nation")
     regions = read_table(spark, folder, "region")
-    own_area = F.col("n_nationkey") % 5 == 2
-    return nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
-        F.col("n_name").alias("neighbourhood_cleansed"),
-        F.when(own_area, F.col("n_name")).otherwise(F.col("r_name")).alias("lga_name"),
-        (F.col("n_nationkey") + 20000).cast("string").alias("code_2016"),
+    return nations.join(regions, F.expr("n_regionkey = r_regionkey")).selectExpr(
+        "n_name AS neighbourhood_cleansed",
+        "CASE WHEN n_nationkey % 5 = 2 THEN n_name ELSE r_name END AS lga_name",
+        "string(n_nationkey + 20000) AS code_2016",
     )
 
 
@@ -113,42 +114,44 @@ def census_counts_raw(spark: SparkSession, folder: str) -> DataFrame:
 
     The customer key picks the topic, the balance the sex.
     """
-    people = read_table(spark, folder, "customer")
-    male = F.col("c_acctbal") < 5000
-    counts = []
-    for position, topic in enumerate(CENSUS_FACT_TOPICS):
-        mine = F.col("c_custkey") % len(CENSUS_FACT_TOPICS) == position
-        counts += [
-            F.count_if(mine & male).cast("string").alias(f"{topic}_M"),
-            F.count_if(mine & ~male).cast("string").alias(f"{topic}_F"),
-            F.count_if(mine).cast("string").alias(f"{topic}_P"),
-        ]
-    code = (F.col("c_nationkey") + 20000).cast("string").alias(CENSUS_CODE)
-    return people.groupBy(code).agg(*counts)
+    people = read_table(spark, folder, "customer").selectExpr(
+        f"string(c_nationkey + 20000) AS {CENSUS_CODE}",
+        f"c_custkey % {len(CENSUS_FACT_TOPICS)} AS topic",
+        "c_acctbal < 5000 AS male",
+    )
+    tests = {"M": " AND male", "F": " AND NOT male", "P": ""}
+    counts = [
+        F.expr(f"string(count_if(topic = {position}{test})) AS {topic}_{sex}")
+        for position, topic in enumerate(CENSUS_FACT_TOPICS)
+        for sex, test in tests.items()
+    ]
+    return people.groupBy(CENSUS_CODE).agg(*counts)
 
 
 def census_medians_raw(spark: SparkSession, folder: str) -> DataFrame:
     """Census medians as text, in tenths, from the customers per nation."""
-    people = read_table(spark, folder, "customer")
-    code = (F.col("c_nationkey") + 20000).cast("string").alias(CENSUS_CODE)
-    counted = people.groupBy(code).agg(F.count(F.lit(1)).alias("n"))
-    medians = [
-        F.concat((100 + (F.col("n") * (position + 7)) % 400).cast("string"), F.lit(".5")).alias(c)
-        for position, c in enumerate(CENSUS_MEDIANS)
-    ]
-    return counted.select(CENSUS_CODE, *medians)
+    people = read_table(spark, folder, "customer").selectExpr(
+        f"string(c_nationkey + 20000) AS {CENSUS_CODE}"
+    )
+    counted = people.groupBy(CENSUS_CODE).agg(F.count(F.lit(1)).alias("n"))
+    return counted.selectExpr(
+        CENSUS_CODE,
+        *[
+            f"concat(string(100 + n * {position + 7} % 400), '.5') AS {name}"
+            for position, name in enumerate(CENSUS_MEDIANS)
+        ],
+    )
 
 
 def suburb_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Market segments as suburbs: one absent, one in two areas, and a missing suburb."""
     segments = read_table(spark, folder, "customer").select("c_mktsegment").distinct()
-    areas = F.when(
-        F.col("c_mktsegment") == "MACHINERY", F.array(F.lit("LGA_NORTH"), F.lit("LGA_SOUTH"))
-    ).otherwise(F.array(F.concat(F.lit("LGA_"), F.col("c_mktsegment"))))
-    known = segments.filter(F.col("c_mktsegment") != "FURNITURE").select(
-        F.col("c_mktsegment").alias("host_neighbourhood"), F.explode(areas).alias("LGA")
+    areas = (
+        "CASE c_mktsegment WHEN 'MACHINERY' THEN array('LGA_NORTH', 'LGA_SOUTH') "
+        "WHEN 'FURNITURE' THEN array() ELSE array(concat('LGA_', c_mktsegment)) END"
     )
-    missing = segments.limit(1).select(F.lit("N/A").alias("host_neighbourhood"), F.lit("LGA_UNKNOWN").alias("LGA"))
+    known = segments.selectExpr("c_mktsegment AS host_neighbourhood", f"explode({areas}) AS LGA")
+    missing = known.limit(1).selectExpr("'N/A' AS host_neighbourhood", "'LGA_UNKNOWN' AS LGA")
     return known.unionByName(missing)
 
 
@@ -159,38 +162,36 @@ def delivered_listings(spark: SparkSession, folder: str) -> DataFrame:
     currency text.
     """
     people = read_table(spark, folder, "customer").join(
-        read_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+        read_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
     )
-    hosts = read_table(spark, folder, "orders").join(people, F.col("o_custkey") == F.col("c_custkey"))
+    hosts = read_table(spark, folder, "orders").join(people, F.expr("o_custkey = c_custkey"))
     rows = (
         read_table(spark, folder, "lineitem")
-        .join(read_table(spark, folder, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(hosts, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(read_table(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
+        .join(hosts.hint("merge"), F.expr("l_orderkey = o_orderkey"))
     )
-    own = _from_lineitem()
-    customer = _from_customer()
-    dollars = F.format_number(F.col("l_extendedprice").cast(PRICE_TYPE), 2)
-    rating = F.round(F.col("l_discount") * 100).cast("int") * 10
-    return rows.select(
-        own["year_month"].alias("snapshot"),
-        own["id"].cast("string").alias("id"),
-        F.col("o_custkey").cast("string").alias("host_id"),
-        F.when(F.col("c_custkey") % 50 == 7, "null").otherwise(F.col("c_name")).alias("host_name"),
-        customer["host_is_superhost"].alias("host_is_superhost"),
-        F.when(F.col("c_custkey") % 10 == 3, "")
-        .otherwise(F.col("c_mktsegment"))
-        .alias("host_neighbourhood"),
-        F.col("n_name").alias("neighbourhood_cleansed"),
-        F.col("p_type").alias("property_type"),
-        own["room_type"].alias("room_type"),
-        own["has_availability"].alias("has_availability"),
-        (F.col("p_size") % 8 + 1).cast("string").alias("accommodates"),
-        own["availability_30"].cast("string").alias("availability_30"),
-        F.concat(F.col("l_linenumber").cast("string"), F.lit(".0")).alias("number_of_reviews"),
-        F.when(F.col("l_discount") == 0, "NaN")
-        .otherwise(rating.cast("string"))
-        .alias("review_scores_rating"),
-        F.concat(F.lit("$"), dollars).alias("price"),
-        F.col("p_size").cast("string").alias("bedrooms"),
-        F.col("p_name").alias("amenities"),
+    own = _SOURCES
+    return rows.selectExpr(
+        *_named(
+            {
+                "snapshot": own["year_month"],
+                "id": f"string({own['id']})",
+                "host_id": own["host_id"],
+                "host_name": "CASE WHEN c_custkey % 50 = 7 THEN 'null' ELSE c_name END",
+                "host_is_superhost": own["host_is_superhost"],
+                "host_neighbourhood": "CASE WHEN c_custkey % 10 = 3 THEN '' ELSE c_mktsegment END",
+                "neighbourhood_cleansed": own["neighbourhood_cleansed"],
+                "property_type": own["property_type"],
+                "room_type": own["room_type"],
+                "has_availability": own["has_availability"],
+                "accommodates": f"string({own['accommodates']})",
+                "availability_30": f"string({own['availability_30']})",
+                "number_of_reviews": "concat(l_linenumber, '.0')",
+                "review_scores_rating": "CASE WHEN l_discount = 0 THEN 'NaN' "
+                "ELSE string(int(round(l_discount * 100)) * 10) END",
+                "price": "concat('$', format_number(CAST(l_extendedprice AS decimal(12,2)), 2))",
+                "bedrooms": "string(p_size)",
+                "amenities": "p_name",
+            }
+        )
     )

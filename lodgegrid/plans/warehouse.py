@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.joins import null_safe_join
 from ..functions.keys import surrogate_key
@@ -35,8 +35,9 @@ MEASURES = ["accommodates", "availability_30", "number_of_reviews", "review_scor
 PARSED_COLUMNS = list(_PARSERS)
 
 
-def parse(column: str):
-    return _PARSERS[column](F.col(column)) if column in _PARSERS else F.col(column)
+def parse(column: str) -> str:
+    """SQL text of a raw column's typed value."""
+    return _PARSERS[column](column) if column in _PARSERS else f"`{column}`"
 
 
 def typed_listings(raw: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def typed_listings(raw: DataFrame) -> DataFrame:
     are distinct parts of the raw rows; this form needs no join, and the scan reads
     only the columns a metric uses.
     """
-    return raw.select(*[parse(f.name).alias(f.name) for f in LISTING_SCHEMA])
+    return raw.selectExpr(*[f"{parse(f.name)} AS {f.name}" for f in LISTING_SCHEMA])
 
 
 def dim_host(raw: DataFrame) -> DataFrame:
@@ -64,7 +65,7 @@ def dim_property(raw: DataFrame) -> DataFrame:
 def dim_time(raw: DataFrame) -> DataFrame:
     """Keyed by the typed values, so ``'2020'`` and ``'2020.0'`` are one month."""
     return (
-        raw.select(*[parse(c).alias(c) for c in TIME_KEY])
+        raw.selectExpr(*[f"{parse(c)} AS {c}" for c in TIME_KEY])
         .distinct()
         .select(surrogate_key(*TIME_KEY).alias("t_id"), "*")
     )
@@ -130,18 +131,36 @@ def listings_from_star(
     return joined
 
 
+STAR = {"dim_host": dim_host, "dim_property": dim_property, "dim_time": dim_time, "listing_fact": listing_fact}
+
+
+def build_star(raw: DataFrame, folder: str, by_month: bool = True) -> None:
+    """Write the dimensions and the fact.
+
+    ``by_month`` puts the fact in one folder per month. Tasks write a file per month
+    they hold rows of, so it suits a raw table that is stored by month itself.
+    """
+    for name, build in STAR.items():
+        by = ["year_month"] if by_month and name == "listing_fact" else []
+        build(raw).write.mode("overwrite").partitionBy(*by).parquet(f"{folder}/{name}")
+
+
+def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The stored tables; their measured sizes let Spark broadcast what is small."""
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in STAR}
+
+
 def dim_lga(lga_raw: DataFrame) -> DataFrame:
     return lga_raw.select(*[F.col(c).alias(c.lower()) for c in lga_raw.columns])
 
 
 def census_fact(counts_raw: DataFrame, medians_raw: DataFrame, lga: DataFrame) -> DataFrame:
     """Counts, medians and area name per census code, typed."""
-    counts = counts_raw.select(
-        CENSUS_CODE,
-        *[whole_number(F.col(c), "bigint").alias(c) for c in CENSUS_FACT_COUNTS],
+    counts = counts_raw.selectExpr(
+        CENSUS_CODE, *[f"{whole_number(c, 'bigint')} AS {c}" for c in CENSUS_FACT_COUNTS]
     )
-    medians = medians_raw.select(
-        CENSUS_CODE, *[number(F.col(c)).try_cast("decimal(12,4)").alias(c) for c in CENSUS_MEDIANS]
+    medians = medians_raw.selectExpr(
+        CENSUS_CODE, *[f"{number(c, 'decimal(12,4)')} AS {c}" for c in CENSUS_MEDIANS]
     )
     names = lga.select(F.col("code_2016").alias(CENSUS_CODE), "lga_name")
     joined = counts.join(medians, CENSUS_CODE).join(names, CENSUS_CODE)

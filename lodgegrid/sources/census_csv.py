@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.parsing import missing_to
+from ..functions.parsing import missing_to_null
 from ..schemas import CENSUS_COUNT_COLUMNS, CENSUS_MEDIAN_COLUMNS, LGA_COLUMNS
 from .listings_csv import CSV_OPTIONS
 
@@ -14,7 +14,8 @@ def read_columns(
 ) -> DataFrame:
     """The named columns of a CSV, wherever its header puts them."""
     delivered = spark.read.options(**CSV_OPTIONS).csv(path)
-    return delivered.select(*[missing_to(c, missing_text) for c in columns])
+    named = delivered.selectExpr(*[f"{missing_to_null(c)} AS `{c}`" for c in columns])
+    return named if missing_text is None else named.fillna(missing_text)
 
 
 def read_census_counts(spark: SparkSession, path: str, missing_text: str | None = None) -> DataFrame:

@@ -6,10 +6,10 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.joins import null_safe_join
-from ..functions.parsing import missing_to
+from ..functions.parsing import missing_to_null
 from ..schemas import BLANK_COLUMNS_BY_MONTH, LISTING_COLUMNS, MONTH_NAMES, text_schema
 from ..sinks.store import replace_partitions
 from .split_csv import read_split_records
@@ -36,37 +36,40 @@ def month_of_file(path: str) -> int:
     return int(found[2]) * 100 + int(found[1])
 
 
-def month_columns(year_month: Column) -> dict[str, Column]:
-    """The three text columns that stamp a row with its month."""
-    names = F.array(*[F.lit(m) for m in MONTH_NAMES])
+def month_columns(year_month: str) -> dict[str, str]:
+    """SQL text of the three text columns that stamp a row with its month."""
+    names = ", ".join(f"'{m}'" for m in MONTH_NAMES)
     return {
-        "month": F.element_at(names, (year_month % 100).cast("int")),
-        "year_month": year_month.cast("string"),
-        "year": F.floor(year_month / 100).cast("string"),
+        "month": f"element_at(array({names}), int({year_month} % 100))",
+        "year_month": f"string({year_month})",
+        "year": f"string({year_month} div 100)",
     }
 
 
-def year_month_of_name(name: Column) -> Column:
-    year = F.regexp_extract(name, _FILE_NAME, 2).cast("int")
-    return year * 100 + F.regexp_extract(name, _FILE_NAME, 1).cast("int")
+def year_month_of_name(column: str) -> str:
+    """SQL text of the month in a file name column."""
+    return f"int(concat({', '.join(f"regexp_extract({column}, r'{_FILE_NAME}', {g})" for g in (2, 1))}))"
 
 
 def conform(
     delivered: DataFrame,
-    year_month: Column,
+    year_month: str,
     blanks: dict[int, list[str]] = BLANK_COLUMNS_BY_MONTH,
 ) -> DataFrame:
-    """Missing tokens to NULL, months' unusable columns to ``""``, fixed column list."""
+    """Missing tokens to NULL, months' unusable columns to ``""``, fixed column list.
+
+    ``year_month`` is SQL text of the snapshot's month as a number.
+    """
     present = {c.lower() for c in delivered.columns}
 
-    def value(column: str) -> Column:
-        text = missing_to(column) if column.lower() in present else F.lit(None).cast("string")
-        months = [m for m, columns in blanks.items() if column in columns]
-        return F.when(year_month.isin(months), F.lit("")).otherwise(text) if months else text
+    def value(column: str) -> str:
+        text = missing_to_null(column) if column.lower() in present else "string(NULL)"
+        months = ", ".join(str(m) for m, columns in blanks.items() if column in columns)
+        return f"CASE WHEN {year_month} IN ({months}) THEN '' ELSE {text} END" if months else text
 
     kept = {c: value(c) for c in DELIVERED_COLUMNS} | month_columns(year_month)
     extra = [c for c in (SOURCE,) if c in delivered.columns]
-    return delivered.select(*[v.alias(c) for c, v in kept.items()], *extra)
+    return delivered.selectExpr(*[f"{v} AS `{c}`" for c, v in kept.items()], *extra)
 
 
 def add_host_area(listings: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -75,8 +78,9 @@ def add_host_area(listings: DataFrame, lookup: DataFrame) -> DataFrame:
     A missing suburb matches a missing suburb in the lookup, as it does in the frames
     this load is defined on.
     """
-    areas = lookup.select(
-        missing_to("host_neighbourhood"), missing_to("LGA").alias("host_neighbourhood_cleansed")
+    areas = lookup.selectExpr(
+        f"{missing_to_null('host_neighbourhood')} AS host_neighbourhood",
+        f"{missing_to_null('LGA')} AS host_neighbourhood_cleansed",
     )
     return null_safe_join(listings, areas, ["host_neighbourhood"], "left")
 
@@ -140,7 +144,7 @@ def read_snapshots(
             records = read_split_records(spark, large, list(header))
             name = F.element_at(F.split("file_path", "/"), -1).alias(SOURCE)
             scans.append(records.select(*header, name))
-    months = [conform(scan, year_month_of_name(F.col(SOURCE)), blanks) for scan in scans]
+    months = [conform(scan, year_month_of_name(SOURCE), blanks) for scan in scans]
     together = months[0]
     for more in months[1:]:
         together = together.unionByName(more)

@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """A stored table; with a schema given, no file is opened to infer one."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
