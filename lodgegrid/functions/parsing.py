@@ -33,20 +33,15 @@ def whole_number(column: str, to: str = "int") -> str:
     A value with a fraction, or out of range, is NULL and shows up in
     :func:`lodgegrid.operators.audit.cast_rejects`.
     """
-    exact = number(column)
-    return (
-        f"coalesce({number(column, to)}, "
-        f"CASE WHEN {exact} = floor({exact}) THEN try_cast({exact} AS {to}) END)"
-    )
+    # a fraction of zeros is cut off; any other fraction makes the cast fail
+    return f"try_cast(regexp_replace(`{column}`, '[.]0*$', '') AS {to})"
 
 
 def money(column: str) -> str:
     """Currency text such as ``'$1,234.50'``, ``'-$5'`` or ``'($5.00)'`` to a decimal."""
-    amount = f"try_cast(trim(translate(`{column}`, '$,()- ', '')) AS decimal(12,2))"
-    return (
-        f"CASE WHEN NOT `{column}` RLIKE r'{_MONEY_SHAPE}' THEN NULL "
-        f"WHEN `{column}` RLIKE '[-(]' THEN -{amount} ELSE {amount} END"
-    )
+    # an opening bracket becomes the minus sign; the other marks are dropped
+    amount = f"try_cast(translate(`{column}`, '($, )', '-') AS decimal(12,2))"
+    return f"CASE WHEN `{column}` RLIKE r'{_MONEY_SHAPE}' THEN {amount} END"
 
 
 def rating(column: str) -> str:

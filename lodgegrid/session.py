@@ -18,6 +18,8 @@ def create_session(app: str = "lodgegrid", master: str | None = None, **settings
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # the JVM does not compile methods over 8000 bytes, so let Spark split them
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)
