@@ -1,51 +1,68 @@
-"""Exact discrete median per group from a value histogram."""
+"""Exact discrete median, with the range and sum, per group of a value histogram."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
-
-from ..functions.joins import null_safe_join
-
-_BAND = "_band"
-_BEFORE = "_before"
-_TOTAL = "_total"
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # A DECIMAL(12,2) amount spans 10^10 units, so bands of 10^4 units are at most 10^6
 # per sign, and one band holds at most 10^6 distinct cents.
 BAND_WIDTH = 10_000
 
 
-def discrete_median(histogram: DataFrame, keys: list[str], value: str, n: str, out: str) -> DataFrame:
-    """``percentile_disc(0.5)`` of ``value`` per ``keys``; ``n`` counts equal values.
+def summarize_values(histogram: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
+    """Per ``keys``: ``lowest``, ``highest``, ``total``, ``known`` and ``middle`` value.
+
+    ``n`` is the number of rows with that value, 0 for a missing value. ``middle`` is
+    ``percentile_disc(0.5)``: the first value whose cumulative count reaches half.
 
     The builtin aggregate keeps every value of a group in one buffer. Here a group is
     first reduced to bands of values; the band holding the middle is found, and only
-    that band's distinct values are ranked. Both windows hold a bounded number of rows
-    per group whatever the group's size.
+    that band's values are ranked. Both windows hold a bounded number of rows per group
+    whatever the group's size. The histogram is shuffled once and read twice.
     """
-    known = histogram.filter(F.col(value).isNotNull()).withColumn(
-        _BAND, F.floor(F.col(value) / BAND_WIDTH)
+    banded = histogram.select(
+        # as one struct, keys that are missing compare equal in the join below
+        F.struct(*keys, F.floor(F.col(value) / BAND_WIDTH).alias("_band")).alias("_cell"),
+        F.struct(*keys).alias("_group"),
+        F.col(value).alias("_value"),
+        F.col(n).alias("_n"),
     )
-    by_band = known.groupBy(*keys, _BAND).agg(F.sum(n).alias(n))
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy(_BAND).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bands = banded.groupBy("_cell", "_group").agg(
+        F.min("_value").alias("lowest"),
+        F.max("_value").alias("highest"),
+        F.sum(F.col("_value") * F.col("_n").cast("decimal(18,0)")).cast("decimal(28,2)").alias("total"),
+        F.sum("_n").alias("_n"),
+    )
+    group = Window.partitionBy("_group")
+    upto = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     middle_band = (
-        by_band.withColumns(
-            {_BEFORE: F.sum(n).over(upto) - F.col(n), _TOTAL: F.sum(n).over(group)}
+        bands.withColumns(
+            {
+                "_before": F.sum("_n").over(upto) - F.col("_n"),
+                "known": F.sum("_n").over(group),
+                "lowest": F.min("lowest").over(group),
+                "highest": F.max("highest").over(group),
+                "total": F.sum("total").over(group).cast("decimal(28,2)"),
+            }
         )
-        .filter(_holds_middle(n))
-        .select(*keys, _BAND, _BEFORE, _TOTAL)
+        .filter(_holds_middle())
+        .drop("_n", "_group")
     )
-    inside = Window.partitionBy(*keys, _BAND).orderBy(value)
-    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_band = Window.partitionBy("_cell").orderBy("_value")
+    running = in_band.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        null_safe_join(known, middle_band, [*keys, _BAND])
-        .withColumn(_BEFORE, F.col(_BEFORE) + F.sum(n).over(running) - F.col(n))
-        .filter(_holds_middle(n))
-        .select(*keys, F.col(value).alias(out))
+        banded.drop("_group")
+        .join(middle_band, "_cell")
+        .withColumn("_before", F.col("_before") + F.sum("_n").over(running) - F.col("_n"))
+        .filter(_holds_middle())
+        .select(
+            *[F.col("_cell")[k].alias(k) for k in keys],
+            "lowest", "highest", "total", "known", F.col("_value").alias("middle"),
+        )
     )
 
 
-def _holds_middle(n: str):
-    """The first entry whose cumulative count reaches half of the total."""
-    return (2 * F.col(_BEFORE) < F.col(_TOTAL)) & (2 * (F.col(_BEFORE) + F.col(n)) >= F.col(_TOTAL))
+def _holds_middle() -> Column:
+    """The entry whose cumulative count reaches half; the missing one of an empty group."""
+    before, upto = 2 * F.col("_before"), 2 * (F.col("_before") + F.col("_n"))
+    return ((before < F.col("known")) & (upto >= F.col("known"))) | (F.col("known") == 0)

@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.joins import null_safe_join
 from ..functions.parsing import has_rating
 from ..functions.ratios import relative_change, rounded_ratio
-from .median import discrete_median
+from .median import summarize_values
 from .ordered_lag import global_lag
 
 AREA = ["neighbourhood_cleansed", "year_month"]
@@ -46,16 +45,12 @@ def price_stats(listings: DataFrame, keys: list[str]) -> DataFrame:
     All four come from one histogram keyed by price, so the facts are shuffled once.
     """
     histogram = listings.groupBy(*keys, "price").agg(F.count("price").alias("n"))
-    summary = histogram.groupBy(*keys).agg(
-        F.min("price").alias("min_price"),
-        F.max("price").alias("max_price"),
-        F.sum(F.col("price") * F.col("n").cast("decimal(18,0)")).cast("decimal(28,2)").alias("_sum"),
-        F.sum("n").alias("_n"),
-    )
-    median = discrete_median(histogram, keys, "price", "n", "median_price")
-    return null_safe_join(summary, median, keys, "left").select(
-        *keys, "min_price", "max_price", "median_price",
-        rounded_ratio(F.col("_sum"), F.col("_n")).alias("average_price"),
+    return summarize_values(histogram, keys, "price", "n").select(
+        *keys,
+        F.col("lowest").alias("min_price"),
+        F.col("highest").alias("max_price"),
+        F.col("middle").alias("median_price"),
+        rounded_ratio(F.col("total"), F.col("known")).alias("average_price"),
     )
 
 

@@ -1,0 +1,141 @@
+import csv
+
+import pytest
+
+from lodgegrid.schemas import LISTING_COLUMNS, MISSING_TOKENS
+from lodgegrid.sources import listings_csv as load
+from lodgegrid.sources.census_csv import read_lga_list
+from lodgegrid.sources.split_csv import read_split_records
+from lodgegrid.streaming.monthly import load_new_months
+
+from .conftest import rows
+
+EARLY = [c for c in load.DELIVERED_COLUMNS if c not in ("bathrooms_text", "number_of_reviews_l30d")]
+EARLY_HEADER = ["access", *EARLY[::-1], "zipcode"]
+LATE_HEADER = load.DELIVERED_COLUMNS
+
+
+def write(path, header, *records):
+    with open(path, "w", newline="") as out:
+        writer = csv.DictWriter(out, header, restval="x", extrasaction="ignore")
+        writer.writeheader()
+        writer.writerows(records)
+
+
+@pytest.fixture
+def incoming(tmp_path):
+    folder = tmp_path / "incoming"
+    folder.mkdir()
+    write(
+        folder / "05_2020.csv", EARLY_HEADER,
+        {"id": "1", "host_id": "10", "host_name": "", "host_neighbourhood": "Bondi",
+         "price": "$1,234.50", "description": 'Sea, "sun"\nand sand', "review_scores_rating": "NaN"},
+        {"id": "2", "host_id": "11", "host_name": "Ann", "host_neighbourhood": "N/A", "price": "$80.00"},
+    )
+    write(
+        folder / "08_2020.csv", LATE_HEADER,
+        {"id": "1", "host_id": "10", "host_name": "Bo", "host_neighbourhood": "Manly",
+         "bathrooms_text": "1 bath", "description": "\n\n", "price": "$95.00"},
+    )
+    return folder
+
+
+@pytest.fixture
+def lookup(spark, tmp_path):
+    path = tmp_path / "lookup.csv"
+    path.write_text("host_neighbourhood,LGA,postcode\nBondi,Waverley,1\nBondi,Woollahra,2\n,Nowhere,3\n")
+    return load.read_lookup(spark, str(path))
+
+
+def test_months_conform_to_one_table(spark, incoming, lookup):
+    frame = load.read_snapshots(spark, str(incoming), lookup)
+    assert frame.columns == LISTING_COLUMNS + [load.SOURCE]
+    found = rows(
+        frame, "id", "host_name", "host_neighbourhood_cleansed", "bathrooms_text", "month",
+        "year_month", "year", "price", "review_scores_rating",
+    )
+    assert found == [
+        ("1", "Bo", None, "1 bath", "August", "202008", "2020", "$95.00", "x"),
+        ("1", None, "Waverley", "", "May", "202005", "2020", "$1,234.50", None),
+        ("1", None, "Woollahra", "", "May", "202005", "2020", "$1,234.50", None),
+        ("2", "Ann", "Nowhere", "", "May", "202005", "2020", "$80.00", "x"),
+    ]
+    texts = {r.description for r in frame.filter("id = '1'").collect()}
+    assert texts == {'Sea, "sun"\nand sand', "\n\n"}
+    assert rows(load.ambiguous_suburbs(lookup)) == [("Bondi", 2)]
+
+
+def test_missing_values_as_text(spark, incoming, lookup):
+    frame = load.read_snapshots(spark, str(incoming), lookup, missing_text="NaN")
+    may = frame.filter("year_month = '202005'")
+    assert rows(may.filter("id = '1'"), "host_name", "bathrooms_text") == [("NaN", "")] * 2
+
+
+def test_a_file_without_a_needed_column_is_refused(spark, incoming, lookup):
+    write(incoming / "09_2020.csv", EARLY_HEADER, {"id": "1"})
+    with pytest.raises(ValueError, match="bathrooms_text"):
+        load.read_snapshots(spark, str(incoming), lookup)
+
+
+def test_file_names_carry_the_month(spark):
+    assert load.month_of_file("/data/11_2020.csv") == 202011
+    with pytest.raises(ValueError):
+        load.month_of_file("/data/listings.csv")
+
+
+def test_loading_again_changes_nothing(spark, incoming, lookup, tmp_path):
+    raw = str(tmp_path / "raw")
+    load.load_snapshots(spark, str(incoming), lookup, raw)
+    first = rows(load.read_raw(spark, raw))
+    load.load_snapshots(spark, str(incoming / "05_2020.csv"), lookup, raw)
+    assert rows(load.read_raw(spark, raw)) == first
+    assert load.read_raw(spark, raw).columns == LISTING_COLUMNS
+
+
+def test_new_files_load_once(spark, incoming, lookup, tmp_path):
+    raw, progress, months = str(tmp_path / "raw"), str(tmp_path / "progress"), []
+    for _ in range(2):
+        load_new_months(spark, str(incoming), lookup, raw, progress, months.append, files_per_batch=1)
+    assert sorted(months) == [[202005], [202008]]
+    write(incoming / "09_2020.csv", LATE_HEADER, {"id": "7"})
+    load_new_months(spark, str(incoming), lookup, raw, progress, months.append)
+    assert months[2:] == [[202009]]
+    assert rows(load.read_raw(spark, raw), "id", "year_month") == [
+        ("1", "202005"), ("1", "202005"), ("1", "202008"), ("2", "202005"), ("7", "202009"),
+    ]
+
+
+def test_split_reading_equals_whole_reading(spark, tmp_path):
+    header = ["id", "text", "more"]
+    records = []
+    for n in range(400):
+        text = ["plain", 'quoted ""', "two\nlines", 'a,"b"\n\nc\n"d"', "\n" * (n % 7), "x" * (n % 300)][n % 6]
+        records.append({"id": str(n), "text": text, "more": "end"})
+    records[200]["text"] = "line\n" * 2000  # longer than a split
+    path = tmp_path / "big.csv"
+    write(path, header, *records)
+    expected = {(r["id"], r["text"], r["more"]) for r in records}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("512", "4096", "1000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = read_split_records(spark, [str(path)], header).select(*header).collect()
+            assert {tuple(v or "" for v in r) for r in found} == expected
+            assert len(found) == len(records)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_large_files_are_read_in_splits(spark, incoming, lookup):
+    whole = rows(load.read_snapshots(spark, str(incoming), lookup))
+    assert rows(load.read_snapshots(spark, str(incoming), lookup, split_above=0)) == whole
+
+
+def test_quoted_census_list(spark, tmp_path):
+    path = tmp_path / "lga.csv"
+    path.write_text('CODE_2016,LGA_name,neighbourhood_cleansed\n10050,"Albury, City",Albury\n,NA,None\n')
+    assert rows(read_lga_list(spark, str(path))) == [("Albury", "Albury, City", "10050"), (None, None, None)]
+
+
+def test_tokens_need_no_escaping():
+    assert not any("'" in t for t in MISSING_TOKENS)

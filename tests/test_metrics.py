@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodgegrid.operators import best_listing, metrics as m
-from lodgegrid.operators.median import discrete_median
+from lodgegrid.operators.median import summarize_values
 from lodgegrid.operators.ordered_lag import global_lag
 
 from .conftest import rows
@@ -41,8 +41,12 @@ def test_median_against_brute_force(spark):
     values = [(g, Decimal(c).scaleb(-2)) for g, cents in data.items() for c in cents]
     frame = spark.createDataFrame(values, "g int, price decimal(12,2)")
     histogram = frame.groupBy("g", "price").agg(F.count("price").alias("n"))
-    found = {r.g: r.mid for r in discrete_median(histogram, ["g"], "price", "n", "mid").collect()}
-    assert found == {g: Decimal(statistics.median_low(c)).scaleb(-2) for g, c in data.items()}
+    found = {r.g: r[1:] for r in summarize_values(histogram, ["g"], "price", "n").collect()}
+    assert found == {
+        g: tuple(Decimal(v).scaleb(-2) for v in (min(c), max(c), sum(c)))
+        + (len(c), Decimal(statistics.median_low(c)).scaleb(-2))
+        for g, c in data.items()
+    }
 
 
 def test_hosts_count_once_and_superhost_of_any_row(listings):
