@@ -7,9 +7,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..schemas import CENSUS_CODE
 from .metrics import listing_revenue, number_of_stays
 
-ONE_LISTING = "_one_listing"
-
-
 def host_area_match(listings: DataFrame, lga: DataFrame) -> DataFrame:
     """Each host's total listing rows and areas, flagged where area and LGA name agree.
 
@@ -68,11 +65,15 @@ def _covered(pairs: DataFrame) -> DataFrame:
     )
 
 
-def mortgage_cover(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:
+def mortgage_cover(
+    listings: DataFrame, lga: DataFrame, census: DataFrame, split_above: int = 10_000
+) -> DataFrame:
     """Every listing revenue of a host against the mortgage in every area of that host.
 
     The result depends only on a host's different areas and different revenues, so both
-    sides are made distinct before they meet on the host.
+    sides are made distinct before they meet on the host. A host with more than
+    ``split_above`` revenues is joined in several parts, so that its combinations do not
+    all arise in one task.
     """
     host_areas = listings.select("host_id", "neighbourhood_cleansed").distinct()
     host_revenues = (
@@ -80,8 +81,25 @@ def mortgage_cover(listings: DataFrame, lga: DataFrame, census: DataFrame) -> Da
         .select("host_id", listing_revenue().alias("estimated_revenue"))
         .distinct()
     )
-    mortgages = host_areas.join(mortgage_by_area(lga, census), "neighbourhood_cleansed")
-    return _covered(host_revenues.join(mortgages, "host_id"))
+    large = (
+        host_revenues.groupBy("host_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > split_above)
+        .selectExpr("host_id", f"int(ceil(_n / {split_above})) AS _parts")
+    )
+    parts = "coalesce(_parts, 1)"
+    mortgages = (
+        host_areas.join(mortgage_by_area(lga, census), "neighbourhood_cleansed")
+        .join(large, "host_id", "left")
+        .withColumn("_part", F.expr(f"explode(sequence(0, {parts} - 1))"))
+        .drop("_parts")
+    )
+    revenues = (
+        host_revenues.join(large, "host_id", "left")
+        .withColumn("_part", F.expr(f"int(pmod(xxhash64(estimated_revenue), {parts}))"))
+        .drop("_parts")
+    )
+    return _covered(revenues.join(mortgages, ["host_id", "_part"]))
 
 
 def mortgage_cover_one_listing(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:

@@ -116,6 +116,7 @@ def test_cover_equals_the_plain_self_join(host_facts, lga, census):
         .distinct()
     )
     assert rows(found.drop("covered")) == rows(plain)
+    assert rows(hosts.mortgage_cover(host_facts, lga, census, split_above=1)) == rows(found)
     singles = hosts.mortgage_cover_one_listing(host_facts, lga, census)
     semi = found.join(hosts.hosts_with_one_listing(host_facts), "host_id", "left_semi").drop("code_2016")
     assert rows(singles) == rows(semi)
