@@ -390,6 +390,17 @@ def _load_and_warehouse() -> dict[str, str]:
         "money_parse": f"""SELECT l_orderkey, l_linenumber,
   CASE WHEN l_linenumber <= 2 THEN -{amount} WHEN l_linenumber > 3 THEN {amount} END AS amount
 FROM lineitem""",
+        "year_month_from_names": _with(
+            _DELIVERED,
+            " SELECT id, month, CAST(year AS VARCHAR) AS year, "
+            "CAST(year_month AS VARCHAR) AS year_month FROM d",
+        ),
+        "star_add_months": _with(
+            _RAW,
+            " SELECT neighbourhood_cleansed, year_month, month, host_neighbourhood_cleansed, "
+            "count(*) AS rows, CAST(sum(CAST(price AS DECIMAL(12,2))) AS DOUBLE) AS prices "
+            "FROM r GROUP BY 1, 2, 3, 4",
+        ),
         "csv_scan": csv.format("host_name"),
         "csv_split_scan": csv.format("coalesce(host_name, 'null')"),
         "dim_host": _with(_RAW, f" SELECT DISTINCT {_HOST} FROM r"),

@@ -18,7 +18,7 @@ from ..schemas import HOST_KEY, LISTING_COLUMNS, PROPERTY_KEY, TIME_KEY
 from ..session import cut_lineage, scratch_path
 from ..sinks import store
 from ..sources.census_csv import read_columns
-from ..sources.listings_csv import CSV_OPTIONS, add_host_area, conform
+from ..sources.listings_csv import CSV_OPTIONS, add_host_area, conform, with_year_month
 from ..sources.split_csv import read_split_records
 from ..sources.tables import preview, row_counts
 from . import datamart, tpch_mapping as tm, warehouse as w
@@ -175,6 +175,12 @@ def month_conform(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def year_month_from_names(spark: SparkSession, folder: str) -> DataFrame:
+    """The month number of a raw table that holds only month names and years."""
+    raw = conform(tm.delivered_listings(spark, folder), "snapshot").drop("year_month")
+    return with_year_month(raw).select("id", "month", "year", "year_month")
+
+
 def money_parse(spark: SparkSession, folder: str) -> DataFrame:
     """Currency text with signs and brackets, back to amounts."""
     amount = "format_number(CAST(l_extendedprice AS decimal(12,2)), 2)"
@@ -257,6 +263,24 @@ def listing_fact_by_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def star_add_months(spark: SparkSession, folder: str) -> DataFrame:
+    """A star built from the earlier years, then brought up to date with the later ones.
+
+    The months added overlap the months built by one year.
+    """
+    # rows of a month together, so that few tasks write each month; a large one is split
+    by_month = _raw(spark, folder).hint("rebalance", F.col("year_month"))
+    raw = cut_lineage(by_month, "raw")
+    path = scratch_path(spark, "star")
+    w.build_star(raw.filter("year <= '1998'"), path)
+    w.add_months(raw.filter("year >= '1998'"), path)
+    star = w.read_star(spark, path)
+    listings = w.listings_from_star(star["listing_fact"], star["dim_host"], None, star["dim_time"])
+    return listings.groupBy(*m.AREA, "month", "host_neighbourhood_cleansed").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("price").cast("double").alias("prices")
+    )
+
+
 def star_active_rate(spark: SparkSession, folder: str) -> DataFrame:
     """The active rate per area from the star schema."""
     _, star = _star(spark, folder)
@@ -431,9 +455,9 @@ def ordered_cover(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     jobs = [
-        lookup_left_join, month_conform, money_parse, csv_scan, csv_split_scan,
+        lookup_left_join, month_conform, year_month_from_names, money_parse, csv_scan, csv_split_scan,
         dim_host, dim_property, dim_time, dim_lga, listing_fact, listing_fact_by_join,
-        star_active_rate, census_fact,
+        star_add_months, star_active_rate, census_fact,
         audit_unique, audit_fk, audit_not_null, audit_casts, audit_summary,
         upsert_dim, stored_view, month_refresh, raw_append, view_in_sql,
         table_counts, table_preview, ordered_stays, ordered_cover,

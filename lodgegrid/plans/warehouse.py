@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.joins import null_safe_join
 from ..functions.keys import surrogate_key
 from ..functions.parsing import money, number, rating, whole_number
+from ..operators.upsert import upsert
 from ..schemas import (
     CENSUS_CODE,
     CENSUS_FACT_COUNTS,
@@ -17,6 +18,7 @@ from ..schemas import (
     PROPERTY_KEY,
     TIME_KEY,
 )
+from ..sinks.store import read_version, replace_partitions, write_version
 
 # The reference key for matching a raw row to a host leaves out the last host column.
 HOST_MATCH_KEY = HOST_KEY[:-1]
@@ -96,17 +98,19 @@ def listing_fact_by_join(
     properties: DataFrame,
     times: DataFrame,
     host_key: list[str] = HOST_MATCH_KEY,
+    time_key: list[str] = TIME_KEY,
 ) -> DataFrame:
     """The fact by joining raw rows to the dimensions on their natural keys.
 
     With the default five-column host key, a raw row whose suburb maps to several areas
     meets each of those host rows again, as in the original load. With ``HOST_KEY`` it
-    meets exactly one and the result has the rows of :func:`listing_fact`.
+    meets exactly one and the result has the rows of :func:`listing_fact`. ``time_key``
+    may leave out ``year_month``: month name and year already tell months apart.
     """
     typed = typed_listings(raw)
     matched = null_safe_join(typed, hosts.select("h_id", *host_key), host_key)
     matched = null_safe_join(matched, properties, PROPERTY_KEY)
-    matched = null_safe_join(matched, times, TIME_KEY)
+    matched = null_safe_join(matched, times.select("t_id", *time_key), time_key)
     return matched.select("id", "h_id", "p_id", "t_id", *MEASURES, "year_month")
 
 
@@ -131,23 +135,44 @@ def listings_from_star(
     return joined
 
 
-STAR = {"dim_host": dim_host, "dim_property": dim_property, "dim_time": dim_time, "listing_fact": listing_fact}
+DIMENSIONS = {
+    "dim_host": (dim_host, "h_id"),
+    "dim_property": (dim_property, "p_id"),
+    "dim_time": (dim_time, "t_id"),
+}
+FACT = "listing_fact"
 
 
 def build_star(raw: DataFrame, folder: str, by_month: bool = True) -> None:
-    """Write the dimensions and the fact.
+    """Write the dimensions and the fact from all raw rows.
 
     ``by_month`` puts the fact in one folder per month. Tasks write a file per month
     they hold rows of, so it suits a raw table that is stored by month itself.
     """
-    for name, build in STAR.items():
-        by = ["year_month"] if by_month and name == "listing_fact" else []
-        build(raw).write.mode("overwrite").partitionBy(*by).parquet(f"{folder}/{name}")
+    for name, (build, _) in DIMENSIONS.items():
+        write_version(build(raw), f"{folder}/{name}")
+    by = ["year_month"] if by_month else []
+    listing_fact(raw).write.mode("overwrite").partitionBy(*by).parquet(f"{folder}/{FACT}")
+
+
+def add_months(raw_months: DataFrame, folder: str) -> None:
+    """Bring new or reloaded months into a star built ``by_month``.
+
+    Dimension rows are merged by key into a new version of each dimension, and the
+    months' fact rows replace what the fact held for them. Running it again changes
+    nothing.
+    """
+    spark = raw_months.sparkSession
+    for name, (build, key) in DIMENSIONS.items():
+        table = f"{folder}/{name}"
+        write_version(upsert(read_version(spark, table), build(raw_months), [key]), table)
+    replace_partitions(listing_fact(raw_months), f"{folder}/{FACT}", ["year_month"])
 
 
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The stored tables; their measured sizes let Spark broadcast what is small."""
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in STAR}
+    star = {name: read_version(spark, f"{folder}/{name}") for name in DIMENSIONS}
+    return star | {FACT: spark.read.parquet(f"{folder}/{FACT}")}
 
 
 def dim_lga(lga_raw: DataFrame) -> DataFrame:

@@ -20,6 +20,11 @@ def check_schema(df: DataFrame, declared: StructType) -> DataFrame:
     return df.select(*[F.col(f.name).alias(f.name) for f in declared])
 
 
+def create_table(spark: SparkSession, schema: StructType, path: str) -> None:
+    """An empty table with the declared columns, unless one is there already."""
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+
+
 def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
     """Write ``df``, replacing only the partitions it has rows for.
 

@@ -51,6 +51,13 @@ def year_month_of_name(column: str) -> str:
     return f"int(concat({', '.join(f"regexp_extract({column}, r'{_FILE_NAME}', {g})" for g in (2, 1))}))"
 
 
+def with_year_month(raw: DataFrame) -> DataFrame:
+    """A raw table without ``year_month`` gets it from its month name and year."""
+    names = ", ".join(f"'{m}'" for m in MONTH_NAMES)
+    month = f"array_position(array({names}), month)"
+    return raw.withColumn("year_month", F.expr(f"string(int(year) * 100 + {month})"))
+
+
 def conform(
     delivered: DataFrame,
     year_month: str,

@@ -57,10 +57,34 @@ def test_fact_by_natural_keys(raw):
     exact = w.listing_fact_by_join(raw, *dims, host_key=HOST_KEY)
     columns = ["id", "h_id", "p_id", "t_id", "price"]
     assert rows(exact, *columns) == rows(w.listing_fact(raw), *columns)
+    by_names = w.listing_fact_by_join(raw, *dims, host_key=HOST_KEY, time_key=["month", "year"])
+    assert rows(by_names, *columns) == rows(exact, *columns)
     # rows 1, 3 and 4 differ only in the column the short key leaves out
     assert rows(w.listing_fact_by_join(raw, *dims), "id") == [(1,), (1,), (2,), (3,), (3,), (4,), (4,)]
 
 
+def test_adding_months_again_changes_nothing(spark, raw, tmp_path):
+    folder = str(tmp_path)
+    w.build_star(raw.filter("year_month = '202005'"), folder)
+    june = raw.filter("year_month = '202006'")
+    moved = june.withColumn("host_name", F.lit("new name"))
+    for months in (june, june, moved, moved):
+        w.add_months(months, folder)
+    star = w.read_star(spark, folder)
+    assert {n: t.count() for n, t in star.items()} == {
+        "dim_host": 4, "dim_property": 2, "dim_time": 2, "listing_fact": 4,
+    }
+    joined = w.listings_from_star(star["listing_fact"], star["dim_host"])
+    assert rows(joined, "id", "host_name") == [(1, "x"), (2, None), (3, "new name"), (4, "x")]
+
+
+def test_declared_empty_table(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    store.create_table(spark, RAW_LISTING_SCHEMA, path)
+    store.create_table(spark, spark.range(1).schema, path)
+    assert spark.read.parquet(path).schema.names == LISTING_COLUMNS
+
+
 def test_time_key_uses_typed_values(spark, raw):
     float_text = raw.withColumn("year", F.lit("2020.0"))
     assert w.dim_time(raw.unionByName(float_text)).count() == 2
