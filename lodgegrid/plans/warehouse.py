@@ -52,6 +52,18 @@ def typed_listings(raw: DataFrame) -> DataFrame:
     return raw.selectExpr(*[f"{parse(f.name)} AS {f.name}" for f in LISTING_SCHEMA])
 
 
+def store_listings(raw: DataFrame, path: str) -> None:
+    """Parse the raw rows once and store the typed frame by month.
+
+    Replaces the months ``raw`` holds, so a new month is added the same way.
+    """
+    replace_partitions(typed_listings(raw), path, ["year_month"])
+
+
+def read_listings(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(LISTING_SCHEMA).parquet(path)
+
+
 def dim_host(raw: DataFrame) -> DataFrame:
     return raw.select(*HOST_KEY).distinct().select(surrogate_key(*HOST_KEY).alias("h_id"), "*")
 

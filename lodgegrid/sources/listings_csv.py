@@ -22,7 +22,7 @@ SOURCE = "source_file"
 RAW_PARTITIONS = ["year_month", SOURCE]
 RAW_TABLE_SCHEMA = text_schema(LISTING_COLUMNS + [SOURCE])
 
-_FILE_NAME = r"(\d{2})_(\d{4})\.csv"
+_FILE_NAME = r"(\d{2})_(\d{4})\.csv"  # a prefix may name the source
 
 # A CSV with quoted line breaks is read by one task; larger files are cut into splits.
 SPLIT_ABOVE_BYTES = 512 * 1024 * 1024
@@ -105,18 +105,31 @@ def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**CSV_OPTIONS).csv(path).select("host_neighbourhood", "LGA")
 
 
-def _files(spark: SparkSession, paths: list[str]) -> list[tuple[str, int]]:
-    """Path and size of each file; the contents are not read."""
+def _files(spark: SparkSession, paths: list[str]) -> dict[str, int]:
+    """Size of each file by path; only the listing is read. A name may occur once."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(paths)
-    return [(r.path, r.length) for r in listed.select("path", "length").collect()]
+    sizes = {r.path: r.length for r in listed.select("path", "length").collect()}
+    if not sizes:
+        raise FileNotFoundError(f"no listing files under {paths}")
+    names = [path.rsplit("/", 1)[-1] for path in sizes]
+    twice = sorted({n for n in names if names.count(n) > 1}) if len(set(names)) < len(names) else []
+    if twice:
+        raise ValueError(f"a file is known by its name, which must be unique: {twice}")
+    return sizes
 
 
 def _by_header(spark: SparkSession, files: Iterable[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by header line, so that each layout is one scan by position."""
-    layouts = defaultdict(list)
+    """Files grouped by header line, so that each layout is one scan by position.
+
+    The files of a month share a layout, so one header per month is looked at; the scan
+    checks every file's header against it.
+    """
+    months, layouts = defaultdict(list), defaultdict(list)
     for path in files:
-        header = spark.read.options(**(CSV_OPTIONS | {"multiLine": False})).csv(path).columns
-        layouts[tuple(c.lstrip("\ufeff") for c in header)].append(path)
+        months[month_of_file(path)].append(path)
+    for of_month in months.values():
+        probe = spark.read.options(**(CSV_OPTIONS | {"multiLine": False})).csv(of_month[0])
+        layouts[tuple(c.lstrip("\ufeff") for c in probe.columns)] += of_month
     return layouts
 
 
@@ -132,9 +145,7 @@ def read_snapshots(
 
     ``missing_text="NaN"`` stores missing values as that text instead of NULL.
     """
-    sizes = dict(_files(spark, [paths] if isinstance(paths, str) else paths))
-    if not sizes:
-        raise FileNotFoundError(f"no listing files under {paths}")
+    sizes = _files(spark, [paths] if isinstance(paths, str) else paths)
     scans = []
     for header, layout in _by_header(spark, sizes).items():
         for path in layout:
@@ -145,7 +156,8 @@ def read_snapshots(
         small = [p for p in layout if sizes[p] <= split_above]
         large = [p for p in layout if sizes[p] > split_above]
         if small:
-            reader = spark.read.options(**CSV_OPTIONS).schema(text_schema(list(header)))
+            checked = CSV_OPTIONS | {"enforceSchema": False}
+            reader = spark.read.options(**checked).schema(text_schema(list(header)))
             scans.append(reader.csv(small).select("*", F.col("_metadata.file_name").alias(SOURCE)))
         if large:
             records = read_split_records(spark, large, list(header))

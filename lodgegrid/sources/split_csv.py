@@ -17,7 +17,10 @@ _SPLIT = ["file_path", "split_start"]
 
 
 def read_split_records(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    """``file_path`` and the text ``columns`` of every record after the header."""
+    """``file_path`` and the text ``columns`` of every record after the header.
+
+    Fails on a file whose header is not ``columns``.
+    """
     lines = spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("split_start"),
@@ -32,13 +35,19 @@ def read_split_records(spark: SparkSession, paths: list[str], columns: list[str]
     inner = placed.filter(~F.col("at_border")).select("file_path", "split_start", "record", "text")
     records = inner.unionByName(_join_borders(placed.filter("at_border")))
 
-    header = (F.col("split_start") == 0) & (F.col("record") == 1)
-    content = records.filter(~header & (F.trim(F.regexp_replace("text", r"\r$", "")) != ""))
+    text = F.regexp_replace("text", r"^\ufeff|\r$", "")
     schema = ", ".join(f"`{c}` STRING" for c in columns)
-    parsed = F.from_csv(
-        F.regexp_replace("text", r"\r$", ""), schema, {"quote": '"', "escape": '"'}
+    row = F.from_csv(text, schema, {"quote": '"', "escape": '"'})
+    parsed = records.select("file_path", "split_start", "record", text.alias("text"), row.alias("row"))
+    expected = F.array(*[F.lit(c) for c in columns])
+    header_fits = F.array(*[F.col("row")[c] for c in columns]) == expected
+    refusal = F.raise_error(F.concat(F.lit("another header in "), F.col("file_path")))
+    content = (
+        F.when((F.col("split_start") != 0) | (F.col("record") != 1), F.trim("text") != "")
+        .when(header_fits, F.lit(False))
+        .otherwise(refusal.cast("boolean"))
     )
-    return content.select("file_path", parsed.alias("row")).select("file_path", "row.*")
+    return parsed.filter(content).select("file_path", "row.*")
 
 
 def _fragments(lines: DataFrame) -> DataFrame:

@@ -77,6 +77,28 @@ def test_a_file_without_a_needed_column_is_refused(spark, incoming, lookup):
         load.read_snapshots(spark, str(incoming), lookup)
 
 
+def test_several_sources_in_a_month(spark, incoming, lookup):
+    write(incoming / "north_08_2020.csv", LATE_HEADER, {"id": "5"})
+    frame = load.read_snapshots(spark, str(incoming), lookup).filter("year_month = '202008'")
+    assert rows(frame, "id", load.SOURCE) == [("1", "08_2020.csv"), ("5", "north_08_2020.csv")]
+    write(incoming / "south_08_2020.csv", LATE_HEADER[::-1], {"id": "6"})
+    for split_above in (load.SPLIT_ABOVE_BYTES, 0):
+        with pytest.raises(Exception, match="[Hh]eader"):
+            load.read_snapshots(spark, str(incoming), lookup, split_above=split_above).collect()
+    (incoming / "more").mkdir()
+    write(incoming / "more" / "08_2020.csv", LATE_HEADER, {"id": "7"})
+    with pytest.raises(ValueError, match="08_2020.csv"):
+        load.read_snapshots(spark, [str(incoming), str(incoming / "more")], lookup)
+
+
+def test_byte_order_mark(spark, incoming, lookup):
+    path = incoming / "08_2020.csv"
+    path.write_bytes(b"\xef\xbb\xbf" + path.read_bytes())
+    for split_above in (load.SPLIT_ABOVE_BYTES, 0):
+        frame = load.read_snapshots(spark, str(path), lookup, split_above=split_above)
+        assert rows(frame, "id", "host_name") == [("1", "Bo")]
+
+
 def test_file_names_carry_the_month(spark):
     assert load.month_of_file("/data/11_2020.csv") == 202011
     with pytest.raises(ValueError):

@@ -38,6 +38,15 @@ def test_typed_listings(raw):
     )
 
 
+def test_stored_listings_by_month(spark, raw, tmp_path):
+    path = str(tmp_path / "listings")
+    w.store_listings(raw, path)
+    w.store_listings(raw.filter("year_month = '202006'"), path)
+    stored = w.read_listings(spark, path)
+    names = LISTING_SCHEMA.names
+    assert rows(stored, *names) == rows(w.typed_listings(raw), *names)
+
+
 def test_star_gives_back_the_listings(spark, raw, tmp_path):
     w.build_star(raw, str(tmp_path))
     star = w.read_star(spark, str(tmp_path))
