@@ -66,7 +66,8 @@ def listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     Every line item has one order, customer, nation and part, so leaving a join out
     changes no row. Customers meet orders before line items do: a customer with very
     many orders is then split on the smaller table, and the large join is on the order.
-    Both sides of that join grow with the data, so it is always a sort-merge join.
+    Both sides of that one grow with the data, so it is always a sort-merge join. The
+    other joins have base tables on their right, whose sizes Spark knows.
     """
     wanted = set(columns)
     rows = read_table(spark, folder, "lineitem")
@@ -76,22 +77,20 @@ def listings(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
     if people_wanted or wanted & _FROM_ORDERS.keys():
         hosts = read_table(spark, folder, "orders")
         if people_wanted:
-            people = read_table(spark, folder, "customer")
-            if wanted & _FROM_NATION.keys():
-                nations = read_table(spark, folder, "nation")
-                people = people.join(nations, F.expr("c_nationkey = n_nationkey"))
-            hosts = hosts.join(people, F.expr("o_custkey = c_custkey"))
+            hosts = hosts.join(read_table(spark, folder, "customer"), F.expr("o_custkey = c_custkey"))
+        if wanted & _FROM_NATION.keys():
+            hosts = hosts.join(read_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
         rows = rows.join(hosts.hint("merge"), F.expr("l_orderkey = o_orderkey"))
     return rows.selectExpr(*_named({c: _SOURCES[c] for c in columns}))
 
 
 def host_listings(spark: SparkSession, folder: str) -> DataFrame:
     """Listings by order (host) and supplier nation (neighbourhood)."""
-    nations = read_table(spark, folder, "nation")
-    suppliers = read_table(spark, folder, "supplier").join(
-        nations, F.expr("s_nationkey = n_nationkey")
+    rows = (
+        read_table(spark, folder, "lineitem")
+        .join(read_table(spark, folder, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(read_table(spark, folder, "nation"), F.expr("s_nationkey = n_nationkey"))
     )
-    rows = read_table(spark, folder, "lineitem").join(suppliers, F.expr("l_suppkey = s_suppkey"))
     own = {c: _FROM_LINEITEM[c] for c in ("id", "availability_30", "price")}
     return rows.selectExpr(
         "string(l_orderkey) AS host_id", "n_name AS neighbourhood_cleansed", *_named(own)
@@ -161,10 +160,11 @@ def delivered_listings(spark: SparkSession, folder: str) -> DataFrame:
     Missing values are written as tokens, whole numbers partly as floats, prices as
     currency text.
     """
-    people = read_table(spark, folder, "customer").join(
-        read_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey")
+    hosts = (
+        read_table(spark, folder, "orders")
+        .join(read_table(spark, folder, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(read_table(spark, folder, "nation"), F.expr("c_nationkey = n_nationkey"))
     )
-    hosts = read_table(spark, folder, "orders").join(people, F.expr("o_custkey = c_custkey"))
     rows = (
         read_table(spark, folder, "lineitem")
         .join(read_table(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
