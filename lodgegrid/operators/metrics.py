@@ -17,7 +17,7 @@ from .ordered_lag import global_lag
 AREA = ["neighbourhood_cleansed", "year_month"]
 PROPERTY = ["property_type", "room_type", "accommodates", "year_month"]
 TIME = "year_month"
-NIGHTS = 30
+NIGHTS = 30  # fixed value: the window of availability_30
 
 REVENUE = "estimated_revenue_per_active_listings"
 

@@ -20,7 +20,7 @@ from ..schemas import (
 )
 from ..sinks.store import read_version, replace_partitions, write_version
 
-# The reference key for matching a raw row to a host leaves out the last host column.
+# The load matches a raw row to its host without the last host column.
 HOST_MATCH_KEY = HOST_KEY[:-1]
 
 _PARSERS = {
