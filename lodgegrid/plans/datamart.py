@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import best_listing, census as age, hosts, metrics as m
-from ..sinks.store import materialize, refresh, refresh_months
+from ..session import cut_lineage
+from ..sinks.store import exists, refresh, refresh_months
 
 LGA_MONTH = ["host_lga_cleansed", "year_month"]
 
@@ -26,6 +28,9 @@ class Inputs:
 class View:
     build: Callable[[Inputs], DataFrame]
     ascending: tuple[str, ...] = ()
+    # how to build it from the month summary at ``grain`` instead of the listings
+    from_summary: Callable[[DataFrame], DataFrame] | None = None
+    grain: tuple[str, ...] = ()
     descending: tuple[str, ...] = ()
     stored: bool = True
 
@@ -45,23 +50,37 @@ def _family(number: int, keys: list[str]) -> dict[str, View]:
     def name(metric: int, label: str) -> str:
         return f"question_{number}_{metric}_{label}"
 
+    def summed(order: tuple[str, ...], build, from_summary) -> View:
+        return View(build, order, from_summary=from_summary, grain=tuple(keys))
+
+    def change(flag: str, drop_zero: bool) -> View:
+        return summed(
+            month_last,
+            lambda i: m.percentage_change(i.listings, keys, flag, drop_zero=drop_zero),
+            lambda s: m.percentage_change_of(s, keys, flag, drop_zero=drop_zero),
+        )
+
     return {
-        name(1, "active_listings_rate"): View(
-            lambda i: m.active_rate(i.listings, keys), month_first
+        name(1, "active_listings_rate"): summed(
+            month_first,
+            lambda i: m.active_rate(i.listings, keys),
+            lambda s: m.active_rate_of(s, keys),
         ),
         name(2, "min_max_med_avg"): View(lambda i: m.price_stats(i.listings, keys), month_first),
         name(3, "distinct_hosts"): View(lambda i: m.distinct_hosts(i.listings, keys), month_first),
         name(4, "superhost_rate"): View(lambda i: m.superhost_rate(i.listings, keys), month_first),
-        name(5, "active_listing_avg_review_score_rating"): View(
-            lambda i: m.average_rating_active(i.listings, keys), month_first
+        name(5, "active_listing_avg_review_score_rating"): summed(
+            month_first,
+            lambda i: m.average_rating_active(i.listings, keys),
+            lambda s: m.average_rating_of(s, keys),
         ),
-        name(6, "percentage_change_for_active_listings"): View(
-            lambda i: m.percentage_change(i.listings, keys, "t", drop_zero=number == 2), month_last
+        name(6, "percentage_change_for_active_listings"): change("t", drop_zero=number == 2),
+        name(7, "percentage_change_for_inactive_listings"): change("f", drop_zero=True),
+        name(8, "no_of_stays"): summed(
+            month_last,
+            lambda i: m.stays(i.listings, keys),
+            lambda s: s.select(*keys, "number_of_stays"),
         ),
-        name(7, "percentage_change_for_inactive_listings"): View(
-            lambda i: m.percentage_change(i.listings, keys, "f", drop_zero=True), month_last
-        ),
-        name(8, "no_of_stays"): View(lambda i: m.stays(i.listings, keys), month_last),
         name(9, "estimated_revenue_active_listings"): View(
             lambda i: m.revenue(i.listings, keys, dedup=True), month_last
         ),
@@ -135,14 +154,31 @@ def stored_views() -> list[str]:
 
 def create_stored(inputs: Inputs, folder: str, names: Iterable[str] | None = None) -> None:
     """Store the results that are not stored yet."""
-    for name in names or stored_views():
-        materialize(view(name, inputs), f"{folder}/{name}")
+    spark = inputs.listings.sparkSession
+    wanted = list(names or stored_views())
+    absent = [name for name in wanted if not exists(spark, f"{folder}/{name}")]
+    if absent:
+        refresh_stored(inputs, folder, absent)
 
 
 def refresh_stored(inputs: Inputs, folder: str, names: Iterable[str] | None = None) -> None:
-    """Recompute and replace stored results."""
-    for name in names or stored_views():
-        refresh(view(name, inputs), f"{folder}/{name}")
+    """Recompute and replace stored results.
+
+    Results of one grain that can come from its month summary share one pass over the
+    listings.
+    """
+    wanted = list(names or stored_views())
+    grains = Counter(VIEWS[name].grain for name in wanted if VIEWS[name].grain)
+    summaries = {
+        grain: cut_lineage(m.month_summary(inputs.listings, list(grain)), "month-summary")
+        for grain, users in grains.items()
+        if users > 1
+    }
+    for name in wanted:
+        spec = VIEWS[name]
+        shared = summaries.get(spec.grain)
+        result = spec.build(inputs) if shared is None else spec.from_summary(shared)
+        refresh(result, f"{folder}/{name}")
 
 
 def monthly_views() -> list[str]:

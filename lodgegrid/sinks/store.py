@@ -66,6 +66,12 @@ def _folder(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a completely written result is there."""
+    files, marker = _folder(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Completely written versions of a table, oldest first."""
     files, root = _folder(spark, path)

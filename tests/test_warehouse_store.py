@@ -92,6 +92,10 @@ def test_declared_empty_table(spark, tmp_path):
     store.create_table(spark, RAW_LISTING_SCHEMA, path)
     store.create_table(spark, spark.range(1).schema, path)
     assert spark.read.parquet(path).schema.names == LISTING_COLUMNS
+    copy = str(tmp_path / "copy")
+    for size in (2, 5):
+        store.materialize(spark.range(size), copy)
+    assert spark.read.parquet(copy).count() == 2 and store.exists(spark, copy)
 
 
 def test_time_key_uses_typed_values(spark, raw):
@@ -176,6 +180,20 @@ def test_stored_results_refresh(spark, listings, tmp_path):
         datamart.refresh_stored_months(two, folder, [202006], ["question_1_6_percentage_change_for_active_listings"])
 
 
+def test_shared_summary_gives_the_same_results(spark, listings, tmp_path):
+    facts = listings(
+        {}, {"has_availability": "f"}, {"year_month": 202006, "review_scores_rating": None},
+        {"year_month": 202006, "has_availability": "f", "accommodates": 3},
+        {"neighbourhood_cleansed": "B", "review_scores_rating": 81.0, "availability_30": None},
+    )
+    inputs, folder = datamart.Inputs(facts), str(tmp_path)
+    names = [n for n in datamart.stored_views() if datamart.VIEWS[n].grain]
+    assert len(names) == 10
+    datamart.create_stored(inputs, folder, names)
+    for name in names:
+        assert rows(datamart.read_stored(spark, folder, name)) == rows(datamart.view(name, inputs)), name
+
+
 def test_views_by_name_and_order(spark, listings):
     facts = listings({"neighbourhood_cleansed": "B"}, {"neighbourhood_cleansed": None}, {})
     inputs = datamart.Inputs(facts)
