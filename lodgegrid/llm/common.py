@@ -32,3 +32,14 @@ def words_of(column: Column) -> Column:
 def let(value: Column, use) -> Column:
     """``use(value)`` with ``value`` computed once a row, also where ``use`` reads it in a loop."""
     return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def boxed(docs: DataFrame, *columns: Column) -> DataFrame:
+    """Each row as the struct ``doc``, beside ``columns``; names inside cannot clash with others."""
+    return docs.select(F.struct("*").alias("doc"), *columns)
+
+
+def unboxed(df: DataFrame, names: list[str], **new: Column) -> DataFrame:
+    """The rows in ``doc`` again, with ``new`` in place of the columns of that name."""
+    return df.select(*[
+        new[name].alias(name) if name in new else F.col("doc").getField(name).alias(name) for name in names])

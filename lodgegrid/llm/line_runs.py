@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodgegrid.session import cut_lineage, scratch_path
 from lodgegrid.sinks.store import read_version, versions, write_version
 
-from .common import SPACE_CHARS, ascii_lower, documents, let
+from .common import SPACE_CHARS, ascii_lower, boxed, documents, let, unboxed
 
 MIN_KEY = 10
 BATCHES = 4
@@ -115,30 +115,37 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, min_key: int = MIN_KE
 
 
 def dedup_lines(docs: DataFrame, batches: int = BATCHES, min_key: int = MIN_KEY) -> DataFrame:
-    """``docs`` with the columns ``_n_lines``, ``_n_dropped`` and ``_kept`` (the text left) added."""
+    """``doc`` (the row of ``docs``), ``n_lines``, ``n_dropped`` and ``kept`` (the text left)."""
     drops = dropped_lines(docs, batches, min_key).withColumnsRenamed(
-        {"doc_id": "_drop_id", "text_hash": "_drop_hash", "drop": "_drop"})
-    joined = docs.join(
-        drops,
-        F.col("doc_id").eqNullSafe(F.col("_drop_id")) & (F.xxhash64("text") == F.col("_drop_hash")),
-        "left")
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
-    drop = F.coalesce("_drop", F.array().cast("array<int>"))
+        {"doc_id": "drop_id", "text_hash": "drop_hash"})
+    rows = boxed(docs, F.col("doc_id").alias("id"), F.xxhash64("text").alias("own_hash"),
+                 F.coalesce("text", F.lit("")).alias("own_text"))
+    joined = rows.join(
+        drops, F.col("id").eqNullSafe(F.col("drop_id")) & (F.col("own_hash") == F.col("drop_hash")), "left")
+    lines = F.split("own_text", "\n")
+    drop = F.coalesce("drop", F.array().cast("array<int>"))
     kept = let(lines, lambda every: F.array_join(
         F.transform(
             F.array_except(F.sequence(F.lit(0), F.size(every) - 1), drop),
             lambda i: F.get(every, i)),
         "\n"))
     return joined.select(
-        *[F.col(c) for c in docs.columns],
-        F.size(lines).alias("_n_lines"), F.size(drop).alias("_n_dropped"),
-        F.when(F.size(drop) > 0, kept).otherwise(F.coalesce("text", F.lit(""))).alias("_kept"))
+        "doc", F.size(lines).alias("n_lines"), F.size(drop).alias("n_dropped"),
+        F.when(F.size(drop) > 0, kept).otherwise(F.col("own_text")).alias("kept"))
+
+
+def without_repeated_lines(docs: DataFrame, batches: int = BATCHES, min_key: int = MIN_KEY) -> DataFrame:
+    """``docs`` with what is left of their texts; ``n_chars``, where there is one, follows."""
+    new = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+    return unboxed(dedup_lines(docs, batches, min_key), docs.columns, **new)
 
 
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_lines(documents(spark, folder).select("doc_id", "text")).select(
-        "doc_id", F.col("_n_lines").cast("long").alias("n_lines"),
-        F.col("_n_dropped").cast("long").alias("n_dropped"), F.sha2("_kept", 256).alias("kept_sha256"))
+        F.col("doc.doc_id").alias("doc_id"), F.col("n_lines").cast("long").alias("n_lines"),
+        F.col("n_dropped").cast("long").alias("n_dropped"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 OP5_SQL = """

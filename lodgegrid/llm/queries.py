@@ -6,14 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .line_rules import OP8_SQL, op8_quality_rules
+from .mixing import op2_mixing
+from .packing import op1_packing
+from .jaccard_forest import op3_ngram_jaccard_join
 from .line_runs import OP5_SQL, op5_line_dedup
 from .qda import op7_quality_classifier
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_mixing": op2_mixing,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op5_line_dedup": op5_line_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_quality_rules": op8_quality_rules,
 }
 
 LLM_SQL: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
+    "op8_quality_rules": OP8_SQL,
 }

@@ -1,0 +1,99 @@
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from lodgegrid.llm.feistel import permute, unpermute
+from lodgegrid.llm.mixing import mix, mixed_texts, op2_mixing, quota, shard_counts, targets
+
+from .conftest import FOLDER
+
+
+def test_permutation_and_its_inverse():
+    for n in (1, 2, 3, 5, 16, 17, 1000, 4097):
+        images = permute(np.arange(n), n, 1, 2)
+        assert sorted(images) == list(range(n))
+        assert unpermute(images, n, 1, 2).tolist() == list(range(n))
+    assert permute(np.arange(1000), 1000, 1).tolist() != permute(np.arange(1000), 1000, 2).tolist()
+
+
+def test_targets_stop_at_the_cap():
+    assert targets([100, 100, 100], [5, 2, 1], 450) == [200.0, pytest.approx(500 / 3), pytest.approx(250 / 3)]
+    assert targets([0, 10], [5, 2], 15) == [0.0, 15.0]
+    assert targets([], [], 0) == []
+
+
+def test_shards_share_the_quotas():
+    slots = np.array([700, 0, 41, 3])
+    shares = [shard_counts(i, 8, slots, 100, 5) for i in range(8)]
+    counts = np.array([c for c, _ in shares])
+    assert counts.sum(axis=0).tolist() == slots.tolist()
+    assert counts.sum(axis=1).tolist() == [100] * 7 + [44]
+    for i, (_, before) in enumerate(shares):
+        assert before.tolist() == counts[:i].sum(axis=0).tolist()
+
+
+@pytest.mark.parametrize("words,target", [(10, 7.0), (10, 20.0), (1000, 1333.4), (1023, 1023.0), (1025, 1500.0), (1, 1.5)])
+def test_slots_of_a_quota_hold_the_target(words, target):
+    block = 64
+    q = quota(2, "s", words, target, block, 9)
+    length = lambda b: min(block, words - b * block)
+    taken = 0
+    for j in range(q.slots):
+        b = int(permute(np.array([j % q.blocks]), q.blocks, 9, 2, j // q.blocks)[0])
+        taken += min(length(b), q.last_take) if j == q.slots - 1 else length(b)
+    assert taken == round(target)
+
+
+def test_every_source_meets_its_target(spark):
+    rows = op2_mixing(spark, FOLDER).collect()
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
+    size = {d.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", d.text)) for d in docs}
+    source = {d.doc_id: d.source for d in docs}
+    assert {r.doc_id: r.size for r in rows} == size and len(rows) == len(docs)
+    names = sorted(set(source.values()))
+    totals = [sum(size[d] for d in size if source[d] == n) for n in names]
+    goal = dict(zip(names, targets(totals, [(5, 2, 1)[i % 3] for i in range(len(names))], 1.5 * sum(totals))))
+    taken = defaultdict(int)
+    for r in rows:
+        assert r.target == pytest.approx(goal[source[r.doc_id]]) and 0 <= r.taken <= 2 * r.size
+        taken[source[r.doc_id]] += r.taken
+    for name in names:
+        assert taken[name] == round(goal[name])
+    assert sum(goal.values()) == pytest.approx(1.5 * sum(totals))
+    again = {(r.doc_id, r.taken) for r in op2_mixing(spark, FOLDER).repartition(3).collect()}
+    assert again == {(r.doc_id, r.taken) for r in rows}
+
+
+def test_texts_of_the_mix_are_the_words_taken(make_docs):
+    rows = [(i, " ".join(f"d{i}w{j}" for j in range(i % 40)), f"s{i % 4}") for i in range(200)]
+    docs = make_docs(rows, ["block", "rank", "first"])
+    spans, sources = mix(docs, block=16, per_shard=8)
+    texts = mixed_texts(docs, spans)
+    assert texts.columns == docs.columns
+    words = Counter(w for r in texts.collect() for w in r.text.split())
+    assert max(words.values()) <= 2
+    for s in sources:
+        own = {w for i, t, name in rows if name == s.name for w in t.split()}
+        assert sum(words[w] for w in own) == round(s.target)
+    for r in texts.collect():
+        assert r.n_chars == len(r.text) and r.text in dict((i, t) for i, t, _ in rows)[r.doc_id]
+    # slots are numbered without gaps and shards are full but for the last
+    places = spans.filter("shard IS NOT NULL").select("shard", "slot").distinct().collect()
+    per_shard = Counter(p.shard for p in places)
+    assert all(per_shard[s] == 8 for s in range(max(per_shard)))
+
+
+def test_odd_rows(make_docs, odd_rows):
+    rows = [(i, t, s) for (i, t), s in zip(odd_rows, [None, "b", None, "a", "a", "b", "c", "c", "d", "é", "Z", None, "empty"])]
+    docs = make_docs(rows, ["size", "taken", "copy"])
+    spans, sources = mix(docs)
+    taken = spans.groupBy("rank", "first", "doc_id", "text_hash", "size", "copy").sum("n_words").collect()
+    assert len(taken) == len(rows) and all(r["sum(n_words)"] <= 2 * r["size"] for r in taken)
+    assert [s.name for s in sources] == ["Z", "a", "b", "c", "d", "empty", "é", None]
+    assert mixed_texts(docs, spans).count() > 0
+    spans, sources = mix(make_docs([]))
+    assert spans.count() == 0 and sources == [] and mixed_texts(make_docs([]), spans).count() == 0
+    spans, _ = mix(make_docs([(1, None), (2, "")]))
+    assert [(r.size, r.n_words) for r in spans.collect()] == [(0, 0), (0, 0)]
