@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from .line_rules import OP8_SQL, op8_quality_rules
 from .mixing import op2_mixing
 from .packing import op1_packing
+from .bloom_lm import op9_lm_scoring
 from .jaccard_forest import op3_ngram_jaccard_join
 from .line_runs import OP5_SQL, op5_line_dedup
 from .qda import op7_quality_classifier
+from .warc import OP10_SQL, op10_warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
@@ -20,9 +22,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lm_scoring": op9_lm_scoring,
+    "op10_warc": op10_warc,
 }
 
 LLM_SQL: dict[str, str] = {
     "op5_line_dedup": OP5_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op10_warc": OP10_SQL,
 }
