@@ -13,13 +13,17 @@ from .bloom_lm import op9_lm_scoring
 from .jaccard_forest import op3_ngram_jaccard_join
 from .line_runs import OP5_SQL, op5_line_dedup
 from .qda import op7_quality_classifier
+from .syncmers import op6_document_fingerprints
+from .token_order import op4_training_order
 from .warc import OP10_SQL, op10_warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_mixing": op2_mixing,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_training_order": op4_training_order,
     "op5_line_dedup": op5_line_dedup,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_quality_rules": op8_quality_rules,
     "op9_lm_scoring": op9_lm_scoring,
