@@ -1,0 +1,102 @@
+import duckdb
+import pytest
+
+from lodgegrid.llm.common import ascii_lower
+from lodgegrid.llm.line_rules import OP8_SQL, clean_lines, judged, op8_quality_rules
+from lodgegrid.llm.line_runs import LineRuns, OP5_SQL, dedup_lines, op5_line_dedup, without_repeated_lines
+
+from .conftest import FOLDER
+
+
+def sql_rows(sql, docs):
+    connection = duckdb.connect()
+    if docs is None:
+        connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{FOLDER}/documents.parquet'")
+    else:
+        connection.sql("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+        connection.executemany("INSERT INTO documents VALUES (?, ?)", docs)
+    frame = connection.sql(sql)
+    return sorted(map(repr, (dict(sorted(zip(frame.columns, r))) for r in frame.fetchall())))
+
+
+def rows_of(df):
+    return sorted(map(repr, (dict(sorted(r.asDict().items())) for r in df.collect())))
+
+
+@pytest.mark.parametrize("query,sql", [(op5_line_dedup, OP5_SQL), (op8_quality_rules, OP8_SQL)])
+def test_small_table_equals_sql(spark, query, sql):
+    assert rows_of(query(spark, FOLDER)) == sql_rows(sql, None)
+
+
+LINES = [
+    (1, "A line that repeats itself.\nA line that repeats itself.\nshort\n\nOnly here, a longer one."),
+    (2, "  a LINE that repeats itself.\t\nshort\nTrailing\n"), (3, "A line that repeats itself."),
+    (4, ""), (5, None), (6, "\n\n"), (7, "É line that repeats itself\né line that repeats itself"),
+    (8, "é line that repeats itself"), (9, "Only here, a longer one.\r\nnine char\nnine charss"), (10, "nine charss"),
+]
+
+
+@pytest.mark.parametrize("batches", [1, 4, 9])
+def test_line_dedup_in_any_number_of_batches(make_docs, batches):
+    from pyspark.sql import functions as F
+
+    docs = make_docs(LINES, ["kept", "drop", "pos"])
+    found = dedup_lines(docs, batches).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+    assert rows_of(found) == sql_rows(OP5_SQL, LINES)
+
+
+def test_line_dedup_odd_rows(make_docs, odd_rows):
+    docs = make_docs(odd_rows, ["kept", "drop"])
+    kept = without_repeated_lines(docs)
+    assert kept.columns == docs.columns and kept.count() == len(odd_rows)
+    by_id = {(r.doc_id, r.n_chars): r.text for r in kept.collect()}
+    assert by_id[(9, 0)] == "" and sum(k[0] == 6 and t == "repeated row text here" for k, t in by_id.items()) == 1
+    assert sorted(r.text for r in kept.filter("doc_id IS NULL").collect()) == ["", "a text without an id"]
+    assert without_repeated_lines(make_docs([])).count() == 0
+
+
+def test_runs_are_compacted_and_reopened(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    for i in range(7):
+        rows = [(bytes([b]), 10 * i + b) for b in range(i, i + 5)]
+        LineRuns(spark, root, fanout=3).add(spark.createDataFrame(rows, "line_hash binary, doc_id long"))
+    index = LineRuns(spark, root, fanout=3)
+    assert sorted(level for level, _ in index.runs) == [0, 1, 1]
+    found = {r.line_hash[0]: r.first_doc for r in index.table().collect()}
+    assert index.table().count() == len(found) == 11
+    assert found == {b: (10 * max(0, b - 4) + b) for b in range(11)}
+
+
+RULES = [
+    (1, "A clean text of more than ten words stands here, and it ends well."),
+    (2, "home | about | contact | login | terms | privacy | help | more | and | so on."),
+    (3, "This sentence is quite fine and has its ten words indeed.\nHome\nAccept cookies please now.\nno end of sentence here"),
+    (4, "word " * 40), (5, ""), (6, None), (7, "one two three four five six. one two three four five six. other words."),
+    (8, "BUY!! NOW!! THIS!! IS!! SO!! GOOD!! FOR!! ALL!! OF!! YOU!! HERE!!"), (9, "a b c d e a b c d e f g h i j k l m n o p."),
+    (10, "costs$$$ many### of%%% those*** are&&& bad### and%%% more*** of&&& it$$$.\nBut here is a longer line that is fine and has many words."),
+    (11, "ünïcode wörds ärë fïne tôo, às löng às thêy énd wéll…\n\x0b\n \t\nünïcode wörds ärë fïne tôo, às löng às thêy énd wéll…"),
+    (12, "x y z w v u t s r q p o. x y z w v u t s r q p o."),
+]
+
+
+def test_rules_equal_sql(make_docs):
+    from pyspark.sql import functions as F
+
+    found = judged(make_docs(RULES, ["kept", "verdict"])).select(
+        F.col("doc.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "lines_removed", "lost_chars")
+    assert rows_of(found) == sql_rows(OP8_SQL, RULES)
+    kept = {r["doc_id"] for r in found.filter("kept").collect()}
+    assert {1, 11} & kept == {1} and not {2, 4, 5, 6, 8} & kept
+
+
+def test_rules_odd_rows(make_docs, odd_rows):
+    docs = make_docs(odd_rows, ["kept", "clean_text", "verdict"])
+    assert judged(docs).count() == len(odd_rows)
+    assert clean_lines(docs).columns == docs.columns
+    assert clean_lines(make_docs([])).count() == 0
+
+
+def test_lower_case_is_ascii_only(spark):
+    assert spark.sql("SELECT 'ÀAzZ' AS t").select(ascii_lower("t").alias("t")).first().t == "Àazz"
