@@ -5,9 +5,13 @@ row per class goes on. Its MinHash signature fills ``TREES`` tries: in each it i
 ``DEPTH`` one-byte hashes, and sorted labels are the trie. Two classes meet where their labels share a
 prefix. The prefix is shortened from the full label until a pair at the threshold meets in some trie
 with probability ``TARGET_RECALL``; shorter prefixes would only add pairs below the threshold. Spark
-sorts the labels by (tree, prefix) and joins the runs of equal ones, so a hot node is split like any
-skewed key. Every pair met is then verified on the whole shingle sets, so no pair below the threshold
-stays. Groups are the connected components of the links.
+sorts the labels by (tree, prefix) and joins the runs of equal ones. Every pair met is then verified on
+the whole shingle sets, so no pair below the threshold stays. Groups are the connected components of
+the links.
+
+A node of more than ``WIDE_NODE`` classes forms no pairs. The classes that such nodes connect are a wide
+group, all of whose pairs are verified a pair of blocks at a time; a block task writes a count and a
+connection per class. So what is written grows with the classes, not with the square of a group.
 
 Cases
 -----
@@ -38,6 +42,9 @@ THRESHOLD = 0.8
 TREES = 32
 DEPTH = 8
 TARGET_RECALL = 0.9999
+#: At nodes of more classes than this no pairs are formed; their groups are verified in blocks.
+WIDE_NODE = 32
+BLOCK = 256
 #: Ids of verified documents are broadcast up to this many (16 bytes each), and shuffled beyond.
 BROADCAST_IDS = 1_000_000
 
@@ -96,57 +103,146 @@ def signature_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
         run, f"doc_id {kind}, text_hash long, set_key binary, n_shingles int, labels array<long>")
 
 
-def candidate_pairs(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``a, b``: set keys of classes that share a prefix in some tree; ``a < b``."""
+def shared_nodes(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``set_key, n_shingles, tree, prefix, members, lead``: classes at trie nodes with several, written once."""
     depth = prefix_depth(threshold)
     nodes = classes.filter("labels IS NOT NULL").select(
         "set_key", "n_shingles", F.posexplode("labels").alias("tree", "label"),
     ).select(
         "set_key", "n_shingles", "tree",
         F.shiftrightunsigned("label", 8 * (DEPTH - depth)).alias("prefix"))
-    left = nodes.withColumnsRenamed({"set_key": "a", "n_shingles": "n_a"})
-    right = nodes.withColumnsRenamed({"set_key": "b", "n_shingles": "n_b"})
+    sizes = nodes.groupBy("tree", "prefix").agg(
+        F.count(F.lit(1)).alias("members"), F.min("set_key").alias("lead")).filter("members > 1")
+    return cut_lineage(nodes.join(sizes, ["tree", "prefix"]), "nodes")
+
+
+def wide_groups(nodes: DataFrame, wide: int = WIDE_NODE) -> DataFrame:
+    """``set_key, wide``: classes that meet at nodes of more than ``wide``, by connected group."""
+    edges = nodes.filter((F.col("members") > wide) & (F.col("set_key") != F.col("lead")))
+    groups = components(edges.select(F.col("set_key").alias("a"), F.col("lead").alias("b")).distinct())
+    return cut_lineage(groups.select(F.col("node").alias("set_key"), F.col("root").alias("wide")), "wide-groups")
+
+
+def candidate_pairs(nodes: DataFrame, groups: DataFrame, threshold: float = THRESHOLD,
+                    wide: int = WIDE_NODE) -> DataFrame:
+    """``a, b``: set keys that meet at a node of at most ``wide``; ``a < b``, not both in one wide group.
+
+    A class meets fewer than ``wide`` others in a tree, so the pairs grow with the classes.
+    """
+    few = nodes.filter(F.col("members") <= wide).join(groups, "set_key", "left").select(
+        "set_key", "n_shingles", "tree", "prefix", "wide")
+    left = few.withColumnsRenamed({"set_key": "a", "n_shingles": "n_a", "wide": "wide_a"})
+    right = few.withColumnsRenamed({"set_key": "b", "n_shingles": "n_b", "wide": "wide_b"})
     close = F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b") - 1e-9
-    return left.join(right, ["tree", "prefix"]).filter((F.col("a") < F.col("b")) & close).select("a", "b").distinct()
-
-
-def verified_links(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: float = THRESHOLD,
-                   words: int = WORDS) -> DataFrame:
-    """``a, b, jaccard`` of the pairs whose whole shingle sets reach the threshold."""
-    pairs = cut_lineage(pairs, "pairs")
-    # the text of one document stands for its class
-    needed = cut_lineage(
-        pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-        .join(classes.select("set_key", "sample_id", "sample_hash"), "set_key"), "needed")
-    ids = needed.select(F.col("sample_id").alias("_id"), F.col("sample_hash").alias("_hash"), "set_key")
+    apart = F.coalesce(F.col("wide_a") != F.col("wide_b"), F.lit(True))
+    return left.join(
+        right,
+        (left["tree"] == right["tree"]) & (left["prefix"] == right["prefix"])
+        & (F.col("a") < F.col("b")) & close & apart,
+    ).select("a", "b").distinct()
+
+
+def shingle_sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, words: int = WORDS) -> DataFrame:
+    """``set_key, hashes`` of the classes in ``needed``, from the text of one document each."""
+    needed = cut_lineage(needed.distinct().join(
+        classes.select("set_key", "sample_id", "sample_hash"), "set_key"), "needed")
+    ids = needed.select(F.col("sample_id").alias("id"), F.col("sample_hash").alias("hash"), "set_key")
     if needed.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
-    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash")).join(
-        ids, (F.col("doc_id") == F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("own_hash")).join(
+        ids, (F.col("doc_id") == F.col("id")) & (F.col("own_hash") == F.col("hash")))
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({
                 "set_key": batch["set_key"], "hashes": [shingles(t, words).tobytes() for t in batch["text"]]})
 
-    held = cut_lineage(
-        texts.select("set_key", "text").mapInPandas(sets, "set_key binary, hashes binary"), "shingle-sets")
-    first = held.withColumnsRenamed({"set_key": "a", "hashes": "hashes_a"}).dropDuplicates(["a"])
-    second = held.withColumnsRenamed({"set_key": "b", "hashes": "hashes_b"}).dropDuplicates(["b"])
+    # repeated rows give a class's text more than once
+    return cut_lineage(
+        texts.select("set_key", "text").mapInPandas(sets, "set_key binary, hashes binary"),
+        "shingle-sets").dropDuplicates(["set_key"])
+
+
+def verified_pairs(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``a, b`` of the pairs whose whole shingle sets reach the threshold."""
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            likeness = []
+            true = []
             for x, y in zip(batch["hashes_a"], batch["hashes_b"]):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                likeness.append(both / (len(x) + len(y) - both))
-            out = pd.DataFrame({"a": batch["a"], "b": batch["b"], "jaccard": likeness})
-            yield out[out["jaccard"] >= threshold]
+                true.append(both / (len(x) + len(y) - both) >= threshold)
+            yield batch.loc[np.array(true, dtype=bool), ["a", "b"]]
+
+    first = sets.withColumnsRenamed({"set_key": "a", "hashes": "hashes_a"})
+    second = sets.withColumnsRenamed({"set_key": "b", "hashes": "hashes_b"})
+    return cut_lineage(
+        pairs.join(first, "a").join(second, "b").mapInPandas(verify, "a binary, b binary"), "links")
+
+
+def overlaps(rows: list[np.ndarray], columns: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each of ``rows`` shares with each of ``columns``."""
+    both = np.intersect1d(np.concatenate(rows), np.concatenate(columns))
+    out = np.zeros((len(rows), len(columns)), dtype=np.float32)
+    for low in range(0, len(both), 8192):
+        part = both[low:low + 8192]
+        marks = []
+        for own in (rows, columns):
+            marks.append(np.zeros((len(own), len(part)), dtype=np.float32))
+            for i, hashes in enumerate(own):
+                inside = hashes[np.searchsorted(hashes, part[0]):np.searchsorted(hashes, part[-1], "right")]
+                at = np.searchsorted(part, inside)
+                marks[-1][i, at[part[at] == inside]] = 1
+        out += marks[0] @ marks[1].T
+    return out
+
+
+def wide_links(groups: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float = THRESHOLD,
+               block: int = BLOCK) -> DataFrame:
+    """``set_key, others, root`` from every two blocks of each wide group.
+
+    All pairs of a group are verified, a pair of blocks of about ``block`` classes at a time, and none
+    is written: a row says how many documents a class is linked to there and the smallest class that
+    these blocks connect it with.
+    """
+    sized = groups.groupBy("wide").agg(F.count(F.lit(1)).alias("members")).select(
+        "wide", F.ceil(F.col("members") / block).cast("int").alias("blocks"))
+    held = groups.join(sized, "wide").join(classes.select("set_key", "copies"), "set_key").withColumn(
+        "own", F.pmod(F.xxhash64("set_key"), "blocks").cast("int"))
+    dealt = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "wide", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "set_key", "copies")
+
+    def verify(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("set_key")
+        hashes = [np.frombuffer(b, np.uint64) for b in frame["hashes"]]
+        size, copies = np.array(list(map(len, hashes))), frame["copies"].to_numpy()
+        left, right = (np.flatnonzero(frame["own"].to_numpy() == k) for k in key[1:])
+        others, root = np.zeros(len(frame), dtype=np.int64), list(range(len(frame)))
+        if len(left) and len(right):
+            both = overlaps([hashes[i] for i in left], [hashes[i] for i in right])
+            linked = both / (size[left][:, None] + size[right][None, :] - both) >= threshold - 1e-7
+            linked &= left[:, None] != right[None, :]
+            others[left] += linked @ copies[right]
+            if key[1] != key[2]:
+                others[right] += linked.T @ copies[left]
+
+            def top(i: int) -> int:
+                while root[i] != i:
+                    root[i] = root[root[i]]
+                    i = root[i]
+                return i
+
+            for i, j in zip(*np.nonzero(linked)):
+                x, y = top(left[i]), top(right[j])
+                root[max(x, y)] = min(x, y)
+            root = [top(i) for i in range(len(frame))]
+        keys = frame["set_key"].tolist()
+        return pd.DataFrame({"set_key": keys, "others": others, "root": [keys[i] for i in root]})
 
     return cut_lineage(
-        pairs.join(first, "a").join(second, "b").mapInPandas(verify, "a binary, b binary, jaccard double"),
-        "links")
+        dealt.join(sets, "set_key").groupBy("wide", "low", "high").applyInPandas(
+            verify, "set_key binary, others long, root binary"), "wide-links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -181,13 +277,13 @@ def components(links: DataFrame) -> DataFrame:
     return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
-    """``(documents, links)``.
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS,
+                    wide: int = WIDE_NODE, block: int = BLOCK) -> DataFrame:
+    """``doc_id, class_id, copy_of, n_links`` per row of ``docs``.
 
-    ``documents`` has ``doc_id, class_id, copy_of, n_links`` per row of ``docs``: the smallest
-    ``doc_id`` of its group of linked documents and of its equal documents, and how many other
-    documents it is linked to, equal ones included. ``links`` has ``doc_a, doc_b, jaccard`` between the
-    documents that stand for their classes.
+    ``class_id`` is the smallest ``doc_id`` of its group of linked documents, ``copy_of`` that of the
+    documents with the same shingles, and ``n_links`` how many other documents it is linked to, those
+    with the same shingles included.
     """
     signed = cut_lineage(signature_table(docs, words), "signatures")
     named = signed.filter("doc_id IS NOT NULL")
@@ -196,13 +292,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
         F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels"),
     ).select("set_key", "copies", "n_shingles", "labels", F.col("sample.doc_id").alias("sample_id"),
              F.col("sample.text_hash").alias("sample_hash")), "classes")
-    links = verified_links(docs, classes, candidate_pairs(classes, threshold), threshold, words)
+    nodes = shared_nodes(classes, threshold)
+    groups = wide_groups(nodes, wide)
+    pairs = cut_lineage(candidate_pairs(nodes, groups, threshold, wide), "pairs")
+    sets = shingle_sets(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("set_key")).union(
+        groups.select("set_key")), words)
+    links = verified_pairs(pairs, sets, threshold)
+    within = wide_links(groups, classes, sets, threshold, block)
     slim = classes.select("set_key", "sample_id", "copies")
     ends = links.select(F.col("a").alias("set_key"), F.col("b").alias("other")).union(links.select("b", "a"))
     linked = ends.join(
         slim.select(F.col("set_key").alias("other"), F.col("copies").alias("others")), "other",
-    ).groupBy("set_key").agg(F.sum("others").alias("others"))
-    groups = components(links).withColumnRenamed("node", "set_key")
+    ).select("set_key", "others").union(within.select("set_key", "others")).groupBy("set_key").agg(
+        F.sum("others").alias("others"))
+    edges = links.union(within.filter(F.col("set_key") != F.col("root")).select("set_key", "root"))
+    groups = components(edges.distinct()).withColumnRenamed("node", "set_key")
     roots = groups.join(slim, "set_key").groupBy("root").agg(F.min("sample_id").alias("class_id"))
     table = (
         slim.join(linked, "set_key", "left").join(groups, "set_key", "left").join(roots, "root", "left")
@@ -216,10 +320,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     unnamed = signed.filter("doc_id IS NULL").select(
         "doc_id", F.lit(None).cast(kind).alias("class_id"), F.lit(None).cast(kind).alias("copy_of"),
         F.lit(0).cast("long").alias("n_links"))
-    named_links = links.join(
-        slim.select(F.col("set_key").alias("a"), F.col("sample_id").alias("doc_a")), "a",
-    ).join(slim.select(F.col("set_key").alias("b"), F.col("sample_id").alias("doc_b")), "b")
-    return rows.unionByName(unnamed), named_links.select("doc_a", "doc_b", "jaccard")
+    return rows.unionByName(unnamed)
 
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
@@ -227,7 +328,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS)
 
     Rows without a ``doc_id`` stay, and so do different texts under one ``doc_id``.
     """
-    groups, _ = near_duplicates(docs, threshold, words)
+    groups = near_duplicates(docs, threshold, words)
     kept = groups.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("kept_id")).distinct()
     rows = boxed(docs, F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
     unique = rows.join(kept, F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id", "text_hash"])
@@ -235,4 +336,4 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(documents(spark, folder))[0]
+    return near_duplicates(documents(spark, folder))
