@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lodgegrid.session import cut_lineage
 
 from .common import documents
-from .tokens import END_ID, VOCABULARY, encoder
+from .tokens import VOCABULARY, encoder
 
 SEQUENCE = 2048
 GROUP_SIZE = 4096
@@ -85,7 +85,7 @@ def piece_table(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str = VOC
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.append(tokens.ids(text), np.uint32(END_ID)).astype("<u4")
+                ids = tokens.closed_ids(text)
                 for start in range(0, len(ids), sequence):
                     piece = ids[start:start + sequence]
                     out.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))

@@ -1,22 +1,25 @@
 """Training-order materialisation: sequences in a keyed pseudorandom order, in fixed-stride shards.
 
-The documents' ids, each document closed by the end id, form one long stream in the order in which the
-files are read, cut into sequences of ``SEQUENCE`` ids; only the last is padded. Sequence ``i`` of ``n``
-gets the global slot that a keyed Feistel permutation with cycle-walking gives to ``i``, so a slot's
-sequence, and a sequence's slot, are computed, not looked up. Shard ``k`` holds the slots from ``k *
-SHARD`` on, in order. Every record has the same number of bytes: the ids, little-endian, and a line feed
-by which Spark's text writer ends it. A reader that stopped at a slot goes on from its shard and byte.
+Each input split is one stream of ids, every document closed by the end id, cut into sequences of
+``SEQUENCE`` ids of which the last is padded. A split's sequences are numbered from a base that leaves
+room for as many as its text bytes could give (an id stands for at least one byte), so numbers are known
+before anything is encoded and ids are encoded and shuffled once. A keyed Feistel permutation with
+cycle-walking over all numbers gives every sequence its global slot. Numbers that no sequence uses leave
+slots empty; the training order is the order of the slots that are used.
 
-Two passes read the same splits: the first counts each split's ids, the second, knowing where a split's
-ids begin in the stream, cuts and deals them, so ids are shuffled once and never stored in between. Each
-pass digests the documents it sees, and the second fails if a split is not what it was.
+Ranges of ``SHARD`` slots are shards. A shard is one file of records in slot order, each of the same
+number of bytes: the slot, the ids, and the line feed with which Spark's text writer ends it. A reader
+goes on from a shard and a byte, or finds a slot by bisection over the fixed stride.
+
+The second pass over the splits checks that each holds as many documents and bytes as the first counted
+and fails otherwise.
 
 Cases
 -----
-* NULL and empty texts are the end id alone. ``doc_id`` is only digested, so NULL and repeated ids and
+* NULL and empty texts are the end id alone. ``doc_id`` is not read, so NULL and repeated ids and
   repeated rows are documents like others.
 * No documents, no sequences and no shards.
-* Columns beyond ``doc_id`` and ``text`` are not read.
+* Columns beyond ``text`` are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +31,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -36,156 +38,118 @@ from lodgegrid.session import scratch_path
 
 from .common import documents
 from .feistel import permute, unpermute
-from .tokens import END_ID, VOCABULARY, encoder
+from .tokens import VOCABULARY, encoder
 
 SEQUENCE = 2048
-SHARD = 8192
+SHARD = 16_384
 PAD_ID = 50_256
 WIDTH = 2
 KEY = 11
+HELD_SEQUENCES = 256
 
 
 @dataclass(frozen=True)
 class Layout:
-    """How many ids there are and how they are laid out on disk."""
+    """How sequences are numbered and laid out; ``splits`` holds (split, documents, bytes, base)."""
 
-    tokens: int
+    splits: tuple[tuple[int, int, int, int], ...]
+    numbers: int
     sequence: int
     shard: int
     width: int
     key: int
 
     @property
-    def sequences(self) -> int:
-        return math.ceil(self.tokens / self.sequence)
+    def shards(self) -> int:
+        return math.ceil(self.numbers / self.shard)
 
     @property
-    def shards(self) -> int:
-        return math.ceil(self.sequences / self.shard)
+    def ids_bytes(self) -> int:
+        return self.sequence * self.width
 
     @property
     def stride(self) -> int:
-        return self.sequence * self.width + 1
+        return 8 + self.ids_bytes + 1
 
-    def slot_of(self, index: np.ndarray) -> np.ndarray:
-        return permute(index, self.sequences, self.key)
+    def slot_of(self, number: np.ndarray) -> np.ndarray:
+        return permute(number, self.numbers, self.key)
 
-    def index_of(self, slot: np.ndarray) -> np.ndarray:
-        return unpermute(slot, self.sequences, self.key)
+    def number_of(self, slot: np.ndarray) -> np.ndarray:
+        return unpermute(slot, self.numbers, self.key)
 
 
-def _streams(frames: Iterator[pd.DataFrame], vocabulary: str):
-    """Ids of each document and a running digest of the documents seen."""
-    tokens, seen = encoder(vocabulary), xxhash.xxh3_64()
-    for frame in frames:
-        for doc_id, text in zip(frame["doc_id"], frame["text"]):
-            seen.update(f"{doc_id}/{len(text or '')}/".encode())
-            yield np.append(tokens.ids(text), np.uint32(END_ID)), seen
+def plan_layout(docs: DataFrame, sequence: int, shard: int, width: int, key: int) -> Layout:
+    """Bases from each split's documents and bytes: one row per split reaches the driver."""
+    counted = docs.select(F.spark_partition_id().alias("split"), F.octet_length("text").alias("size")).groupBy(
+        "split").agg(F.count(F.lit(1)).alias("documents"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
+    splits, base = [], 0
+    for r in counted.orderBy("split").collect():
+        splits.append((r.split, r.documents, r.bytes, base))
+        base += math.ceil((r.documents + r.bytes) / sequence)
+    return Layout(tuple(splits), base, sequence, shard, width, key)
 
 
-def count_ids(docs: DataFrame, vocabulary: str = VOCABULARY) -> list[tuple[int, int, int]]:
-    """``(split, ids, digest)`` of every split that has documents; one row per split."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, digest = 0, None
-        for ids, digest in _streams(frames, vocabulary):
-            total += len(ids)
-        if digest is not None:
-            yield pd.DataFrame({
-                "split": [TaskContext.get().partitionId()], "ids": [total],
-                "digest": [digest.intdigest() >> 1]})
-
-    counted = docs.select("doc_id", "text").mapInPandas(run, "split int, ids long, digest long")
-    return sorted((r.split, r.ids, r.digest) for r in counted.collect())
-
-
-def dealt_pieces(docs: DataFrame, layout: Layout, counts: list[tuple[int, int, int]],
-                 vocabulary: str = VOCABULARY) -> DataFrame:
-    """``shard, slot, offset, ids``: every sequence, in two pieces where a split border cuts it."""
-    starts = np.cumsum([0, *[n for _, n, _ in counts]])
-    base = {split: (int(start), n, digest) for (split, n, digest), start in zip(counts, starts)}
+def sequences(docs: DataFrame, layout: Layout, vocabulary: str = VOCABULARY) -> DataFrame:
+    """``shard, slot, record``: every sequence of ``docs`` with its slot in front."""
+    known = {split: (documents, size, base) for split, documents, size, base in layout.splits}
     length, kind = layout.sequence, f"<u{layout.width}"
 
+    def rows(blocks: np.ndarray, first: int) -> pd.DataFrame:
+        slots = layout.slot_of(np.arange(first, first + len(blocks), dtype=np.int64))
+        return pd.DataFrame({
+            "shard": slots // layout.shard, "slot": slots,
+            "record": [int(s).to_bytes(8, "little") + b.tobytes() for s, b in zip(slots, blocks)]})
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split = TaskContext.get().partitionId()
+        split, tokens = TaskContext.get().partitionId(), encoder(vocabulary)
+        n_docs, n_bytes, number = known.get(split, (0, 0, 0))
         held: list[np.ndarray] = []
-        waiting, total, digest = 0, 0, None
-        begin = base.get(split, (0, 0, 0))[0]  # where the held ids start in the whole stream
-
-        def cut(final: bool) -> pd.DataFrame:
-            nonlocal held, waiting, begin
-            ids = np.concatenate(held)
-            stop = begin + len(ids)
-            ends = list(range((begin // length + 1) * length, stop + 1, length))
-            if final and (not ends or ends[-1] < stop):
-                ends.append(stop)
-            starts = [begin, *ends[:-1]] if ends else []
-            blobs = [ids[a - begin:b - begin].astype(kind).tobytes() for a, b in zip(starts, ends)]
-            slots = layout.slot_of(np.array(starts, dtype=np.int64) // length) if starts else np.zeros(0, np.int64)
-            out = pd.DataFrame({
-                "shard": slots // layout.shard, "slot": slots, "offset": [a % length for a in starts], "ids": blobs})
-            rest = ids[ends[-1] - begin:] if ends else ids
-            held, waiting, begin = [rest], len(rest), stop - len(rest)
-            return out
-
-        for ids, digest in _streams(frames, vocabulary):
-            held.append(ids)
-            waiting += len(ids)
-            total += len(ids)
-            if waiting >= 256 * length:
-                yield cut(False)
-        if digest is not None:
-            if (total, digest.intdigest() >> 1) != base.get(split, (0, 0, 0))[1:]:
-                raise RuntimeError(f"split {split} has other documents than when its ids were counted")
-            yield cut(True)
-
-    return docs.select("doc_id", "text").mapInPandas(run, "shard long, slot long, offset int, ids binary")
+        waiting = 0
+        for frame in frames:
+            for text in frame["text"]:
+                ids = tokens.closed_ids(text)
+                n_docs, n_bytes = n_docs - 1, n_bytes - len((text or "").encode("utf-8", "surrogatepass"))
+                held.append(ids)
+                waiting += len(ids)
+                if waiting >= HELD_SEQUENCES * length:
+                    ids = np.concatenate(held).astype(kind)
+                    whole = len(ids) // length
+                    yield rows(ids[:whole * length].reshape(whole, length), number)
+                    held, waiting, number = [ids[whole * length:]], len(ids) - whole * length, number + whole
+        if (n_docs, n_bytes) != (0, 0):
+            raise RuntimeError(f"split {split} has other documents than when the splits were counted")
+        if waiting:
+            ids = np.concatenate(held).astype(kind)
+            ids = np.concatenate([ids, np.full(-len(ids) % length, PAD_ID, dtype=kind)])
+            yield rows(ids.reshape(-1, length), number)
+
+    return docs.select("text").mapInPandas(run, "shard long, slot long, record binary")
 
 
 def write_shards(docs: DataFrame, path: str, sequence: int = SEQUENCE, shard: int = SHARD, key: int = KEY,
                  width: int = WIDTH, vocabulary: str = VOCABULARY) -> Layout:
     """The shards of ``docs`` below ``path``, one file in ``shard=k`` each; ``docs`` reads files."""
-    counts = count_ids(docs, vocabulary)
-    layout = Layout(sum(n for _, n, _ in counts), sequence, shard, width, key)
-    pad = np.full(sequence, PAD_ID if width > 1 or PAD_ID < 256 else 0, dtype=f"<u{width}").tobytes()
-
-    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, parts = None, []
-        for frame in frames:
-            out = []
-            for shard_id, slot, ids in zip(frame["shard"], frame["slot"], frame["ids"]):
-                if own is not None and own[1] != slot:
-                    out.append((*own, (b"".join(parts) + pad)[:len(pad)]))
-                    parts = []
-                own = (shard_id, slot)
-                parts.append(ids)
-            yield pd.DataFrame(out, columns=["shard", "slot", "record"])
-        if own is not None:
-            yield pd.DataFrame([(*own, (b"".join(parts) + pad)[:len(pad)])], columns=["shard", "slot", "record"])
-
-    pieces = dealt_pieces(docs, layout, counts, vocabulary)
-    records = pieces.repartitionById(max(layout.shards, 1), F.col("shard").cast("int")).sortWithinPartitions(
-        "shard", "slot", "offset").mapInPandas(join, "shard long, slot long, record binary")
-    (records.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
+    layout = plan_layout(docs, sequence, shard, width, key)
+    dealt = sequences(docs, layout, vocabulary).repartitionById(max(layout.shards, 1), F.col("shard").cast("int"))
+    (dealt.sortWithinPartitions("shard", "slot").select("shard", F.col("record").cast("string").alias("value"))
      .write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(path))
     return layout
 
 
 def read_shards(spark: SparkSession, path: str, layout: Layout, from_slot: int = 0) -> DataFrame:
     """``slot, shard, byte_offset, ids`` of the records from ``from_slot`` on; earlier shards stay unread."""
-    stride, size = layout.stride, layout.sequence * layout.width
+    stride, size = layout.stride, layout.ids_bytes
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for shard, content in zip(frame["shard"], frame["content"]):
-                n = len(content) // stride
-                first = max(0, from_slot - int(shard) * layout.shard)
+                slots = [int.from_bytes(content[at:at + 8], "little") for at in range(0, len(content), stride)]
+                first = int(np.searchsorted(slots, from_slot))
                 yield pd.DataFrame({
-                    "slot": shard * layout.shard + np.arange(first, n), "shard": shard,
-                    "byte_offset": np.arange(first, n) * stride,
-                    "ids": [bytes(content[i * stride:i * stride + size]) for i in range(first, n)]})
+                    "slot": slots[first:], "shard": shard, "byte_offset": np.arange(first, len(slots)) * stride,
+                    "ids": [bytes(content[i * stride + 8:i * stride + 8 + size]) for i in range(first, len(slots))]})
 
-    if not layout.sequences:
+    if not layout.numbers:
         return spark.createDataFrame([], "slot long, shard long, byte_offset long, ids binary")
     files = spark.read.format("binaryFile").option("basePath", path).load(path)
     return files.filter(F.col("shard") >= from_slot // layout.shard).select(
@@ -194,16 +158,15 @@ def read_shards(spark: SparkSession, path: str, layout: Layout, from_slot: int =
 
 
 def op4_training_order(spark: SparkSession, folder: str) -> DataFrame:
-    """``sequence_index, slot, shard, byte_offset, n_ids, ids_crc32`` of every record read back."""
+    """``number, slot, shard, byte_offset, ids_crc32`` of every record, read back from the shards."""
     path = scratch_path(spark, "token-shards")
     layout = write_shards(documents(spark, folder), path)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            index = layout.index_of(frame["slot"].to_numpy()) if len(frame) else np.zeros(0, np.int64)
-            used = np.minimum(layout.sequence, layout.tokens - index * layout.sequence)
-            yield frame[["slot", "shard", "byte_offset"]].assign(
-                sequence_index=index, n_ids=used, ids_crc32=[zlib.crc32(b) for b in frame["ids"]])
+            if len(frame):
+                yield frame[["slot", "shard", "byte_offset"]].assign(
+                    number=layout.number_of(frame["slot"].to_numpy()), ids_crc32=[zlib.crc32(b) for b in frame["ids"]])
 
     return read_shards(spark, path, layout).mapInPandas(
-        run, "sequence_index long, slot long, shard long, byte_offset long, n_ids long, ids_crc32 long")
+        run, "number long, slot long, shard long, byte_offset long, ids_crc32 long")

@@ -1,15 +1,12 @@
 """Token ids of whole texts, for use inside tasks.
 
-The vocabulary is the byte-level one of 50,257 entries. Texts are cut at single spaces between two
-non-blank characters, where that vocabulary's own splitting rule always cuts, and the ids of short
-pieces are remembered, so a frequent word is encoded once per worker. Texts with a space next to other
-white space are encoded whole. Special-token strings are ordinary text.
+The vocabulary is the byte-level one of 50,257 entries, read from its rank file, which gives the same
+ids as its tokenizer file at several times the speed. Special-token strings are ordinary text.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 from functools import lru_cache
 
 import numpy as np
@@ -17,23 +14,6 @@ import numpy as np
 #: Name of the vocabulary's rank file; ``public_tokenizers.path`` finds it.
 VOCABULARY = "byte_bpe_50k.tiktoken"
 END_ID = 1
-MAX_CACHED = 400_000
-MAX_PIECE = 24
-BLANK_BESIDE_SPACE = re.compile(r"\s | \s")
-
-
-class _Pieces(dict):
-    """Ids, as little-endian 32-bit bytes, of ``lead + piece``."""
-
-    def __init__(self, encode, lead: str):
-        super().__init__()
-        self.encode, self.lead = encode, lead
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.asarray(self.encode(self.lead + piece), dtype="<u4").tobytes()
-        if len(piece) <= MAX_PIECE and len(self) < MAX_CACHED:
-            self[piece] = ids
-        return ids
 
 
 class TextEncoder:
@@ -46,17 +26,14 @@ class TextEncoder:
         self.encode = tiktoken.Encoding(
             "documents", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
             special_tokens={}).encode_ordinary
-        self.first, self.later = _Pieces(self.encode, ""), _Pieces(self.encode, " ")
 
     def ids(self, text: str | None) -> np.ndarray:
         """The text's ids; none for NULL."""
-        if not text:
-            return np.zeros(0, dtype="<u4")
-        if BLANK_BESIDE_SPACE.search(text):
-            return np.asarray(self.encode(text), dtype="<u4")
-        head, *rest = text.split(" ")
-        return np.frombuffer(
-            b"".join([self.first[head], *map(self.later.__getitem__, rest)]), dtype="<u4")
+        return np.array(self.encode(text) if text else [], dtype="<u4")
+
+    def closed_ids(self, text: str | None) -> np.ndarray:
+        """The text's ids and the end id."""
+        return np.array([*(self.encode(text) if text else ()), END_ID], dtype="<u4")
 
 
 @lru_cache(maxsize=1)

@@ -3,76 +3,84 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from lodgegrid.llm.token_order import Layout, count_ids, op4_training_order, read_shards, write_shards
-from lodgegrid.llm.tokens import END_ID, encoder
+from lodgegrid.llm.token_order import op4_training_order, plan_layout, read_shards, sequences, write_shards
+from lodgegrid.llm.tokens import encoder
 
 from .conftest import FOLDER
 
 
-def stream(texts):
-    return np.concatenate([np.append(encoder().ids(t), END_ID) for t in texts]).astype("<u2")
-
-
 @pytest.fixture
 def stored(small, tmp_path):
-    """The small table in several files, so that sequences cross splits."""
+    """The small table in several files, each a split of its own."""
     small.repartition(5, "doc_id").write.parquet(str(tmp_path / "docs"))
     return str(tmp_path / "docs")
 
 
-def test_shards_hold_the_stream_in_the_permuted_order(spark, stored, tmp_path):
+@pytest.fixture
+def one_file_a_split(spark):
     spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))
-    try:
-        docs = spark.read.parquet(stored)
-        assert len(count_ids(docs)) > 1
-        path = str(tmp_path / "shards")
-        layout = write_shards(docs, path, sequence=512, shard=64)
-        ids = stream([r.text for r in docs.collect()])
-    finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert layout.tokens == len(ids)
+    yield
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def expected_records(docs, length):
+    """The padded sequences of each split, in order."""
+    out = {}
+    for r in docs.select(F.spark_partition_id().alias("split"), "text").collect():
+        out.setdefault(r.split, []).append(encoder().closed_ids(r.text))
+    cut = {}
+    for split, parts in out.items():
+        ids = np.concatenate(parts).astype("<u2")
+        ids = np.concatenate([ids, np.full(-len(ids) % length, 50_256, "<u2")])
+        cut[split] = ids.reshape(-1, length)
+    return cut
+
+
+def test_shards_hold_every_sequence_in_slot_order(spark, stored, tmp_path, one_file_a_split):
+    docs, path = spark.read.parquet(stored), str(tmp_path / "shards")
+    layout = write_shards(docs, path, sequence=512, shard=256)
+    assert len(layout.splits) > 1
+    wanted = {}
+    for split, _, _, base in layout.splits:
+        for i, ids in enumerate(expected_records(docs, 512)[split]):
+            wanted[base + i] = ids.tolist()
     rows = read_shards(spark, path, layout).collect()
-    assert sorted(r.slot for r in rows) == list(range(layout.sequences))
+    found = {int(layout.number_of(np.array([r.slot]))[0]): np.frombuffer(r.ids, "<u2").tolist() for r in rows}
+    assert len(rows) == len(found) and found == wanted
+    order = [(r.shard, r.byte_offset) for r in sorted(rows, key=lambda r: r.slot)]
+    assert order == sorted(order)
     for r in rows:
-        index = int(layout.index_of(np.array([r.slot]))[0])
-        assert int(layout.slot_of(np.array([index]))[0]) == r.slot
-        own = np.frombuffer(r.ids, "<u2")
-        part = ids[index * 512:(index + 1) * 512]
-        assert own[:len(part)].tolist() == part.tolist() and (own[len(part):] == 50_256).all()
-    for shard in range(layout.shards):
+        assert r.slot // 256 == r.shard and int(layout.slot_of(layout.number_of(np.array([r.slot])))[0]) == r.slot
+    for shard in {r.shard for r in rows}:
         file, = glob.glob(os.path.join(path, f"shard={shard}", "part-*"))
-        assert os.path.getsize(file) % layout.stride == 0
-        slot = shard * 64 + 1
-        if slot < layout.sequences:
-            with open(file, "rb") as f:
-                f.seek(layout.stride)
-                assert f.read(layout.stride - 1) == next(r.ids for r in rows if r.slot == slot)
-    later = read_shards(spark, path, layout, from_slot=70).collect()
-    assert sorted(r.slot for r in later) == list(range(70, layout.sequences))
+        own = sorted((r for r in rows if r.shard == shard), key=lambda r: r.slot)
+        assert os.path.getsize(file) == layout.stride * len(own)
+        with open(file, "rb") as f:
+            f.seek(own[-1].byte_offset + 8)
+            assert f.read(1024) == own[-1].ids
+    later = read_shards(spark, path, layout, from_slot=300).collect()
+    assert sorted(r.slot for r in later) == sorted(r.slot for r in rows if r.slot >= 300)
 
 
-def test_query_covers_every_sequence(spark):
+def test_query_covers_every_id(spark):
     rows = op4_training_order(spark, FOLDER).collect()
-    assert sorted(r.slot for r in rows) == sorted(r.sequence_index for r in rows) == list(range(len(rows)))
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").collect()
-    assert sum(r.n_ids for r in rows) == len(stream([r.text for r in docs]))
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    assert len({r.slot for r in rows}) == len(rows) == sum(map(len, expected_records(docs, 2048).values()))
 
 
 def test_changed_splits_are_noticed(spark, stored):
-    from lodgegrid.llm.token_order import dealt_pieces
-
     docs = spark.read.parquet(stored)
-    counts = count_ids(docs)
-    layout = Layout(sum(n for _, n, _ in counts), 512, 64, 2, 1)
+    layout = plan_layout(docs, 512, 64, 2, 1)
     with pytest.raises(Exception, match="other documents"):
-        dealt_pieces(docs.filter("doc_id > 3"), layout, counts).count()
+        sequences(docs.filter("doc_id > 3"), layout).count()
 
 
 def test_odd_rows(spark, make_docs, odd_rows, tmp_path):
     docs = make_docs(odd_rows, ["shard", "slot", "ids", "value"])
     layout = write_shards(docs, str(tmp_path / "s"), sequence=64, shard=1000)
     rows = read_shards(spark, str(tmp_path / "s"), layout).collect()
-    assert layout.tokens == len(stream([t for _, t in odd_rows])) and len(rows) == layout.sequences
+    assert len(rows) == sum(map(len, expected_records(docs, 64).values()))
     layout = write_shards(make_docs([]), str(tmp_path / "e"))
-    assert layout.sequences == 0 and read_shards(spark, str(tmp_path / "e"), layout).count() == 0
+    assert layout.numbers == 0 and read_shards(spark, str(tmp_path / "e"), layout).count() == 0
