@@ -46,7 +46,7 @@ RATIO = 1.5
 CAP = 2
 BLOCK = 512
 SHARD_SLOTS = 4096
-BUCKET_DOCS = 65_536
+BUCKET_DOCS = 8192
 SEED = 7
 #: Draws over more slots than this are split in proportion instead; the generator ends at 10**9.
 DRAWN_SLOTS = 500_000_000
@@ -219,7 +219,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, ratio: float = RATIO, cap: float = CAP
     size, first = F.col("size"), F.col("first")
     held = placed_documents(sized, sources, seed).withColumn("block", F.explode_outer(F.when(size > 0, F.sequence(
         F.floor(first / block), F.floor((first + size - 1) / block)))))
-    slots = slot_table(docs.sparkSession, sources, block, per_shard, seed)
+    # the slots come from Python, so their size is not known when the join is planned
+    slots = slot_table(docs.sparkSession, sources, block, per_shard, seed).hint("merge")
     start = F.greatest(first, F.col("block") * block)
     end = F.least(first + size, F.col("block") * block + F.col("take"))
     spans = held.join(slots, ["rank", "block"], "left").withColumn(
