@@ -103,24 +103,28 @@ def mortgage_cover(
 
 
 def mortgage_cover_one_listing(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:
-    """:func:`mortgage_cover` for hosts with one listing row.
+    """:func:`mortgage_cover` for hosts with one listing id.
 
-    Such a host has one area and one revenue, so a single aggregate finds the hosts and
-    carries both along; no many-to-many join is needed. Relies on ``id`` being set on
-    every row, as the not-null audit checks.
+    Nearly all of them have one row, hence one area and one revenue, which a single
+    aggregate carries along. Hosts with more rows, of which one alone has an ``id``, take
+    the full join.
     """
     singles = (
         listings.select("host_id", "id", "neighbourhood_cleansed", number_of_stays(), "price")
         .groupBy("host_id")
         .agg(
             F.count("id").alias("_n"),
+            F.count(F.lit(1)).alias("_rows"),
             F.min("neighbourhood_cleansed").alias("neighbourhood_cleansed"),
             F.min(listing_revenue()).alias("estimated_revenue"),
         )
         .filter((F.col("_n") == 1) & F.col("host_id").isNotNull())
     )
-    joined = singles.join(mortgage_by_area(lga, census), "neighbourhood_cleansed")
-    return _covered(joined).drop("code_2016")
+    plain = singles.filter(F.col("_rows") == 1)
+    joined = _covered(plain.join(mortgage_by_area(lga, census), "neighbourhood_cleansed"))
+    others = singles.filter(F.col("_rows") > 1).select("host_id")
+    full = mortgage_cover(listings.join(others, "host_id", "left_semi"), lga, census)
+    return joined.unionByName(full).drop("code_2016")
 
 
 def cover_count(one_listing: DataFrame) -> DataFrame:

@@ -1,25 +1,36 @@
 """CSV files with quoted line breaks, read in parallel splits.
 
 Spark reads such a file in one task, because a line break alone does not tell whether
-a record ends there. A record ends where the number of quotes since the file's start
-is even. That count's parity is additive, so each split's own parity (a first scan)
-gives every split the state it starts in, and the splits can then be cut into records
-independently. Records that cross a split border are put together from their pieces.
+a record ends there: the break may lie in a quoted field. A quote opens a field only at
+the field's start, so a line by itself tells in which state (in a quoted field or not) it
+ends for either state it may begin in. It keeps the state, swaps it, or sets it. The
+state before a line is then what was last set before it, swapped as often as lines have
+swapped it since. The same rule over whole splits gives the state each split starts in,
+and the splits can be cut into records independently. Records that cross a split border
+are put together from their pieces.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from ..functions.joins import null_safe_join
 
 _SPLIT = ["file_path", "split_start"]
 
+# The inside of a quoted field, where two quotes stand for one, and the fields that end
+# on a line. A closed quoted field may go on up to the next comma.
+_QUOTED = '(?:[^"]++|"")*+'
+_FIELDS = f'(?:(?:"{_QUOTED}"[^,]*+|[^",][^,]*+)?,)*+'
+_OPENS = f'^{_FIELDS}"{_QUOTED}$'
+_STAYS_OPEN = f'^{_QUOTED}(?:$|"[^,]*+,{_FIELDS}"{_QUOTED}$)'
+
 
 def read_split_records(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
     """``file_path`` and the text ``columns`` of every record after the header.
 
-    Fails on a file whose header is not ``columns``.
+    Fails on a file whose header is not ``columns``; case does not count, as in Spark's
+    own check.
     """
     lines = spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
@@ -27,7 +38,9 @@ def read_split_records(spark: SparkSession, paths: list[str], columns: list[str]
         # only compared within one split, where it follows the file's order
         F.monotonically_increasing_id().alias("line"),
         "value",
-        F.regexp_count("value", F.lit('"')).alias("quotes"),
+    ).withColumns(
+        # the states after the line, for a beginning outside and inside a quoted field
+        {"opens": F.col("value").rlike(_OPENS), "stays": F.col("value").rlike(_STAYS_OPEN)}
     )
     fragments = _fragments(lines)
     last = F.max("record").over(Window.partitionBy(*_SPLIT))
@@ -39,11 +52,11 @@ def read_split_records(spark: SparkSession, paths: list[str], columns: list[str]
     schema = ", ".join(f"`{c}` STRING" for c in columns)
     row = F.from_csv(text, schema, {"quote": '"', "escape": '"'})
     parsed = records.select("file_path", "split_start", "record", text.alias("text"), row.alias("row"))
-    expected = F.array(*[F.lit(c) for c in columns])
-    header_fits = F.array(*[F.col("row")[c] for c in columns]) == expected
+    expected = F.array(*[F.lit(c.lower()) for c in columns])
+    header_fits = F.array(*[F.lower(F.col("row")[c]) for c in columns]) == expected
     refusal = F.raise_error(F.concat(F.lit("another header in "), F.col("file_path")))
     content = (
-        F.when((F.col("split_start") != 0) | (F.col("record") != 1), F.trim("text") != "")
+        F.when((F.col("split_start") != 0) | (F.col("record") != 1), F.col("text") != "")
         .when(header_fits, F.lit(False))
         .otherwise(refusal.cast("boolean"))
     )
@@ -56,21 +69,17 @@ def _fragments(lines: DataFrame) -> DataFrame:
     Number 0 is the end of a record that began in an earlier split. A window holds the
     lines of one split, at most ``spark.sql.files.maxPartitionBytes``.
     """
-    earlier = (
-        Window.partitionBy("file_path")
-        .orderBy("split_start")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    quotes = lines.groupBy(*_SPLIT).agg(F.sum("quotes").alias("total"))
-    entering = quotes.select(
-        *_SPLIT, F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("entering")
-    )
     in_order = Window.partitionBy(*_SPLIT).orderBy("line")
-    before = F.sum("quotes").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
-    starts = (F.col("entering") + F.coalesce(before, F.lit(0))) % 2 == 0
+    stepped = _steps(lines, in_order)
+    whole = stepped.groupBy(*_SPLIT).agg(
+        F.max_by("from_outside", "line").alias("opens"), F.max_by("from_inside", "line").alias("stays")
+    )
+    splits = _steps(whole, Window.partitionBy("file_path").orderBy("split_start"))
+    entering = splits.select(*_SPLIT, F.col("before_from_outside").alias("entering"))
+    starts = ~F.when(F.col("entering"), F.col("before_from_inside")).otherwise(F.col("before_from_outside"))
     upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = (
-        null_safe_join(lines, entering, _SPLIT)
+        null_safe_join(stepped, entering, _SPLIT)
         .withColumn("starts", starts)
         .withColumn("record", F.count_if("starts").over(upto))
     )
@@ -80,6 +89,31 @@ def _fragments(lines: DataFrame) -> DataFrame:
     )
 
 
+def _steps(steps: DataFrame, order: WindowSpec) -> DataFrame:
+    """``steps`` with the states before and after each, for either state at the start of the order.
+
+    A step has the states ``opens`` (after a beginning outside) and ``stays`` (inside).
+    """
+    set_here = F.col("opens") == F.col("stays")
+    swaps = F.count_if(F.col("opens") & ~F.col("stays"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = steps.withColumn("_swaps", swaps.over(upto)).withColumn(
+        "_set", F.last(F.when(set_here, F.struct("opens", "_swaps")), True).over(upto)
+    )
+
+    def state(entering: bool) -> Column:
+        since = F.col("_swaps") - F.coalesce(F.col("_set._swaps"), F.lit(0))
+        return F.coalesce(F.col("_set.opens"), F.lit(entering)) != (since % 2 == 1)
+
+    after = marked.withColumns({"from_outside": state(False), "from_inside": state(True)})
+    return after.withColumns(
+        {
+            "before_from_outside": F.lag("from_outside", 1, False).over(order),
+            "before_from_inside": F.lag("from_inside", 1, True).over(order),
+        }
+    ).drop("_swaps", "_set")
+
+
 def _join_borders(fragments: DataFrame) -> DataFrame:
     """Records from the first and last pieces of the splits: two rows per split at most."""
     in_file = Window.partitionBy("file_path").orderBy("split_start", "record")

@@ -31,7 +31,10 @@ def load_new_months(
     files_per_batch: int = 12,
     missing_text: str | None = None,
 ) -> None:
-    """Load every file in ``incoming`` not loaded before, then stop.
+    """Load every file in ``incoming`` not loaded before, however old, then stop.
+
+    A file is known by its path: one delivered again under its name is not loaded again;
+    pass it to :func:`lodgegrid.sources.listings_csv.load_snapshots`, which replaces its rows.
 
     ``progress_path`` records which files are done. A batch repeated after a failure
     replaces what it wrote before, so no row is lost or doubled. ``after_load`` gets the
@@ -42,6 +45,8 @@ def load_new_months(
         .schema(_FILE_SCHEMA)
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
+        # the source would skip files a week older than the newest one it has seen
+        .option("maxFileAge", "36500d")
         .load(incoming)
         .select("path")
     )
