@@ -12,9 +12,14 @@ from ..schemas import MISSING_TOKENS
 
 _TOKENS = ", ".join(f"'{token}'" for token in MISSING_TOKENS)
 
-# What a currency text may look like: one sign or a pair of brackets, an optional
-# dollar sign, digits with thousands commas, an optional fraction.
-_MONEY_SHAPE = r"^\s*(-?\s*[$]?\s*-?|\(\s*[$]?)\s*[0-9][0-9,]*([.][0-9]*)?\s*\)?\s*$"
+# What a currency text may look like: digits with thousands commas and an optional
+# fraction, a dollar sign before them, and one sign (before or after) or a pair of brackets.
+_AMOUNT = r"[0-9][0-9,]*([.][0-9]*)?"
+_MONEY_SHAPE = (
+    rf"^\s*([-+]\s*[$]?\s*{_AMOUNT}|[$]\s*[-+]\s*{_AMOUNT}|[$]?\s*{_AMOUNT}\s*[-+]?"
+    rf"|\(\s*[$]?\s*{_AMOUNT}\s*\))\s*$"
+)
+MONEY_TYPE = "decimal(19,2)"
 
 
 def missing_to_null(column: str) -> str:
@@ -38,9 +43,10 @@ def whole_number(column: str, to: str = "int") -> str:
 
 
 def money(column: str) -> str:
-    """Currency text such as ``'$1,234.50'``, ``'-$5'`` or ``'($5.00)'`` to a decimal."""
-    # an opening bracket becomes the minus sign; the other marks are dropped
-    amount = f"try_cast(translate(`{column}`, '($, )', '-') AS decimal(12,2))"
+    """Currency text such as ``'$1,234.50'``, ``'-$5'``, ``'5-'`` or ``'($5.00)'`` to a decimal."""
+    sign = f"CASE WHEN `{column}` RLIKE r'[-(]' THEN '-' ELSE '' END"
+    digits = f"regexp_replace(`{column}`, '[^0-9.]', '')"
+    amount = f"try_cast(concat({sign}, {digits}) AS {MONEY_TYPE})"
     return f"CASE WHEN `{column}` RLIKE r'{_MONEY_SHAPE}' THEN {amount} END"
 
 

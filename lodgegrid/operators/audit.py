@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -26,6 +27,11 @@ def null_counts(df: DataFrame, required: list[str]) -> DataFrame:
     return counted.unpivot([], required, "column_name", "null_rows")
 
 
+def null_rows(df: DataFrame, required: list[str]) -> DataFrame:
+    """Not-null rule: the rows in which a required column is NULL."""
+    return df.filter(reduce(or_, (F.col(c).isNull() for c in required)))
+
+
 def cast_rejects(raw: DataFrame, parse: Callable[[str], str], columns: list[str]) -> DataFrame:
     """Raw rows with a value that is present but does not parse, with the column names.
 

@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# A DECIMAL(12,2) amount spans 10^10 units, so bands of 10^4 units are at most 10^6
-# per sign, and one band holds at most 10^6 distinct cents.
-BAND_WIDTH = 10_000
+# A band holds the values of one sign, number of whole digits and leading digits. A
+# DECIMAL(19,2) amount has at most 17 whole digits, so a group has at most 2 * 17 * 10^5
+# bands, and up to five whole digits a band holds at most 100 values.
+LEADING = 5
+
+
+def value_band(value: Column) -> Column:
+    """The band of a value; bands are ordered as their values are."""
+    whole = F.floor(F.abs(value)).cast("decimal(18,0)").cast("string")
+    band = F.length(whole) * 10**LEADING + F.substring(whole, 1, LEADING).cast("int")
+    return F.when(value < 0, -band).otherwise(band)
 
 
 def summarize_values(histogram: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
@@ -22,7 +30,7 @@ def summarize_values(histogram: DataFrame, keys: list[str], value: str, n: str)
     """
     banded = histogram.select(
         # as one struct, keys that are missing compare equal in the join below
-        F.struct(*keys, F.floor(F.col(value) / BAND_WIDTH).alias("_band")).alias("_cell"),
+        F.struct(*keys, value_band(F.col(value)).alias("_band")).alias("_cell"),
         F.struct(*keys).alias("_group"),
         F.col(value).alias("_value"),
         F.col(n).alias("_n"),
@@ -30,7 +38,7 @@ def summarize_values(histogram: DataFrame, keys: list[str], value: str, n: str)
     bands = banded.groupBy("_cell", "_group").agg(
         F.min("_value").alias("lowest"),
         F.max("_value").alias("highest"),
-        F.sum(F.col("_value") * F.col("_n").cast("decimal(18,0)")).cast("decimal(28,2)").alias("total"),
+        F.sum(F.col("_value") * F.col("_n").cast("decimal(18,0)")).cast("decimal(32,2)").alias("total"),
         F.sum("_n").alias("_n"),
     )
     group = Window.partitionBy("_group")
@@ -42,7 +50,7 @@ def summarize_values(histogram: DataFrame, keys: list[str], value: str, n: str)
                 "known": F.sum("_n").over(group),
                 "lowest": F.min("lowest").over(group),
                 "highest": F.max("highest").over(group),
-                "total": F.sum("total").over(group).cast("decimal(28,2)"),
+                "total": F.sum("total").over(group).cast("decimal(32,2)"),
             }
         )
         .filter(_holds_middle())

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators import best_listing, census as age, hosts, metrics as m
-from ..session import cut_lineage
-from ..sinks.store import exists, refresh, refresh_months
+from ..sinks.store import read_version, replace_months, versions, write_version
 
 LGA_MONTH = ["host_lga_cleansed", "year_month"]
 
+# versions of a stored result that stay, so that its readers finish with the one they began
+KEPT_VERSIONS = 3
+
 
 @dataclass(frozen=True)
 class Inputs:
@@ -156,29 +157,36 @@ def create_stored(inputs: Inputs, folder: str, names: Iterable[str] | None = Non
     """Store the results that are not stored yet."""
     spark = inputs.listings.sparkSession
     wanted = list(names or stored_views())
-    absent = [name for name in wanted if not exists(spark, f"{folder}/{name}")]
+    absent = [name for name in wanted if not versions(spark, f"{folder}/{name}")]
     if absent:
         refresh_stored(inputs, folder, absent)
 
 
+def _summary_path(folder: str, grain: tuple[str, ...]) -> str:
+    return f"{folder}/month_summary_{'_'.join(grain)}"
+
+
+def _store(result: DataFrame, path: str) -> None:
+    write_version(result, path, KEPT_VERSIONS)
+
+
 def refresh_stored(inputs: Inputs, folder: str, names: Iterable[str] | None = None) -> None:
-    """Recompute and replace stored results.
+    """Recompute stored results; each replaces its old version once it is complete.
 
     Results of one grain that can come from its month summary share one pass over the
-    listings.
+    listings. The summary is stored too.
     """
+    spark = inputs.listings.sparkSession
     wanted = list(names or stored_views())
-    grains = Counter(VIEWS[name].grain for name in wanted if VIEWS[name].grain)
-    summaries = {
-        grain: cut_lineage(m.month_summary(inputs.listings, list(grain)), "month-summary")
-        for grain, users in grains.items()
-        if users > 1
-    }
+    for grain in dict.fromkeys(VIEWS[name].grain for name in wanted if VIEWS[name].grain):
+        _store(m.month_summary(inputs.listings, list(grain)), _summary_path(folder, grain))
     for name in wanted:
         spec = VIEWS[name]
-        shared = summaries.get(spec.grain)
-        result = spec.build(inputs) if shared is None else spec.from_summary(shared)
-        refresh(result, f"{folder}/{name}")
+        if spec.grain:
+            result = spec.from_summary(read_version(spark, _summary_path(folder, spec.grain)))
+        else:
+            result = spec.build(inputs)
+        _store(result, f"{folder}/{name}")
 
 
 def monthly_views() -> list[str]:
@@ -189,18 +197,41 @@ def monthly_views() -> list[str]:
 def refresh_stored_months(
     inputs: Inputs, folder: str, months: list[int], names: Iterable[str] | None = None
 ) -> None:
-    """Replace the given months in results partitioned by month, reading only those months."""
-    for name in names or monthly_views():
-        if name not in monthly_views():
-            raise ValueError(f"{name} looks across months; refresh it in full")
-        refresh_months(view(name, inputs), f"{folder}/{name}", months)
+    """Bring stored results up to date with the given months, reading only their listings.
+
+    The months' part of each grain's summary is computed once and replaced first. Results
+    of a month alone get that month anew; the ones that look across months are built again
+    from the summary.
+    """
+    spark = inputs.listings.sparkSession
+    changed = Inputs(inputs.listings.filter(F.col(m.TIME).isin(months)), inputs.lga, inputs.census)
+    wanted = list(names or stored_views())
+    for grain in dict.fromkeys(VIEWS[name].grain for name in wanted if VIEWS[name].grain):
+        new = m.month_summary(changed.listings, list(grain))
+        replace_months(new, _summary_path(folder, grain), months, KEPT_VERSIONS)
+    for name in wanted:
+        spec, path = VIEWS[name], f"{folder}/{name}"
+        if not spec.grain:
+            replace_months(spec.build(changed), path, months, KEPT_VERSIONS)
+            continue
+        summary = read_version(spark, _summary_path(folder, spec.grain))
+        if name in monthly_views():
+            part = spec.from_summary(summary.filter(F.col(m.TIME).isin(months)))
+            replace_months(part, path, months, KEPT_VERSIONS)
+        else:
+            _store(spec.from_summary(summary), path)
 
 
 def register_views(inputs: Inputs, names: Iterable[str] | None = None) -> None:
-    """Make results queryable by name in SQL; they are computed when queried."""
+    """Make results queryable by name in SQL.
+
+    They are computed when queried, but for the four percentage changes: these put the
+    groups in order when they are registered and keep that order, so register them again
+    after a load, or leave them out of ``names``.
+    """
     for name in names or VIEWS:
         view(name, inputs).createOrReplaceTempView(name)
 
 
 def read_stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}")
+    return read_version(spark, f"{folder}/{name}")

@@ -364,6 +364,7 @@ ORDER BY revenue_agg DESC NULLS FIRST, {kind} LIMIT 5""",
 def _load_and_warehouse() -> dict[str, str]:
     typed_raw = _with(_RAW, " SELECT * FROM r")
     amount = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE)"
+    digits = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR)"
     csv = _with(
         _DELIVERED,
         """ SELECT id, {0} AS host_name, amenities || ', "wifi"' || chr(10) || 'heating' AS amenities,
@@ -374,10 +375,13 @@ def _load_and_warehouse() -> dict[str, str]:
     medians = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in s.CENSUS_MEDIANS)
     rate = _half_up("active_listings", "total_listings")
     return {
-        "lookup_left_join": _with(
-            _RAW,
-            " SELECT id, CAST(year_month AS VARCHAR) AS year_month, host_id, host_neighbourhood, "
-            "host_neighbourhood_cleansed FROM r",
+        **dict.fromkeys(
+            ["lookup_left_join", "lookup_csv", "snapshot_load", "month_load_incremental"],
+            _with(
+                _RAW,
+                " SELECT id, CAST(year_month AS VARCHAR) AS year_month, host_id, host_neighbourhood, "
+                "host_neighbourhood_cleansed FROM r",
+            ),
         ),
         "month_conform": _with(
             _DELIVERED,
@@ -388,7 +392,8 @@ def _load_and_warehouse() -> dict[str, str]:
   month, CAST(year_month AS VARCHAR) AS year_month, CAST(year AS VARCHAR) AS year FROM d""",
         ),
         "money_parse": f"""SELECT l_orderkey, l_linenumber,
-  CASE WHEN l_linenumber <= 2 THEN -{amount} WHEN l_linenumber > 3 THEN {amount} END AS amount
+  CASE WHEN l_linenumber <= 2 THEN -{amount} WHEN l_linenumber = 4 THEN CAST(CAST(concat('98765432', {digits}) AS DECIMAL(19,2)) AS DOUBLE)
+    WHEN l_linenumber > 4 THEN {amount} END AS amount
 FROM lineitem""",
         "year_month_from_names": _with(
             _DELIVERED,
@@ -440,7 +445,9 @@ def _audits() -> dict[str, str]:
     )
     rules = [
         "host_key_unique", "property_key_unique", "fact_host_exists", "fact_property_exists",
-        "census_code_unique",
+        "census_code_unique", "time_key_unique", "fact_key_unique", "fact_time_exists", "fact_keys_not_null",
+        "census_code_not_null", "spoiled_time_key_unique", "spoiled_fact_key_unique", "spoiled_fact_time_exists",
+        "spoiled_fact_keys_not_null",
     ]
     return {
         "audit_unique": _with(
@@ -474,7 +481,13 @@ SELECT rule, CAST(CASE rule
     {" AND ".join(f"h.{c} IS NOT DISTINCT FROM r.{c}" for c in s.HOST_KEY)}))
   WHEN 'fact_property_exists' THEN (SELECT count(*) FROM r WHERE NOT EXISTS (SELECT 1 FROM p WHERE
     {" AND ".join(f"p.{c} IS NOT DISTINCT FROM r.{c}" for c in s.PROPERTY_KEY)}))
-  ELSE (SELECT count(*) FROM (SELECT 1 FROM census GROUP BY LGA_CODE_2016 HAVING count(*) > 1))
+  WHEN 'census_code_unique' THEN (SELECT count(*) FROM (SELECT 1 FROM census GROUP BY LGA_CODE_2016 HAVING count(*) > 1))
+  WHEN 'census_code_not_null' THEN (SELECT count(*) FROM census WHERE LGA_CODE_2016 IS NULL)
+  WHEN 'spoiled_time_key_unique' THEN (SELECT count(*) FROM (SELECT DISTINCT month, year_month, year FROM r))
+  WHEN 'spoiled_fact_key_unique' THEN (SELECT count(*) FROM r WHERE CAST(accommodates AS DOUBLE) = 1)
+  WHEN 'spoiled_fact_time_exists' THEN (SELECT count(*) FROM r WHERE year = 1996)
+  WHEN 'spoiled_fact_keys_not_null' THEN (SELECT count(*) FROM r WHERE NOT CAST(accommodates AS DOUBLE) > 2)
+  ELSE 0
   END AS BIGINT) AS violations
 FROM (VALUES {", ".join(f"('{r}')" for r in rules)}) rules(rule)""",
         ),
@@ -500,6 +513,12 @@ UNION ALL SELECT 'S' || s_suppkey, s_name, 'f' FROM supplier""",
             f" SELECT {area}, {stays} AS number_of_stays, CAST({active} AS BIGINT) AS kept_stays "
             f"FROM f GROUP BY {area}",
         ),
+        "month_refresh_rate": _with(
+            _LISTINGS,
+            f" SELECT {area}, count(*) FILTER (WHERE has_availability = 't') AS active_listings, "
+            "count(*) AS total_listings FROM f "
+            f"WHERE has_availability = 't' OR year_month IN (199701, 199902) GROUP BY {area}",
+        ),
         "month_refresh": _with(
             _LISTINGS,
             f" SELECT {area}, {stays} AS number_of_stays FROM f "

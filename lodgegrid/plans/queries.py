@@ -14,13 +14,23 @@ from ..functions.parsing import money
 from ..operators import audit, metrics as m
 from ..operators.census import SHARES
 from ..operators.upsert import upsert
-from ..schemas import HOST_KEY, LISTING_COLUMNS, PROPERTY_KEY, TIME_KEY
+from ..schemas import HOST_KEY, LISTING_COLUMNS, LISTING_SCHEMA, PROPERTY_KEY, TIME_KEY
 from ..session import cut_lineage, scratch_path
 from ..sinks import store
 from ..sources.census_csv import read_columns
-from ..sources.listings_csv import CSV_OPTIONS, add_host_area, conform, with_year_month
+from ..sources.listings_csv import (
+    CSV_OPTIONS,
+    DELIVERED_COLUMNS,
+    add_host_area,
+    conform,
+    load_snapshots,
+    read_lookup,
+    read_raw,
+    with_year_month,
+)
 from ..sources.split_csv import read_split_records
 from ..sources.tables import preview, row_counts
+from ..streaming.monthly import load_new_months
 from . import datamart, tpch_mapping as tm, warehouse as w
 from .tpch_mapping import read_table
 
@@ -154,7 +164,8 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
 
 def _star(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """The stored raw table and the stored star schema built from it."""
-    raw = cut_lineage(_raw(spark, folder), "raw")
+    # of the raw row only what the star and its keys read is written
+    raw = cut_lineage(_raw(spark, folder).select(*[f.name for f in LISTING_SCHEMA]), "raw")
     path = scratch_path(spark, "star")
     w.build_star(raw, path, by_month=False)
     return raw, w.read_star(spark, path)
@@ -182,11 +193,12 @@ def year_month_from_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def money_parse(spark: SparkSession, folder: str) -> DataFrame:
-    """Currency text with signs and brackets, back to amounts."""
+    """Currency text with signs and brackets, and text that is none, back to amounts."""
     amount = "format_number(CAST(l_extendedprice AS decimal(12,2)), 2)"
     text = (
         f"CASE l_linenumber WHEN 1 THEN concat('($', {amount}, ')') "
-        f"WHEN 2 THEN concat('-$', {amount}) WHEN 3 THEN 'on request' "
+        f"WHEN 2 THEN concat({amount}, '-') WHEN 3 THEN if(l_suppkey % 2 = 0, 'on request', concat('($', {amount})) "
+        f"WHEN 4 THEN concat('+$98,765,432,', {amount}) "
         f"ELSE concat('$', {amount}) END AS price"
     )
     rows = read_table(spark, folder, "lineitem").selectExpr("l_orderkey", "l_linenumber", text)
@@ -217,6 +229,52 @@ def csv_split_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_split_records(spark, [path], columns).select("id", "host_name", "amenities", "price")
 
 
+def _month_files(spark: SparkSession, folder: str, later: bool | None = None) -> str:
+    """The delivered listings as files named ``n_MM_YYYY.csv``; of one half of the months if asked."""
+    delivered = tm.delivered_listings(spark, folder)
+    absent = [F.lit(None).cast("string").alias(c) for c in DELIVERED_COLUMNS if c not in delivered.columns]
+    name = F.format_string("%02d_%d", F.col("snapshot") % 100, F.floor(F.col("snapshot") / 100))
+    month = delivered if later is None else delivered.filter((F.col("snapshot") >= 199507) == later)
+    parts, incoming = scratch_path(spark, "csv"), scratch_path(spark, "incoming")
+    month.select("*", *absent, name.alias("month_name")).drop("snapshot").repartition("month_name").write.partitionBy(
+        "month_name").options(header=True, quote='"', escape='"').csv(parts)
+    store.collect_files(spark, parts, "month_name", incoming)
+    return incoming
+
+
+def _lookup_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "lookup")
+    tm.suburb_lookup(spark, folder).write.options(header=True, quote='"', escape='"').csv(path)
+    return read_lookup(spark, path)
+
+
+_LOADED = ["id", "year_month", "host_id", "host_neighbourhood", "host_neighbourhood_cleansed"]
+
+
+def lookup_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """The suburb lookup read from CSV, then joined."""
+    delivered = conform(tm.delivered_listings(spark, folder), "snapshot")
+    return add_host_area(delivered, _lookup_file(spark, folder)).select(*_LOADED)
+
+
+def snapshot_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Month files loaded into the raw table at once."""
+    raw = scratch_path(spark, "raw")
+    load_snapshots(spark, _month_files(spark, folder), _lookup_file(spark, folder), raw)
+    return read_raw(spark, raw).select(*_LOADED)
+
+
+def month_load_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The earlier files loaded as they arrive, then the later ones, then nothing new."""
+    raw, progress, lookup = scratch_path(spark, "raw"), scratch_path(spark, "progress"), _lookup_file(spark, folder)
+    incoming = _month_files(spark, folder, later=False)
+    load_new_months(spark, incoming, lookup, raw, progress, files_per_batch=60)
+    store.move_files(spark, _month_files(spark, folder, later=True), incoming)
+    for _ in range(2):
+        load_new_months(spark, incoming, lookup, raw, progress, files_per_batch=60)
+    return read_raw(spark, raw).select(*_LOADED)
+
+
 # --- warehouse ------------------------------------------------------------------
 
 
@@ -332,13 +390,26 @@ def audit_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Violations per rule over the built warehouse."""
     _, star = _star(spark, folder)
     fact, hosts, properties = star["listing_fact"], star["dim_host"], star["dim_property"]
+    times, census = star["dim_time"], _census(spark, folder)
     return audit.violation_summary(
         {
             "host_key_unique": audit.duplicate_keys(hosts, ["h_id"]),
             "property_key_unique": audit.duplicate_keys(properties, ["p_id"]),
             "fact_host_exists": audit.orphans(fact, hosts, ["h_id"]),
             "fact_property_exists": audit.orphans(fact, properties, ["p_id"]),
-            "census_code_unique": audit.duplicate_keys(_census(spark, folder), ["LGA_CODE_2016"]),
+            "census_code_unique": audit.duplicate_keys(census, ["LGA_CODE_2016"]),
+            "time_key_unique": audit.duplicate_keys(times, ["t_id"]),
+            "fact_key_unique": audit.duplicate_keys(fact, ["f_id"]),
+            "fact_time_exists": audit.orphans(fact, times, ["t_id"]),
+            "fact_keys_not_null": audit.null_rows(fact, ["h_id", "p_id", "t_id"]),
+            "census_code_not_null": audit.null_rows(census, ["LGA_CODE_2016"]),
+            # the same rules where there is something to find
+            "spoiled_time_key_unique": audit.duplicate_keys(times.unionByName(times), ["t_id"]),
+            "spoiled_fact_key_unique": audit.duplicate_keys(
+                fact.unionByName(fact.filter("accommodates = 1")), ["f_id"]),
+            "spoiled_fact_time_exists": audit.orphans(fact, times.filter("year <> 1996"), ["t_id"]),
+            "spoiled_fact_keys_not_null": audit.null_rows(
+                fact.withColumn("h_id", F.when(F.col("accommodates") > 2, F.col("h_id"))), ["h_id", "p_id"]),
         }
     )
 
@@ -372,7 +443,7 @@ def upsert_dim(spark: SparkSession, folder: str) -> DataFrame:
 def stored_view(spark: SparkSession, folder: str) -> DataFrame:
     """A result stored from the active listings only, kept by create, replaced by refresh."""
     name = "question_1_8_no_of_stays"
-    everything = tm.listings(spark, folder, *AREA_FACTS, *STAYS, "has_availability")
+    everything = tm.listings(spark, folder, *AREA_FACTS, *STAYS, "has_availability", "review_scores_rating")
     active = everything.filter(F.col("has_availability") == "t")
     path = scratch_path(spark, "datamart")
     datamart.create_stored(datamart.Inputs(active), path, [name])
@@ -383,22 +454,28 @@ def stored_view(spark: SparkSession, folder: str) -> DataFrame:
     kept.write.parquet(f"{path}/kept")
     datamart.refresh_stored(datamart.Inputs(everything), path, [name])
     refreshed = datamart.read_stored(spark, path, name)
-    return refreshed.join(spark.read.parquet(f"{path}/kept"), list(AREA_FACTS), "left")
+    return refreshed.select(*AREA_FACTS, "number_of_stays").join(spark.read.parquet(f"{path}/kept"), list(AREA_FACTS), "left")
 
 
-def month_refresh(spark: SparkSession, folder: str) -> DataFrame:
-    """A result by month stored from active listings, then two months replaced from all."""
-    name = "question_1_8_no_of_stays"
-    everything = tm.listings(spark, folder, *AREA_FACTS, *STAYS, "has_availability")
+def _after_month_refresh(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A result stored from active listings, then two months brought up to date from all."""
+    everything = tm.listings(spark, folder, *AREA_FACTS, *STAYS, "has_availability", "review_scores_rating")
     active = everything.filter(F.col("has_availability") == "t")
     path = scratch_path(spark, "datamart")
-    store.replace_partitions(
-        datamart.view(name, datamart.Inputs(active)), f"{path}/{name}", ["year_month"]
-    )
+    datamart.create_stored(datamart.Inputs(active), path, [name])
     datamart.refresh_stored_months(datamart.Inputs(everything), path, [199701, 199902], [name])
     return datamart.read_stored(spark, path, name)
 
 
+def month_refresh(spark: SparkSession, folder: str) -> DataFrame:
+    return _after_month_refresh(spark, folder, "question_1_8_no_of_stays").select(*AREA_FACTS, "number_of_stays")
+
+
+def month_refresh_rate(spark: SparkSession, folder: str) -> DataFrame:
+    found = _after_month_refresh(spark, folder, "question_1_1_active_listings_rate")
+    return found.select(*AREA_FACTS, "active_listings", "total_listings")
+
+
 def raw_append(spark: SparkSession, folder: str) -> DataFrame:
     """Appending the same rows twice keeps both; replacing by month keeps one."""
     rows = tm.listings(spark, folder, "id", "year_month", "price")
@@ -455,11 +532,12 @@ def ordered_cover(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     jobs = [
+        lookup_csv, snapshot_load, month_load_incremental,
         lookup_left_join, month_conform, year_month_from_names, money_parse, csv_scan, csv_split_scan,
         dim_host, dim_property, dim_time, dim_lga, listing_fact, listing_fact_by_join,
         star_add_months, star_active_rate, census_fact,
         audit_unique, audit_fk, audit_not_null, audit_casts, audit_summary,
-        upsert_dim, stored_view, month_refresh, raw_append, view_in_sql,
+        upsert_dim, stored_view, month_refresh, month_refresh_rate, raw_append, view_in_sql,
         table_counts, table_preview, ordered_stays, ordered_cover,
     ]
     return (

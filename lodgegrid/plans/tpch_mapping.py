@@ -42,7 +42,7 @@ _FROM_LINEITEM = {
     "has_availability": "CASE WHEN l_linestatus = 'O' THEN 't' ELSE 'f' END",
     "year_month": "year(l_shipdate) * 100 + month(l_shipdate)",
     "availability_30": "int(l_quantity) % 31",
-    "price": "CAST(floor(l_extendedprice / 10000) * 50 + 50 AS decimal(12,2))",
+    "price": "CAST(floor(l_extendedprice / 10000) * 50 + 50 AS decimal(19,2))",
     "review_scores_rating": "CASE WHEN l_discount = 0 THEN double('NaN') "
     "ELSE double(int(round(l_discount * 100)) * 10) END",
 }
@@ -150,7 +150,7 @@ def suburb_lookup(spark: SparkSession, folder: str) -> DataFrame:
         "WHEN 'FURNITURE' THEN array() ELSE array(concat('LGA_', c_mktsegment)) END"
     )
     known = segments.selectExpr("c_mktsegment AS host_neighbourhood", f"explode({areas}) AS LGA")
-    missing = known.limit(1).selectExpr("'N/A' AS host_neighbourhood", "'LGA_UNKNOWN' AS LGA")
+    missing = spark.range(1).selectExpr("'N/A' AS host_neighbourhood", "'LGA_UNKNOWN' AS LGA")
     return known.unionByName(missing)
 
 

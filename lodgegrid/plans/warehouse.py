@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.joins import null_safe_join
 from ..functions.keys import surrogate_key
 from ..functions.parsing import money, number, rating, whole_number
+from ..operators.audit import cast_rejects
 from ..operators.upsert import upsert
 from ..schemas import (
     CENSUS_CODE,
@@ -19,6 +20,7 @@ from ..schemas import (
     TIME_KEY,
 )
 from ..sinks.store import read_version, replace_partitions, write_version
+from ..sources.listings_csv import read_raw
 
 # The load matches a raw row to its host without the last host column.
 HOST_MATCH_KEY = HOST_KEY[:-1]
@@ -52,14 +54,35 @@ def typed_listings(raw: DataFrame) -> DataFrame:
     return raw.selectExpr(*[f"{parse(f.name)} AS {f.name}" for f in LISTING_SCHEMA])
 
 
-def store_listings(raw: DataFrame, path: str) -> None:
+def refuse_rejects(raw: DataFrame) -> None:
+    """Fails if a present value does not parse, instead of storing it as missing."""
+    found = cast_rejects(raw, parse, [c for c in PARSED_COLUMNS if c in raw.columns])
+    bad = found.agg(F.count(F.lit(1)), F.first("rejected_columns")).first()
+    if bad[0]:
+        raise ValueError(f"{bad[0]} rows have values that do not parse, for example in {bad[1]}")
+
+
+def store_listings(raw: DataFrame, path: str, allow_rejects: bool = False) -> None:
     """Parse the raw rows once and store the typed frame by month.
 
-    Replaces the months ``raw`` holds, so a new month is added the same way.
+    Replaces the months ``raw`` holds, which must be there in full, with all their
+    sources; :func:`store_months` sees to that. Values that do not parse are refused
+    unless allowed, and then stored as missing.
     """
+    if not allow_rejects:
+        refuse_rejects(raw)
     replace_partitions(typed_listings(raw), path, ["year_month"])
 
 
+def store_months(spark: SparkSession, raw_path: str, path: str, months: list[int], allow_rejects: bool = False) -> None:
+    """:func:`store_listings` for whole months of the raw table."""
+    store_listings(_raw_months(spark, raw_path, months), path, allow_rejects)
+
+
+def _raw_months(spark: SparkSession, raw_path: str, months: list[int]) -> DataFrame:
+    return read_raw(spark, raw_path).filter(F.col("year_month").isin([str(month) for month in months]))
+
+
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(LISTING_SCHEMA).parquet(path)
 
@@ -88,13 +111,15 @@ def dim_time(raw: DataFrame) -> DataFrame:
 def listing_fact(raw: DataFrame) -> DataFrame:
     """One fact row per raw row, with keys computed from the row itself: no shuffle.
 
-    ``f_id`` is a key of the row's content; exact repeats of a row share it and appear
-    in the uniqueness audit.
+    ``f_id`` is a key of all columns of the raw row; exact repeats of a row share it and
+    appear in the uniqueness audit.
     """
-    typed = typed_listings(raw)
-    content = [f.name for f in LISTING_SCHEMA]
+    typed = raw.select(
+        surrogate_key(*raw.columns).alias("f_id"),
+        *[F.expr(f"{parse(f.name)} AS {f.name}") for f in LISTING_SCHEMA],
+    )
     return typed.select(
-        surrogate_key(*content).alias("f_id"),
+        "f_id",
         "id",
         surrogate_key(*HOST_KEY).alias("h_id"),
         surrogate_key(*PROPERTY_KEY).alias("p_id"),
@@ -168,7 +193,7 @@ def build_star(raw: DataFrame, folder: str, by_month: bool = True) -> None:
 
 
 def add_months(raw_months: DataFrame, folder: str) -> None:
-    """Bring new or reloaded months into a star built ``by_month``.
+    """Bring new or reloaded months, each in full, into a star built ``by_month``.
 
     Dimension rows are merged by key into a new version of each dimension, and the
     months' fact rows replace what the fact held for them. Running it again changes
@@ -181,6 +206,11 @@ def add_months(raw_months: DataFrame, folder: str) -> None:
     replace_partitions(listing_fact(raw_months), f"{folder}/{FACT}", ["year_month"])
 
 
+def add_raw_months(spark: SparkSession, raw_path: str, folder: str, months: list[int]) -> None:
+    """:func:`add_months` for whole months of the raw table."""
+    add_months(_raw_months(spark, raw_path, months), folder)
+
+
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The stored tables; their measured sizes let Spark broadcast what is small."""
     star = {name: read_version(spark, f"{folder}/{name}") for name in DIMENSIONS}

@@ -90,7 +90,7 @@ HOST_KEY = [
 PROPERTY_KEY = ["property_type", "room_type", "has_availability"]
 TIME_KEY = ["month", "year_month", "year"]
 
-PRICE_TYPE = T.DecimalType(12, 2)
+PRICE_TYPE = T.DecimalType(19, 2)
 
 # Typed listing facts with their descriptive columns; every metric reads a subset.
 LISTING_SCHEMA = T.StructType(

@@ -48,19 +48,6 @@ def materialize(df: DataFrame, path: str) -> None:
     df.write.mode("ignore").parquet(path)
 
 
-def refresh(df: DataFrame, path: str) -> None:
-    """Store a result in full, replacing the old one."""
-    df.write.mode("overwrite").parquet(path)
-
-
-def refresh_months(df: DataFrame, path: str, months: list[int]) -> None:
-    """Replace the given months of a result partitioned by ``year_month``.
-
-    The filter reaches the scan of the facts, so only those months are read.
-    """
-    replace_partitions(df.filter(F.col("year_month").isin(months)), path, ["year_month"])
-
-
 def _folder(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -72,6 +59,28 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(marker)
 
 
+def move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Moves the files of one folder into another; names stay."""
+    files, root = _folder(spark, source)
+    files.mkdirs(_folder(spark, target)[1])
+    for status in files.listStatus(root):
+        if not files.rename(status.getPath(), _folder(spark, f"{target}/{status.getPath().getName()}")[1]):
+            raise OSError(f"cannot move {status.getPath()}")
+
+
+def collect_files(spark: SparkSession, source: str, column: str, target: str) -> None:
+    """Moves the CSV files below ``column=value`` folders to ``n_value.csv`` in one folder."""
+    files, root = _folder(spark, source)
+    files.mkdirs(_folder(spark, target)[1])
+    for folder in files.listStatus(root):
+        name = folder.getPath().getName()
+        if name.startswith(f"{column}="):
+            for n, status in enumerate(files.listStatus(folder.getPath())):
+                end = _folder(spark, f"{target}/{n}_{name.removeprefix(f'{column}=')}.csv")[1]
+                if not files.rename(status.getPath(), end):
+                    raise OSError(f"cannot move {status.getPath()}")
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Completely written versions of a table, oldest first."""
     files, root = _folder(spark, path)
@@ -83,17 +92,33 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(done)
 
 
-def write_version(df: DataFrame, path: str) -> int:
+def write_version(df: DataFrame, path: str, keep: int | None = None) -> int:
     """Write the next version beside the current one, which ``df`` may be reading.
 
-    Readers see the new version once its success marker is there.
+    Readers see the new version once its success marker is there, and a write that fails
+    leaves the old one current. ``keep`` is how many versions stay; older ones are removed.
     """
-    done = versions(df.sparkSession, path)
+    spark = df.sparkSession
+    done = versions(spark, path)
     version = done[-1] + 1 if done else 1
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    if keep:
+        for old in [*done, version][:-keep]:
+            files, folder = _folder(spark, f"{path}/version={old}")
+            files.delete(folder, True)
     return version
 
 
+def replace_months(new: DataFrame, path: str, months: list[int], keep: int | None = None) -> int:
+    """The next version: the current one's other months and the rows of ``new``.
+
+    For results, which are small beside what they are made from.
+    """
+    spark = new.sparkSession
+    old = read_version(spark, path).filter(~F.col("year_month").isin(months))
+    return write_version(old.unionByName(new), path, keep)
+
+
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The given version, or the newest."""
     if version is None:

@@ -75,9 +75,8 @@ def test_from_files_to_results(spark, tmp_path):
     month_file(incoming, 1, 2021, 3)
 
     def bring_up_to_date(months):
-        rows_of_months = load.read_raw(spark, raw).filter(f"year_month IN ({', '.join(map(str, months))})")
-        w.store_listings(rows_of_months, typed)
-        w.add_months(rows_of_months, star)
+        w.store_months(spark, raw, typed, months)
+        w.add_raw_months(spark, raw, star, months)
         datamart.refresh_stored(inputs(), mart, some)
 
     for _ in range(2):

@@ -19,7 +19,7 @@ def one(spark, expression, text):
         ("$1,234.50", "1234.50"), ("95", "95.00"), ("$0.005", "0.01"), ("-$5.00", "-5.00"),
         ("$-5", "-5.00"), ("($5.25)", "-5.25"), ("$1,000,000.00", "1000000.00"), (" $7 ", "7.00"),
         ("", None), ("$", None), ("on request", None), ("NaN", None), ("12abc", None), (None, None),
-        ("1-2", None), ("99999999999.00", None),
+        ("1-2", None), ("99999999999.00", "99999999999.00"), ("$12,345,678,901.00", "12345678901.00"), ("5-", "-5"), ("+5", "5"), ("$5)", None), ("($5", None), ("-5-", None), ("$12345678901234567.89", "12345678901234567.89"),
     ],
 )
 def test_money(spark, text, amount):

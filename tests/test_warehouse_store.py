@@ -171,13 +171,41 @@ def test_stored_results_refresh(spark, listings, tmp_path):
     assert read() == [(202005, 10), (202006, 10)]
     datamart.refresh_stored(two, folder, [name])
     assert read() == [(202005, 20), (202006, 20)]
-    by_month = str(tmp_path / "months")
-    store.replace_partitions(datamart.view(name, one), f"{by_month}/{name}", ["year_month"])
-    datamart.refresh_stored_months(two, by_month, [202006], [name])
-    found = datamart.read_stored(spark, by_month, name)
-    assert rows(found, "year_month", "number_of_stays") == [(202005, 10), (202006, 20)]
-    with pytest.raises(ValueError):
-        datamart.refresh_stored_months(two, folder, [202006], ["question_1_6_percentage_change_for_active_listings"])
+
+
+def test_month_refresh_keeps_the_other_months(spark, listings, tmp_path):
+    folder = str(tmp_path)
+    old = [{}, {"has_availability": "f"}, {"year_month": 202006}, {"neighbourhood_cleansed": "B", "accommodates": 3}]
+    new = [*old, {"year_month": 202006, "has_availability": "f"}, {"year_month": 202007, "price": 7}]
+    names = [n for n in datamart.stored_views() if not n.startswith("question_3")]
+    datamart.create_stored(datamart.Inputs(listings(*old)), folder, names)
+    inputs = datamart.Inputs(listings(*new))
+    datamart.refresh_stored_months(inputs, folder, [202006, 202007], names)
+    for name in names:
+        stored = datamart.read_stored(spark, folder, name)
+        fresh = datamart.view(name, inputs)
+        assert rows(stored, *fresh.columns) == rows(fresh, *fresh.columns), name
+
+
+def test_failed_refresh_leaves_the_old_result(spark, listings, tmp_path):
+    name, folder = "question_1_3_distinct_hosts", str(tmp_path)
+    datamart.create_stored(datamart.Inputs(listings({})), folder, [name])
+    broken = listings({}).withColumn("host_id", F.expr("raise_error('lost')").cast("string"))
+    for refresh in (datamart.refresh_stored, lambda i, f, n: datamart.refresh_stored_months(i, f, [202005], n)):
+        with pytest.raises(Exception, match="lost"):
+            refresh(datamart.Inputs(broken), folder, [name])
+    assert datamart.read_stored(spark, folder, name).count() == 1
+    for _ in range(5):
+        datamart.refresh_stored(datamart.Inputs(listings({})), folder, [name])
+    assert len(store.versions(spark, f"{folder}/{name}")) == datamart.KEPT_VERSIONS
+
+
+def test_rejects_are_refused(spark, raw, tmp_path):
+    bad = raw.withColumn("accommodates", F.lit("2.5"))
+    with pytest.raises(ValueError, match="accommodates"):
+        w.store_listings(bad, str(tmp_path / "typed"))
+    w.store_listings(bad, str(tmp_path / "typed"), allow_rejects=True)
+    assert w.read_listings(spark, str(tmp_path / "typed")).count() == raw.count()
 
 
 def test_shared_summary_gives_the_same_results(spark, listings, tmp_path):
@@ -191,7 +219,8 @@ def test_shared_summary_gives_the_same_results(spark, listings, tmp_path):
     assert len(names) == 10
     datamart.create_stored(inputs, folder, names)
     for name in names:
-        assert rows(datamart.read_stored(spark, folder, name)) == rows(datamart.view(name, inputs)), name
+        fresh = datamart.view(name, inputs)
+        assert rows(datamart.read_stored(spark, folder, name), *fresh.columns) == rows(fresh), name
 
 
 def test_views_by_name_and_order(spark, listings):
