@@ -16,6 +16,8 @@ Cases
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import SPACE_CHARS, SPACE_CLASS, boxed, documents, let, unboxed, words_of
@@ -37,11 +39,16 @@ BOILERPLATE = r"(?i)(javascript|lorem ipsum|all rights reserved|cookie policy|us
 
 def count_of(text: Column, characters: str) -> Column:
     """How many characters of the text are among ``characters``."""
-    return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
+    return F.char_length(text) - F.char_length(_without(text, characters))
 
 
 def word_characters(text: Column) -> Column:
-    return F.char_length(F.translate(text, SPACE_CHARS, ""))
+    return F.char_length(_without(text, SPACE_CHARS))
+
+
+def _without(text: Column, characters: str) -> Column:
+    # one replace per character works on bytes; translate looks every character up in a map
+    return reduce(lambda left, c: F.replace(left, F.lit(c), F.lit("")), characters, text)
 
 
 def line_verdicts(line: Column) -> Column:
@@ -50,12 +57,17 @@ def line_verdicts(line: Column) -> Column:
     def judge(trimmed: Column) -> Column:
         n = F.size(F.split(trimmed, SPACE_CLASS + "+"))
         words = F.char_length(trimmed) > 0
-        bars = count_of(trimmed, "|")
+
+        def many(characters: str, share: float) -> Column:
+            # lines without any, nearly all, are not split into words
+            found = count_of(trimmed, characters)
+            return (found > 0) & (found > share * n)
+
         return F.struct(
-            (words & (~trimmed.rlike(SENTENCE_END)
-                      | (count_of(trimmed, SYMBOLS) > MAX_SYMBOLS_PER_WORD * n)
-                      | (count_of(trimmed, "!") > MAX_EXCLAMATIONS_PER_WORD * n))).alias("punctuation"),
-            (words & ((bars > MAX_BARS_PER_WORD * n) | trimmed.rlike(NAVIGATION))).alias("navigation"),
+            (words & (~F.right(trimmed, F.lit(1)).rlike(SENTENCE_END)
+                      | many(SYMBOLS, MAX_SYMBOLS_PER_WORD)
+                      | many("!", MAX_EXCLAMATIONS_PER_WORD))).alias("punctuation"),
+            (words & (many("|", MAX_BARS_PER_WORD) | trimmed.rlike(NAVIGATION))).alias("navigation"),
             (words & trimmed.rlike(BOILERPLATE)).alias("boilerplate"),
             word_characters(trimmed).alias("chars"),
         )
