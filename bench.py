@@ -24,6 +24,7 @@ HEADLINE = [
     "q4_b_1_revenue_per_kind", "q4_b_2_best_listing_type", "q4_c_host_area_match",
     "q4_d_1_one_listing_hosts", "q4_d_2_mortgage_cover", "q4_d_3_mortgage_cover_one_listing",
     "q4_d_4_cover_count", "listing_fact", "census_fact",
+    "csv_split_scan", "snapshot_load", "month_refresh",
 ]
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="lodgegrid-"))
     return context.getCheckpointDir()
