@@ -48,7 +48,7 @@ LEVEL_BASE = 1.5
 SEGMENT_TEXT_BYTES = 8 << 20
 BROADCAST_BYTES = 256 << 20
 FREQUENT = 65_536
-BATCH_TOKENS = 400_000
+BATCH_TOKENS = 120_000
 WEIGHTS = (0.0, 0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
