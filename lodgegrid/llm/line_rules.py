@@ -1,6 +1,6 @@
 """Line-first quality rules, in DataFrame functions only.
 
-Every line of a text is judged on its own: by its punctuation (no sentence end, too many symbols or
+Every line of a text is judged on its own: by its punctuation (no sentence ends in it, too many symbols or
 exclamation marks), as navigation (bar-separated entries, menu words) or as boilerplate (fixed
 phrases). Lines that fail are removed, and a document that loses more than ``MAX_LOST`` of its word
 characters is rejected. Base statistics of the whole text reject a document before that. Nothing is
@@ -31,8 +31,8 @@ MAX_SYMBOLS_PER_WORD = 0.3
 MAX_BARS_PER_WORD = 0.2
 MAX_EXCLAMATIONS_PER_WORD = 0.5
 
-# Characters that may end a line of prose, and phrases of page furniture.
-SENTENCE_END = "[.!?:;…。！？\"”»’')\\]]$"
+# What ends a sentence, and phrases of page furniture.
+SENTENCE_END = r"[.!?:;…。！？][\"”»’')\]]*([\x20\x09-\x0D]|$)"
 NAVIGATION = r"(?i)^(home|menu|next|previous|back|top|search|log ?in|sign ?(in|up|out)|register|contact( us)?|about( us)?|share|print|read more|skip to content|site ?map)[.!:]?$"
 BOILERPLATE = r"(?i)(javascript|lorem ipsum|all rights reserved|cookie policy|uses? cookies|accept cookies|privacy policy|terms of (use|service)|subscribe to our|click here|powered by)"
 
@@ -64,7 +64,7 @@ def line_verdicts(line: Column) -> Column:
             return (found > 0) & (found > share * n)
 
         return F.struct(
-            (words & (~F.right(trimmed, F.lit(1)).rlike(SENTENCE_END)
+            (words & (~trimmed.rlike(SENTENCE_END)
                       | many(SYMBOLS, MAX_SYMBOLS_PER_WORD)
                       | many("!", MAX_EXCLAMATIONS_PER_WORD))).alias("punctuation"),
             (words & (many("|", MAX_BARS_PER_WORD) | trimmed.rlike(NAVIGATION))).alias("navigation"),
