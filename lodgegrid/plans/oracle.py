@@ -412,6 +412,7 @@ FROM lineitem""",
         "dim_property": _with(_RAW, f" SELECT DISTINCT {_PROPERTY} FROM r"),
         "dim_time": _with(_RAW, " SELECT DISTINCT month, year_month, year FROM r"),
         "dim_lga": _with(_LGA, " SELECT * FROM lga"),
+        "stored_dim_lga": _with(_LGA, " SELECT *, TRUE AS wrong_schema_refused FROM lga"),
         "listing_fact": typed_raw.replace(
             "SELECT * FROM r",
             f"SELECT CAST(id AS BIGINT) AS id, {_HOST}, {_PROPERTY}, month, year_month, year, "

@@ -294,6 +294,19 @@ def dim_lga(spark: SparkSession, folder: str) -> DataFrame:
     return w.dim_lga(tm.lga(spark, folder))
 
 
+def stored_dim_lga(spark: SparkSession, folder: str) -> DataFrame:
+    """The area dimension stored once, kept by a second store, and a wrong schema refused."""
+    path, raw = scratch_path(spark, "dim-lga"), tm.lga(spark, folder)
+    w.store_dim_lga(raw, path)
+    w.store_dim_lga(raw.withColumn("CODE_2016", F.lit("other")), path)
+    try:
+        w.store_dim_lga(raw.withColumn("CODE_2016", F.lit(1)), scratch_path(spark, "dim-lga"))
+        refused = False
+    except ValueError:
+        refused = True
+    return spark.read.parquet(path).withColumn("wrong_schema_refused", F.lit(refused))
+
+
 _STAR_COLUMNS = [
     "id", *HOST_KEY, *PROPERTY_KEY, *TIME_KEY, "accommodates", "availability_30",
     "number_of_reviews", "review_scores_rating", "price",
@@ -534,7 +547,7 @@ def all_queries() -> dict[str, Query]:
     jobs = [
         lookup_csv, snapshot_load, month_load_incremental,
         lookup_left_join, month_conform, year_month_from_names, money_parse, csv_scan, csv_split_scan,
-        dim_host, dim_property, dim_time, dim_lga, listing_fact, listing_fact_by_join,
+        dim_host, dim_property, dim_time, dim_lga, stored_dim_lga, listing_fact, listing_fact_by_join,
         star_add_months, star_active_rate, census_fact,
         audit_unique, audit_fk, audit_not_null, audit_casts, audit_summary,
         upsert_dim, stored_view, month_refresh, month_refresh_rate, raw_append, view_in_sql,

@@ -14,12 +14,13 @@ from ..schemas import (
     CENSUS_FACT_COUNTS,
     CENSUS_FACT_SCHEMA,
     CENSUS_MEDIANS,
+    DIM_LGA_SCHEMA,
     HOST_KEY,
     LISTING_SCHEMA,
     PROPERTY_KEY,
     TIME_KEY,
 )
-from ..sinks.store import read_version, replace_partitions, write_version
+from ..sinks.store import check_schema, materialize, read_version, replace_partitions, write_version
 from ..sources.listings_csv import read_raw
 
 # The load matches a raw row to its host without the last host column.
@@ -71,7 +72,7 @@ def store_listings(raw: DataFrame, path: str, allow_rejects: bool = False) -> No
     """
     if not allow_rejects:
         refuse_rejects(raw)
-    replace_partitions(typed_listings(raw), path, ["year_month"])
+    replace_partitions(check_schema(typed_listings(raw), LISTING_SCHEMA), path, ["year_month"])
 
 
 def store_months(spark: SparkSession, raw_path: str, path: str, months: list[int], allow_rejects: bool = False) -> None:
@@ -221,6 +222,11 @@ def dim_lga(lga_raw: DataFrame) -> DataFrame:
     return lga_raw.select(*[F.col(c).alias(c.lower()) for c in lga_raw.columns])
 
 
+def store_dim_lga(lga_raw: DataFrame, path: str) -> None:
+    """Store the area dimension unless it is stored already."""
+    materialize(check_schema(dim_lga(lga_raw), DIM_LGA_SCHEMA), path)
+
+
 def census_fact(counts_raw: DataFrame, medians_raw: DataFrame, lga: DataFrame) -> DataFrame:
     """Counts, medians and area name per census code, typed."""
     counts = counts_raw.selectExpr(

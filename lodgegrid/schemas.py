@@ -118,6 +118,7 @@ RAW_LISTING_SCHEMA = text_schema(LISTING_COLUMNS)
 CENSUS_COUNT_SCHEMA = text_schema(CENSUS_COUNT_COLUMNS)
 CENSUS_MEDIAN_SCHEMA = text_schema(CENSUS_MEDIAN_COLUMNS)
 LGA_SCHEMA = text_schema(LGA_COLUMNS)
+DIM_LGA_SCHEMA = text_schema([c.lower() for c in LGA_COLUMNS])
 
 CENSUS_FACT_SCHEMA = T.StructType(
     [T.StructField("abs_id", T.BinaryType()), T.StructField(CENSUS_CODE, T.StringType(), False)]

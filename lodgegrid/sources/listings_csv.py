@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.joins import null_safe_join
 from ..functions.parsing import missing_to_null
 from ..schemas import BLANK_COLUMNS_BY_MONTH, LISTING_COLUMNS, MONTH_NAMES, text_schema
-from ..sinks.store import replace_partitions
+from ..sinks.store import check_schema, replace_partitions
 from .split_csv import read_split_records
 
 CSV_OPTIONS = {"header": True, "sep": ",", "quote": '"', "escape": '"', "multiLine": True}
@@ -180,7 +180,7 @@ def load_snapshots(
 ) -> None:
     """Load month files into the raw table; loading a file again replaces its rows."""
     snapshots = read_snapshots(spark, paths, lookup, missing_text)
-    replace_partitions(snapshots, raw_path, RAW_PARTITIONS)
+    replace_partitions(check_schema(snapshots, RAW_TABLE_SCHEMA), raw_path, RAW_PARTITIONS)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
