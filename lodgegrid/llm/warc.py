@@ -131,37 +131,52 @@ def _plain_path(column: str) -> Column:
     return F.regexp_replace(column, "^[a-z]+:/+", "/")
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """``type, id, uri, concurrent_to, refers_to, digest, head, body`` of every record below ``path``."""
-    pieces = spark.read.option("lineSep", VERSION_LINE).text(path).select(
-        F.col("value").alias("record"), F.input_file_name().alias("path"))
+def _split(df: DataFrame) -> DataFrame:
+    """``path, head, rest, size, whole`` from pieces that begin after a version line."""
+    text = F.col("record")
+    at = F.locate("\r\n\r\n", text)
+    cut = df.select(
+        "path", F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text).alias("head"),
+        F.when(at > 0, F.substring(text, at + 4, F.octet_length(text))).otherwise(F.lit("")).alias("rest"),
+        (at > 0).alias("headed")).withColumn("size", _header("Content-Length").cast("long"))
+    # a whole record is its body and the two line ends after it
+    whole = F.col("headed") & (F.octet_length("rest") == F.col("size") + 4)
+    return cut.withColumn("whole", F.coalesce(whole, F.lit(False))).drop("headed")
 
-    def split(df: DataFrame) -> DataFrame:
-        text = F.col("record")
-        at = F.locate("\r\n\r\n", text)
-        return df.select("path", F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text).alias("head"),
-                         F.when(at > 0, F.substring(text, at + 4, F.length(text))).otherwise(F.lit("")).alias("rest"),
-                         (at > 0).alias("headed"))
 
-    cut = split(pieces.filter(F.length("record") > 0)).withColumn("size", _header("Content-Length").cast("long"))
-    # a whole record is its body and the two line ends after it
-    whole = F.coalesce(F.col("headed") & (F.octet_length("rest") == F.col("size") + 4), F.lit(False))
-    broken = cut_lineage(cut.filter(~whole).select("path").distinct(), "broken-archives")
-    records = cut.filter(whole).join(broken.select(F.col("path").alias("broken_path")),
-                                     F.col("path") == F.col("broken_path"), "left_anti")
-    if not broken.isEmpty():
-        files = spark.read.format("binaryFile").load(path).select("content", _plain_path("path").alias("plain"))
-        files = files.join(broken.select(_plain_path("path").alias("plain")), "plain", "left_semi")
-        again = split(files.select("content").mapInPandas(_cut_by_length, "record binary").select(
-            F.lit("").alias("path"), F.col("record").cast("string").alias("record")))
-        records = records.unionByName(again.withColumn("size", _header("Content-Length").cast("long")))
-    return records.select(
+def _fields(cut: DataFrame, kept: dict[str, Column] | None) -> DataFrame:
+    # the body's end is found in bytes
+    body = F.expr("CASE WHEN octet_length(rest) > size THEN "
+                  "CAST(substring(CAST(rest AS BINARY), 1, CAST(size AS INT)) AS STRING) ELSE rest END")
+    named = cut.select(
+        "path", "whole",
         F.lower(_header("WARC-Type")).alias("type"), _header("WARC-Record-ID").alias("id"),
         _header("WARC-Target-URI").alias("uri"), _header("WARC-Concurrent-To").alias("concurrent_to"),
         _header("WARC-Refers-To").alias("refers_to"),
-        F.regexp_replace(_header("WARC-Payload-Digest"), "^sha1:", "").alias("digest"), "head",
-        # the head and body are text; the body's end is found in bytes
-        F.expr("CASE WHEN octet_length(rest) > size THEN CAST(substring(CAST(rest AS BINARY), 1, CAST(size AS INT)) AS STRING) ELSE rest END").alias("body"))
+        F.regexp_replace(_header("WARC-Payload-Digest"), "^sha1:", "").alias("digest"), body.alias("body"))
+    return named.withColumns(kept) if kept else named
+
+
+def read_records(spark: SparkSession, path: str, kept: dict[str, Column] | None = None) -> DataFrame:
+    """``type, id, uri, concurrent_to, refers_to, digest, body`` of every record below ``path``.
+
+    ``kept`` names columns to compute from these, ``body`` among them; the records are then written
+    once in that form, so that joins on them do not read the archives again.
+    """
+    pieces = spark.read.option("lineSep", VERSION_LINE).text(path).select(
+        F.col("value").alias("record"), F.input_file_name().alias("path"))
+    found = _fields(_split(pieces.filter(F.length("record") > 0)), kept)
+    if kept:
+        found = cut_lineage(found, "records")
+    broken = cut_lineage(found.filter("NOT whole").select(F.col("path").alias("broken")).distinct(), "broken-archives")
+    records = found.filter("whole").join(broken, F.col("path") == F.col("broken"), "left_anti")
+    if not broken.isEmpty():
+        files = spark.read.format("binaryFile").load(path).select("content", _plain_path("path").alias("plain"))
+        files = files.join(broken.select(_plain_path("broken").alias("plain")), "plain", "left_semi")
+        again = files.select("content").mapInPandas(_cut_by_length, "record binary").select(
+            F.lit("").alias("path"), F.col("record").cast("string").alias("record"))
+        records = records.unionByName(_fields(_split(again), kept))
+    return records.drop("path", "whole")
 
 
 def assemble(records: DataFrame) -> DataFrame:
@@ -172,7 +187,7 @@ def assemble(records: DataFrame) -> DataFrame:
     """
     captures = records.filter(F.col("type").isin("response", "revisit"))
     others = records.filter(F.col("type").isin("request", "metadata")).select(
-        F.struct("id", "type", "uri", "head", "body").alias("record"), F.col("id").alias("other_id"), "concurrent_to")
+        F.struct("id", "type", "uri", "body").alias("record"), F.col("id").alias("other_id"), "concurrent_to")
     forward = others.filter("concurrent_to IS NOT NULL").select(F.col("concurrent_to").alias("capture"), "record")
     named = captures.filter("concurrent_to IS NOT NULL").select(F.col("id").alias("capture"), "concurrent_to")
     backward = others.drop("concurrent_to").join(
@@ -180,14 +195,13 @@ def assemble(records: DataFrame) -> DataFrame:
     grouped = forward.union(backward).groupBy("capture").agg(
         F.min(F.when(F.col("record.type") == "request", F.col("record"))).alias("request"),
         F.array_sort(F.collect_set(F.when(F.col("record.type") == "metadata", F.col("record")))).alias("metadata"))
-    return captures.join(grouped, F.col("id") == F.col("capture"), "left").drop(
-        "capture", "concurrent_to", "head")
+    return captures.join(grouped, F.col("id") == F.col("capture"), "left").drop("capture", "concurrent_to")
 
 
 def http_payload(body: Column) -> Column:
     """The body after the HTTP head."""
     body = F.col(body) if isinstance(body, str) else body
-    return F.substring(body, F.locate("\r\n\r\n", body) + 4, F.length(body))
+    return F.substring(body, F.locate("\r\n\r\n", body) + 4, F.octet_length(body))
 
 
 def field(metadata: Column, name: str) -> Column:
@@ -200,16 +214,19 @@ def field(metadata: Column, name: str) -> Column:
 def page_captures(pages: DataFrame, path: str, min_revisit: int = 0) -> DataFrame:
     """Writes the archives of ``pages`` to ``path``, reads them back, one row per capture.
 
-    ``page_id, payload_bytes, payload_digest, record_type, refers_to``; a revisit's size and digest are
-    those of the payload it refers to, which is checked against the digest in its own header.
+  ``page_id, payload_bytes, payload_digest, record_type, refers_to``; a revisit's size and digest are
+    those of the payload it refers to.
     """
     write_archives(pages, path, min_revisit)
-    payload = http_payload(F.col("body"))
-    captures = assemble(read_records(pages.sparkSession, path)).select(
-        "id", "type", "refers_to", field(F.col("metadata"), "page-id").cast("long").alias("page_id"), "digest",
-        F.when(F.col("type") == "response", F.octet_length(payload)).alias("size"),
-        F.when(F.col("type") == "response", F.sha1(payload.cast("binary"))).alias("sha1"))
-    captures = cut_lineage(captures, "captures")
+    payload, is_response = http_payload(F.col("body")), F.col("type") == "response"
+    records = read_records(pages.sparkSession, path, {
+        "size": F.when(is_response, F.octet_length(payload)),
+        "sha1": F.when(is_response, F.sha1(payload.cast("binary"))),
+        "body": F.when(F.col("type") == "metadata", F.col("body")),
+    })
+    captures = cut_lineage(assemble(records).select(
+        "id", "type", "refers_to", field(F.col("metadata"), "page-id").cast("long").alias("page_id"), "size", "sha1",
+    ), "captures")
     firsts = captures.filter("type = 'response'").select(
         F.col("id").alias("first_id"), F.col("page_id").alias("first_page"), F.col("size").alias("first_size"),
         F.col("sha1").alias("first_sha1"))
