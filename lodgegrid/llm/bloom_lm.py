@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import documents, remainder
+from .common import documents, remainder, small_batches
 
 FOLDS, HELD_OUT = 7, 2
 HASHES = 6
@@ -380,7 +380,7 @@ def lm_scores(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT,
     Rows whose crc32 remainder by ``folds`` is ``held_out`` are scored but not learned from.
     """
     spark = docs.sparkSession
-    docs = docs.select(
+    docs = small_batches(docs).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", "text",
         F.coalesce(remainder("doc_id", folds) == held_out, F.lit(True)).alias("held_out"))
     train = docs.filter("NOT held_out")

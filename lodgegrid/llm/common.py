@@ -14,6 +14,22 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+#: Rows a Python task holds at once; a row may carry a whole text.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches bounded for rows that carry whole texts.
+
+    The setting stays, since ``df`` is only run later; it changes no result.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = int(df.sparkSession.conf.get(setting))
+    if own <= 0 or own > BATCH_ROWS:
+        df.sparkSession.conf.set(setting, str(BATCH_ROWS))
+    return df
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the value as text, modulo ``modulus``; NULL for NULL."""
     return F.crc32(F.col(column).cast("string")) % F.lit(modulus)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import boxed, documents, unboxed
+from .common import boxed, documents, small_batches, unboxed
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -99,7 +99,7 @@ def signature_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
                 "labels": [labels(s) if len(s) else None for s in sets],
             })
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(
+    return small_batches(docs).select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(
         run, f"doc_id {kind}, text_hash long, set_key binary, n_shingles int, labels array<long>")
 
 

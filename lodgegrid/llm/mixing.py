@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import WORD_PATTERN, boxed, documents, unboxed
+from .common import WORD_PATTERN, boxed, documents, small_batches, unboxed
 from .feistel import permute, unpermute
 
 WEIGHTS = (5, 2, 1)
@@ -266,7 +266,7 @@ def mixed_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
             out.append([p for c in sorted(by_copy) for p in _cut(t, merged_runs(by_copy[c]))])
         return pd.Series(out)
 
-    keyed = boxed(docs, F.col("doc_id").alias("id"), F.col("text").alias("own_text"),
+    keyed = boxed(small_batches(docs), F.col("doc_id").alias("id"), F.col("text").alias("own_text"),
                   F.xxhash64("text").alias("own_hash"), F.col("source").cast("string").alias("own_source"))
     rows = keyed.dropDuplicates(["id", "own_hash", "own_source"]).join(
         taken,

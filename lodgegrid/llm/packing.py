@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import documents
+from .common import documents, small_batches
 from .tokens import VOCABULARY, encoder
 
 SEQUENCE = 2048
@@ -91,7 +91,7 @@ def piece_table(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str = VOC
                     out.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
             yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select("doc_id", "text").mapInPandas(
+    return small_batches(docs).select("doc_id", "text").mapInPandas(
         run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import documents, remainder
+from .common import documents, remainder, small_batches
 
 SYMBOLS = b"#*$%&|<>{}[]\\^~=+_@/"
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -87,7 +87,7 @@ def feature_table(docs: DataFrame) -> DataFrame:
             })
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, x array<double>")
+    return small_batches(docs).select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, x array<double>")
 
 
 @dataclass(frozen=True)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import scratch_path
 
-from .common import documents
+from .common import documents, small_batches
 from .feistel import permute, unpermute
 from .tokens import VOCABULARY, encoder
 
@@ -123,7 +123,7 @@ def sequences(docs: DataFrame, layout: Layout, vocabulary: str = VOCABULARY) ->
             ids = np.concatenate([ids, np.full(-len(ids) % length, PAD_ID, dtype=kind)])
             yield rows(ids.reshape(-1, length), number)
 
-    return docs.select("text").mapInPandas(run, "shard long, slot long, record binary")
+    return small_batches(docs).select("text").mapInPandas(run, "shard long, slot long, record binary")
 
 
 def write_shards(docs: DataFrame, path: str, sequence: int = SEQUENCE, shard: int = SHARD, key: int = KEY,
