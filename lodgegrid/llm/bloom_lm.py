@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import documents, remainder, small_batches
+from .common import documents, id_carried, remainder, small_batches
 
 FOLDS, HELD_OUT = 7, 2
 HASHES = 6
@@ -299,7 +299,7 @@ def _token_rows(docs: DataFrame, scorer, frequent: dict[int, int], model: Model)
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             ids, rows = frame["doc_id"].tolist(), frame["row"].tolist()
-            held = frame["held_out"].tolist()
+            held, no_id = frame["held_out"].tolist(), frame["_no_id"].tolist()
             for numbers, tokens in batches_of(frame):
                 scores = scorer(tokens) if scorer else [None] * len(tokens)
                 infos, rare_rows, rare_tokens, rare_times = [], [], [], []
@@ -309,7 +309,7 @@ def _token_rows(docs: DataFrame, scorer, frequent: dict[int, int], model: Model)
                     common = keys[at] == distinct if len(keys) else np.zeros(len(distinct), dtype=bool)
                     c = values[at[common]] if len(keys) else np.zeros(0)
                     infos.append({
-                        "doc_id": ids[i], "held_out": held[i], "n_tokens": len(own),
+                        "doc_id": None if no_id[i] else ids[i], "held_out": held[i], "n_tokens": len(own),
                         "known": int(times[common].sum()),
                         "base": float((times[common] * np.log10((c + 1) / total)).sum()), "score": score})
                     rare_rows.append(np.full(int((~common).sum()), rows[i]))
@@ -324,7 +324,7 @@ def _token_rows(docs: DataFrame, scorer, frequent: dict[int, int], model: Model)
                         "times": np.concatenate(rare_times), "info": [None] * n})
 
     info = f"struct<doc_id:{kind},held_out:boolean,n_tokens:long,known:long,base:double,score:double>"
-    return docs.select("row", "doc_id", "held_out", "text").mapInPandas(
+    return id_carried(docs.select("row", "doc_id", "held_out", "text")).mapInPandas(
         run, f"row long, token long, times long, info {info}")
 
 

@@ -30,6 +30,20 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def id_carried(df: DataFrame) -> DataFrame:
+    """``df`` for a Python task: ``doc_id`` is never NULL, and ``_no_id`` says where it was.
+
+    Among NULLs pandas holds whole numbers as doubles, which round ids above 2 ** 53.
+    """
+    kind = df.schema["doc_id"].dataType
+    return df.withColumns({"doc_id": F.coalesce("doc_id", F.lit(0).cast(kind)), "_no_id": F.col("doc_id").isNull()})
+
+
+def id_restored(df: DataFrame) -> DataFrame:
+    """What ``id_carried`` took, NULL again."""
+    return df.withColumn("doc_id", F.when(~F.col("_no_id"), F.col("doc_id"))).drop("_no_id")
+
+
 def remainder(column: str, modulus: int) -> Column:
     """crc32 of the value as text, modulo ``modulus``; NULL for NULL."""
     return F.crc32(F.col(column).cast("string")) % F.lit(modulus)

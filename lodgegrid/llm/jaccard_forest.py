@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import boxed, documents, small_batches, unboxed
+from .common import boxed, documents, id_carried, id_restored, small_batches, unboxed
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -93,14 +93,15 @@ def signature_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
         for batch in batches:
             sets = [shingles(t, words) for t in batch["text"]]
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "text_hash": batch["text_hash"],
+                "doc_id": batch["doc_id"], "_no_id": batch["_no_id"], "text_hash": batch["text_hash"],
                 "set_key": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets],
                 "n_shingles": [len(s) for s in sets],
                 "labels": [labels(s) if len(s) else None for s in sets],
             })
 
-    return small_batches(docs).select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInPandas(
-        run, f"doc_id {kind}, text_hash long, set_key binary, n_shingles int, labels array<long>")
+    rows = id_carried(small_batches(docs).select("doc_id", "text", F.xxhash64("text").alias("text_hash")))
+    return id_restored(rows.mapInPandas(
+        run, f"doc_id {kind}, _no_id boolean, text_hash long, set_key binary, n_shingles int, labels array<long>"))
 
 
 def shared_nodes(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

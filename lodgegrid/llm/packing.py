@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import documents, small_batches
+from .common import documents, id_carried, id_restored, small_batches
 from .tokens import VOCABULARY, encoder
 
 SEQUENCE = 2048
@@ -84,15 +84,15 @@ def piece_table(docs: DataFrame, sequence: int = SEQUENCE, vocabulary: str = VOC
         tokens = encoder(vocabulary)
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, no_id, text in zip(batch["doc_id"], batch["_no_id"], batch["text"]):
                 ids = tokens.closed_ids(text)
                 for start in range(0, len(ids), sequence):
                     piece = ids[start:start + sequence]
-                    out.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
-            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+                    out.append((doc_id, no_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids)))
+            yield pd.DataFrame(out, columns=["doc_id", "_no_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return small_batches(docs).select("doc_id", "text").mapInPandas(
-        run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    return id_restored(id_carried(small_batches(docs).select("doc_id", "text")).mapInPandas(
+        run, f"doc_id {kind}, _no_id boolean, start long, length long, ids_crc32 long, doc_tokens long"))
 
 
 def pack(docs: DataFrame, sequence: int = SEQUENCE, group_size: int = GROUP_SIZE, seed: int = SEED,
@@ -109,7 +109,8 @@ def pack(docs: DataFrame, sequence: int = SEQUENCE, group_size: int = GROUP_SIZE
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(
-            ["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
+            ["length", "_no_id", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True, True],
+            kind="stable")
         placed = first_fit_decreasing(group["length"].tolist(), sequence)
         number = np.array([s for s, _ in placed], dtype="int64")
         filled = np.bincount(number, weights=group["length"]).astype("int64")
@@ -119,9 +120,10 @@ def pack(docs: DataFrame, sequence: int = SEQUENCE, group_size: int = GROUP_SIZE
             offset=np.array([o for _, o in placed], dtype="int64"), padding=spare[number])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return dealt.withColumn("_group", F.pmod("_key", F.lit(groups))).groupBy("_group").applyInPandas(
-        run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
-             "sequence_id long, offset long, padding long")
+    grouped = id_carried(dealt.withColumn("_group", F.pmod("_key", F.lit(groups)))).groupBy("_group")
+    return id_restored(grouped.applyInPandas(
+        run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, _no_id boolean, "
+             "sequence_id long, offset long, padding long"))
 
 
 def op1_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import documents, remainder, small_batches
+from .common import documents, id_carried, id_restored, remainder, small_batches
 
 SYMBOLS = b"#*$%&|<>{}[]\\^~=+_@/"
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -82,12 +82,13 @@ def feature_table(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"],
+                "doc_id": batch["doc_id"], "_no_id": batch["_no_id"],
                 "x": [features(t) for t in batch["text"]],
             })
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return small_batches(docs).select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, x array<double>")
+    return id_restored(id_carried(small_batches(docs).select("doc_id", "text")).mapInPandas(
+        run, f"doc_id {kind}, _no_id boolean, x array<double>"))
 
 
 @dataclass(frozen=True)
@@ -191,13 +192,13 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: floa
             x = np.array(batch["x"].tolist(), dtype=float).reshape(-1, len(FEATURES))
             score = model.score(x)
             yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "held_out": batch["held_out"], "score": score,
+                "doc_id": batch["doc_id"], "_no_id": batch["_no_id"], "held_out": batch["held_out"], "score": score,
                 "predicted": (score >= threshold).astype("int32"),
             })
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return vectors.select("doc_id", "held_out", "x").mapInPandas(
-        run, f"doc_id {kind}, held_out boolean, score double, predicted int")
+    return id_restored(id_carried(vectors.select("doc_id", "held_out", "x")).mapInPandas(
+        run, f"doc_id {kind}, _no_id boolean, held_out boolean, score double, predicted int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = THRESHOLD) -> DataFrame:
