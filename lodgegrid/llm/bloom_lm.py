@@ -3,20 +3,24 @@
 The filter holds the counts of all word unigrams and bigrams of the training documents. A count is
 quantised to a level on a logarithmic scale, and an n-gram is entered once for every level up to its
 own, so probing level after level until one is missing gives the level back; it is never too low, and
-too high with a probability that falls by ``2 ** -HASHES`` a level. A level stands for the mean count
-of the n-grams on it.
+too high with a probability of about one in a hundred a level. All bits of an entry lie in one 64-bit
+word, so a probe reads one word. A level stands for the mean count of the n-grams on it.
 
 The filter is built in segments: an n-gram belongs to the segment its hash names, a segment is as large
 as its own n-grams need, and the number of segments follows the input. Tasks send a segment their
-n-grams as packed arrays already summed per batch. Up to ``BROADCAST_BYTES`` all segments are broadcast
-and every document is scored where it is read. A larger filter stays in place: the distinct n-grams are
-sent to their segments, probed there, and joined back. Both ways read the same levels.
-
-A token's probability mixes the bigram's share of its history with the unigram probability,
+n-grams as packed arrays already summed per portion of text. Up to ``BROADCAST_BYTES`` all segments are
+broadcast and every portion is probed where it is read. A larger filter stays in place: each portion
+sends every segment its distinct n-grams, once and packed as the filter was built, and gets a byte for
+each back. Both ways read the same levels, and what follows is the same for both.
+
+Per token the levels of its word and bigram are stored (two bytes); the history's level is the one of
+the word before. A token's probability depends on these three levels alone. It mixes the bigram's share
+of its history with the unigram probability,
 ``(1 - w) * (c(word) + 1) / (N + V + 1) + w * c(history word) / c(history)``. The weight ``w`` depends on
-the history's level. It is fitted on all training documents, each n-gram's own occurrence taken out of
-its count, so it does not trust what only that document says. ``base_score`` uses exact counts: the few
-most frequent tokens (at most ``FREQUENT``) are added up where a document is read, the rest are joined.
+the history's level. It is fitted on all training documents, from how often each triple of levels occurs,
+each n-gram's own occurrence taken out of its count, so it does not trust what only that document says.
+Scores are then looked up in a table of all triples. ``base_score`` uses exact counts: the most frequent
+tokens (at most ``FREQUENT``) are added up where a portion is read, the rest are joined.
 
 Cases
 -----
@@ -24,6 +28,7 @@ Cases
 * A NULL ``doc_id`` is held out, so it is scored but not learned from.
 * Repeated rows are learned from and scored one by one.
 * n-grams are told apart by 64-bit hashes. Columns beyond ``doc_id`` and ``text`` are not read.
+* A very long text is a portion of its own; arrays of a task hold some 40 bytes a word of it.
 """
 
 from __future__ import annotations
@@ -34,26 +39,27 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import documents, id_carried, remainder, small_batches
+from .common import SPACE_CHARS, documents, remainder, small_batches
 
 FOLDS, HELD_OUT = 7, 2
-HASHES = 6
-BITS_PER_ENTRY = 9
-LEVEL_BASE = 1.5
+HASHES = 5
+BITS_PER_ENTRY = 12
 SEGMENT_TEXT_BYTES = 8 << 20
 BROADCAST_BYTES = 256 << 20
-FREQUENT = 65_536
-BATCH_TOKENS = 120_000
+FREQUENT = 1 << 18
+PORTION_BYTES = 768 << 10
 WEIGHTS = (0.0, 0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 
+#: Levels as stored: six bits for a word's and six for a bigram's; 63 is the history of a text's first token.
+TOP_LEVEL, FIRST, CODES = 62, 63, 1 << 18
+
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-END = np.uint64(xxhash.xxh3_64_intdigest(b"end of text", seed=1))
-START = np.uint64(xxhash.xxh3_64_intdigest(b"start of text", seed=1))
+_U32 = np.uint64(32)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -62,50 +68,121 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def token_hashes(text: str | None) -> np.ndarray:
-    """Hashes of the text's tokens: its words, A-Z in lower case, and the end."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    out = np.empty(len(words) + 1, dtype=np.uint64)
-    out[:-1] = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    out[-1] = END
-    return out
+END, START = mixed(np.array([1, 2], dtype=np.uint64) * _C1)
+
+# A byte's value in a word's hash: a random one, the same for A-Z as for a-z.
+_BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * _C2)
+_BYTE[65:91] = _BYTE[97:123]
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[ord(c) for c in SPACE_CHARS]] = True
+_STEP = np.uint64(0x9E3779B97F4A7C13)
+
 
+def _powers(n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n - 1, 0), _STEP)]), dtype=np.uint64)
 
-def bigrams(history: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return mixed(history * _C1 + word * _C2 + np.uint64(1))
 
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in ``data``, and how many each text has.
+
+    ``offsets`` are the texts' borders in the bytes ``data``. A word's hash is the sum of its bytes' random
+    values times powers of an odd number, mixed with its length.
+    """
+    if not len(data):
+        return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets) - 1, dtype=np.int64)
+    solid = ~_SPACE[data]
+    cut = np.zeros(len(data), dtype=bool)  # no word goes on over a text's first byte
+    cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+    begins, ends = solid.copy(), solid.copy()
+    begins[1:] &= ~solid[:-1] | cut[1:]
+    ends[:-1] &= ~solid[1:] | cut[1:]
+    start, stop = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    size = stop - start
+    powers = _powers(int(size.max(initial=1)))
+    out = np.empty(len(start), dtype=np.uint64)
+    total = np.cumsum(size)
+    low = 0
+    while low < len(start):  # about a megabyte of words at a time
+        before = int(total[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(total, before + (1 << 20), "right")))
+        own = size[low:high]
+        first = np.cumsum(own) - own
+        inside = np.arange(int(own.sum())) - np.repeat(first, own)
+        value = _BYTE[data[np.repeat(start[low:high], own) + inside]] * powers[inside]
+        out[low:high] = np.add.reduceat(value, first)
+        low = high
+    return mixed(out + size.astype(np.uint64) * _C1), np.diff(np.searchsorted(start, offsets))
 
-def histories(tokens: np.ndarray) -> np.ndarray:
-    return np.concatenate([[START], tokens[:-1]])
+
+@dataclass
+class Portion:
+    """The tokens of some texts: ``sizes`` tokens each, the last of them the end."""
+
+    tokens: np.ndarray
+    sizes: np.ndarray
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
+    def pairs(self) -> np.ndarray:
+        history = np.empty_like(self.tokens)
+        history[1:] = self.tokens[:-1]
+        history[self.starts] = START
+        return mixed(history * _C1 + self.tokens * _C2 + np.uint64(1))
+
+
+def portion_of(data: np.ndarray, offsets: np.ndarray) -> Portion:
+    words, counts = word_hashes(data, offsets)
+    sizes = counts + 1
+    tokens = np.empty(len(words) + len(counts), dtype=np.uint64)
+    last = np.zeros(len(tokens), dtype=bool)
+    last[np.cumsum(sizes) - 1] = True
+    tokens[last], tokens[~last] = END, words
+    return Portion(tokens, sizes)
+
+
+def portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Portion]]:
+    """The batch in parts of about ``PORTION_BYTES`` of ``text``, which is never NULL."""
+    if not len(batch):
+        return
+    text = batch["text"]
+    borders = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+    data = np.frombuffer(text.buffers()[2] or b"", np.uint8)
+    part = (borders[1:] - borders[0]) // PORTION_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(text)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a), portion_of(data[borders[a] : borders[b]], borders[a : b + 1] - borders[a])
 
 
 def levels_of(counts: np.ndarray) -> np.ndarray:
-    """Level 1 holds count 1; a level's counts are under ``LEVEL_BASE`` times as many as its first."""
-    return 1 + np.floor(np.log(counts) / math.log(LEVEL_BASE) + 1e-9).astype(np.int64)
+    """Level 1 holds count 1, level 2 the counts 2 and 3, level 3 those from 4 to 7, and so on."""
+    return np.frexp(counts.astype(np.float64))[1].astype(np.int64)
 
 
-def _places(ids: np.ndarray, level: np.ndarray | int, bits: np.ndarray | int) -> Iterator[np.ndarray]:
-    seed = mixed(ids + np.asarray(level, dtype=np.uint64) * _C2)
-    step = mixed(seed ^ _C1) | np.uint64(1)
+def _places(ids: np.ndarray, level: int, words: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+    """The word of a segment of ``words`` 64-bit words that an entry lies in, and its bits there."""
+    seed = mixed(ids + np.array([level], dtype=np.uint64) * _C2)
+    bits = mixed(seed ^ _C1)
+    mask = np.zeros(len(ids), dtype=np.uint64)
     for i in range(HASHES):
-        yield ((seed + np.uint64(i) * step) % np.asarray(bits, dtype=np.uint64)).astype(np.int64)
+        mask |= np.uint64(1) << ((bits >> np.uint64(6 * i)) & np.uint64(63))
+    return (((seed >> _U32) * np.asarray(words, dtype=np.uint64)) >> _U32).astype(np.int64), mask
 
 
-def build_segment(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The bits of a segment, as bytes, from its distinct n-grams."""
+def build_segment(ids: np.ndarray, counts: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> np.ndarray:
+    """The words of a segment from its distinct n-grams."""
     level = levels_of(counts)
-    size = max(8, int(math.ceil(int(level.sum()) * BITS_PER_ENTRY / 8)))
-    bits = np.zeros(size * 8, dtype=bool)
+    out = np.zeros(max(1, math.ceil(int(level.sum()) * bits_per_entry / 64)), dtype=np.uint64)
     for own in range(1, int(level.max(initial=0)) + 1):
-        some = ids[level >= own]
-        for at in _places(some, own, size * 8):
-            bits[at] = True
-    return np.packbits(bits)
+        at, mask = _places(ids[level >= own], own, len(out))
+        np.bitwise_or.at(out, at, mask)
+    return out
 
 
 @dataclass
 class Filter:
-    """Segments laid end to end: segment ``s`` is the bytes from ``start[s]`` to ``start[s + 1]``."""
+    """Segments laid end to end: segment ``s`` is the words from ``start[s]`` to ``start[s + 1]``."""
 
     data: np.ndarray
     start: np.ndarray
@@ -114,58 +191,48 @@ class Filter:
         """Each n-gram's level, 0 if it was never entered."""
         segment = (ids % np.uint64(len(self.start) - 1)).astype(np.int64)
         low = self.start[segment]
-        bits = (self.start[segment + 1] - low) * 8
+        words = self.start[segment + 1] - low
         found, alive, level = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids)), 1
-        while len(alive):
-            hit = np.ones(len(alive), dtype=bool)
-            for at in _places(ids[alive], level, bits[alive]):
-                byte = self.data[low[alive] + (at >> 3)]
-                hit &= (byte >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-            alive = alive[hit]
+        while len(alive) and level <= TOP_LEVEL:
+            at, mask = _places(ids[alive], level, words[alive])
+            alive = alive[self.data[low[alive] + at] & mask == mask]
             found[alive] = level
             level += 1
         return found
 
 
-def batches_of(frame: pd.DataFrame) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """Row numbers and token hashes of a batch, in portions of about ``BATCH_TOKENS``."""
-    rows, tokens, total = [], [], 0
-    for i, text in enumerate(frame["text"]):
-        own = token_hashes(text)
-        rows.append(i)
-        tokens.append(own)
-        total += len(own)
-        if total >= BATCH_TOKENS:
-            yield rows, tokens
-            rows, tokens, total = [], [], 0
-    if rows:
-        yield rows, tokens
+def _by_segment(ids: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order that puts ``ids`` by segment, where each segment begins in it, and the segments there are."""
+    segment = (ids % np.uint64(segments)).astype(np.int64)
+    order = np.argsort(segment, kind="stable")
+    some, first = np.unique(segment[order], return_index=True)
+    return order, first, some
 
 
-def gram_table(docs: DataFrame, segments: int) -> DataFrame:
+def _packed(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """A binary array of the parts of ``values`` that begin at ``first``."""
+    borders = np.append(first, len(values)).astype(np.int64) * values.itemsize
+    return pa.Array.from_buffers(
+        pa.binary(), len(first), [None, pa.py_buffer(borders.astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+
+
+def gram_table(docs: DataFrame, segments: int, bits_per_entry: int = BITS_PER_ENTRY) -> DataFrame:
     """``segment, order, bits, n, total, ids, counts`` of all n-grams of ``docs``, a row per segment and order.
 
     ``n`` and ``total`` hold, by level, how many n-grams there are and the sum of their counts. Only
     unigrams keep their ``ids`` and exact ``counts``.
     """
 
-    def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for _, tokens in batches_of(frame):
-                grams = {
-                    1: np.concatenate(tokens),
-                    2: np.concatenate([bigrams(histories(t), t) for t in tokens]),
-                }
-                out = []
-                for order, own in grams.items():
-                    ids, counts = np.unique(own, return_counts=True)
-                    segment = (ids % np.uint64(segments)).astype(np.int64)
-                    by = np.argsort(segment, kind="stable")
-                    ids, counts, segment = ids[by], counts[by], segment[by]
-                    cuts = np.flatnonzero(np.diff(segment)) + 1
-                    for a, c in zip(np.split(ids, cuts), np.split(counts, cuts)):
-                        out.append((int(a[0] % np.uint64(segments)), order, a.tobytes(), c.astype("<u4").tobytes()))
-                yield pd.DataFrame(out, columns=["segment", "order", "ids", "counts"])
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, own in portions(batch):
+                for order, grams in ((1, own.tokens), (2, own.pairs())):
+                    ids, counts = np.unique(grams, return_counts=True)
+                    by, first, some = _by_segment(ids, segments)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(some, pa.int64()), pa.array(np.full(len(some), order), pa.int32()),
+                         _packed(ids[by], first), _packed(counts[by].astype("<u4"), first)],
+                        ["segment", "order", "ids", "counts"])
 
     def gather(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         ids = np.concatenate([np.frombuffer(b, np.uint64) for b in frame["ids"]])
@@ -175,13 +242,13 @@ def gram_table(docs: DataFrame, segments: int) -> DataFrame:
         level = levels_of(total)
         exact = key[1] == 1
         return pd.DataFrame({
-            "segment": [key[0]], "order": [key[1]], "bits": [build_segment(distinct, total).tobytes()],
+            "segment": [key[0]], "order": [key[1]], "bits": [build_segment(distinct, total, bits_per_entry).tobytes()],
             "n": [np.bincount(level)], "total": [np.bincount(level, weights=total).astype(np.int64)],
             "ids": [distinct.tobytes() if exact else None],
             "counts": [total.astype("<i8").tobytes() if exact else None]})
 
     return (
-        docs.select("text").mapInPandas(deal, "segment long, order int, ids binary, counts binary")
+        docs.select("text").mapInArrow(deal, "segment long, order int, ids binary, counts binary")
         .groupBy("segment", "order").applyInPandas(
             gather, "segment long, order int, bits binary, n array<long>, total array<long>, ids binary, counts binary")
     )
@@ -190,13 +257,13 @@ def gram_table(docs: DataFrame, segments: int) -> DataFrame:
 def unigram_table(grams: DataFrame) -> DataFrame:
     """``token, c``: exact counts of all tokens."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for ids, counts in zip(frame["ids"], frame["counts"]):
-                yield pd.DataFrame({
-                    "token": np.frombuffer(ids, np.int64), "c": np.frombuffer(counts, "<i8")})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, counts in zip(batch["ids"].to_pylist(), batch["counts"].to_pylist()):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(ids, np.int64)), pa.array(np.frombuffer(counts, "<i8"))], ["token", "c"])
 
-    return grams.filter("order = 1").select("ids", "counts").mapInPandas(run, "token long, c long")
+    return grams.filter("order = 1").select("ids", "counts").mapInArrow(run, "token long, c long")
 
 
 def level_table(grams: DataFrame) -> DataFrame:
@@ -206,60 +273,54 @@ def level_table(grams: DataFrame) -> DataFrame:
         F.sum("own.n").alias("n"), F.sum("own.total").alias("total"))
 
 
+def codes_of(levels: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each token's triple of levels (word, history, bigram) as one number, from what is stored."""
+    word = levels.astype(np.int64) >> 6
+    history = np.empty_like(word)
+    history[1:] = word[:-1]
+    history[starts] = FIRST
+    return word << 12 | history << 6 | (levels & 63)
+
+
 @dataclass
 class Model:
-    """What scoring needs beside the filter."""
+    """What scoring needs beside the levels."""
 
     tokens: int
     vocabulary: int
     documents: int
     means: dict[int, np.ndarray]
     weights: np.ndarray
-    segments: int
 
     def mean(self, order: int, level: np.ndarray) -> np.ndarray:
         """The count that a level stands for; levels that only false hits reach take the top one."""
         return self.means[order][np.minimum(level, len(self.means[order]) - 1)]
 
-    def counts(self, history: np.ndarray, history_level: np.ndarray) -> np.ndarray:
-        return np.where(history == START, float(self.documents), self.mean(1, history_level))
-
-    def parts(self, word_level, history, history_level, pair_level, own: int) -> tuple[np.ndarray, np.ndarray]:
+    def parts(self, code: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
         """Unigram probability and the bigram's share, with ``own`` occurrences taken out."""
-        word = np.maximum(self.mean(1, word_level) - own, 0)
-        given = np.maximum(self.counts(history, history_level) - own, 0)
-        pair = np.maximum(self.mean(2, pair_level) - own, 0)
+        level = code >> 6 & 63
+        given = np.where(level == FIRST, float(self.documents), self.mean(1, level))
+        word, given, pair = (
+            np.maximum(count - own, 0) for count in (self.mean(1, code >> 12), given, self.mean(2, code & 63)))
         share = np.where(given > 0, np.minimum(pair / np.maximum(given, 1e-9), 1.0), 0.0)
         return (word + 1) / (self.tokens + self.vocabulary + 1), share
 
-    def log_probability(self, word_level, history, history_level, pair_level) -> np.ndarray:
-        unigram, share = self.parts(word_level, history, history_level, pair_level, 0)
-        level = np.where(history == START, len(self.weights) - 1, np.minimum(history_level, len(self.weights) - 2))
-        weight = self.weights[level]
+    def learn_weights(self, code: np.ndarray, times: np.ndarray) -> None:
+        """The likeliest weight for each level of the history, given how often each triple occurs."""
+        unigram, share = self.parts(code, 1)
+        level = code >> 6 & 63
+        value = np.array([
+            np.bincount(level, weights=times * np.log10((1 - w) * unigram + w * share), minlength=64) for w in WEIGHTS])
+        seen = np.bincount(level, minlength=64) > 0
+        self.weights[seen] = np.array(WEIGHTS)[value.argmax(axis=0)][seen]
+
+    def table(self) -> np.ndarray:
+        """The log probability of every triple."""
+        code = np.arange(CODES)
+        unigram, share = self.parts(code, 0)
+        weight = self.weights[code >> 6 & 63]
         return np.log10((1 - weight) * unigram + weight * share)
 
-    def fit_rows(self, word_level, history, history_level, pair_level, times) -> pd.DataFrame:
-        """Log likelihood of every weight by the history's level, own occurrences left out."""
-        unigram, share = self.parts(word_level, history, history_level, pair_level, 1)
-        level = np.where(history == START, len(self.weights) - 1, np.minimum(history_level, len(self.weights) - 2))
-        out = [
-            pd.DataFrame({"level": np.arange(len(self.weights)), "choice": k, "value": np.bincount(
-                level, weights=times * np.log10((1 - w) * unigram + w * share), minlength=len(self.weights))})
-            for k, w in enumerate(WEIGHTS)
-        ]
-        return pd.concat(out)
-
-    def learn_weights(self, rows: DataFrame) -> None:
-        """Takes the best weight for each level from ``level, choice, value`` rows."""
-        best: dict[int, tuple[float, int]] = {}
-        for r in rows.groupBy("level", "choice").agg(F.sum("value").alias("value")).collect():
-            best[r.level] = max(best.get(r.level, (-math.inf, 0)), (r.value, -r.choice))
-        for level, (_, choice) in best.items():
-            self.weights[level] = WEIGHTS[-choice]
-
-
-FIT_SCHEMA = "level int, choice int, value double"
-
 
 def load_filter(table: DataFrame, segments: int) -> dict[int, Filter]:
     """All segments in one piece per order; called only under ``BROADCAST_BYTES``."""
@@ -267,191 +328,226 @@ def load_filter(table: DataFrame, segments: int) -> dict[int, Filter]:
     for r in table.toLocalIterator():
         parts[r.order][r.segment] = bytes(r.bits)
     return {
-        order: Filter(np.frombuffer(b"".join(own), np.uint8), np.cumsum([0, *map(len, own)]))
+        order: Filter(np.frombuffer(b"".join(own), np.uint64), np.cumsum([0, *(len(b) // 8 for b in own)]))
         for order, own in parts.items()
     }
 
 
-def _probe_portion(grams: dict[int, Filter], tokens: list[np.ndarray]):
-    """Token levels, histories, their levels and pair levels of a portion, each n-gram probed once."""
-    word = np.concatenate(tokens)
-    history = np.concatenate([histories(t) for t in tokens])
-    distinct, place = np.unique(word, return_inverse=True)
-    level = grams[1].levels(distinct)
-    word_level = level[place]
-    history_level = np.concatenate([np.append(0, l[:-1]) for l in np.split(
-        word_level, np.cumsum([len(t) for t in tokens])[:-1])])
-    pairs, place = np.unique(bigrams(history, word), return_inverse=True)
-    return word, word_level, history, history_level, grams[2].levels(pairs)[place]
+@dataclass
+class Summing:
+    """Sums of exact counts over a text's tokens, where the counts are known here."""
+
+    keys: np.ndarray
+    counts: np.ndarray
+    total: int
+
+    def sums(self, own: Portion, distinct: np.ndarray, place: np.ndarray, level: np.ndarray) -> list[pa.Array]:
+        """``known, base, rare, times`` of each text; ``rare`` are the tokens whose counts are not known.
+
+        A token that the filter does not hold has the count 0.
+        """
+        at = np.minimum(np.searchsorted(self.keys, distinct), max(len(self.keys) - 1, 0))
+        common = self.keys[at] == distinct if len(self.keys) else np.zeros(len(distinct), dtype=bool)
+        count = np.where(common, self.counts[at], 0) if len(self.keys) else np.zeros(len(distinct), dtype=np.int64)
+        rare = ~common & (level > 0)
+        value = np.where(rare, 0.0, np.log10((count + 1) / self.total))
+        known = np.add.reduceat((count > 0)[place].astype(np.int64), own.starts)
+        base = np.add.reduceat(value[place], own.starts)
+        some = rare[place]
+        text = np.repeat(np.arange(len(own.sizes)), own.sizes)[some]
+        each, times = np.unique(text * len(distinct) + place[some], return_counts=True)
+        borders = pa.array(np.searchsorted(each, np.arange(len(own.sizes) + 1) * len(distinct)), pa.int32())
+        return [
+            pa.array(known, pa.int64()), pa.array(base),
+            pa.ListArray.from_arrays(borders, pa.array(distinct[each % len(distinct)].view(np.int64))),
+            pa.ListArray.from_arrays(borders, pa.array(times, pa.int32()))]
+
+
+_FOUND = ["known", "base", "rare", "times"]
+_FOUND_TYPES = "n_tokens long, levels binary, known long, base double, rare array<long>, times array<int>"
+
+
+def _found(own: Portion, distinct, place, word_level, pair_level, summing: Summing) -> list[pa.Array]:
+    """The columns of ``_FOUND_TYPES`` of a portion, from the levels of its distinct words and of its bigrams."""
+    levels = (np.minimum(word_level, TOP_LEVEL)[place] << 6 | np.minimum(pair_level, 63)).astype("<u2")
+    return [pa.array(own.sizes, pa.int64()), _packed(levels, own.starts), *summing.sums(own, distinct, place, word_level)]
+
+
+def probed_where_read(docs: DataFrame, grams, summing) -> DataFrame:
+    """``row, doc_id, held_out`` and ``_FOUND_TYPES`` of every text, with the broadcast filter ``grams``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, own in portions(batch):
+                distinct, place = np.unique(own.tokens, return_inverse=True)
+                word_level = grams.value[1].levels(distinct)
+                yield pa.RecordBatch.from_arrays(
+                    [part["row"], part["doc_id"], part["held_out"],
+                     *_found(own, distinct, place, word_level, grams.value[2].levels(own.pairs()), summing.value)],
+                    ["row", "doc_id", "held_out", "n_tokens", "levels", *_FOUND])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.mapInArrow(run, f"row long, doc_id {kind}, held_out boolean, {_FOUND_TYPES}")
 
 
-def _token_rows(docs: DataFrame, scorer, frequent: dict[int, int], model: Model) -> DataFrame:
-    """Per document a row with ``info``, and per distinct rare token a row with ``token, times``.
+def probed_in_place(docs: DataFrame, segments: DataFrame, n_segments: int, summing) -> DataFrame:
+    """What ``probed_where_read`` gives, with the filter's segments where they are.
 
-    ``info`` has what is known without a join: ids, counts, the sums over frequent tokens and, with a
-    ``scorer``, the score.
+    A portion goes with its distinct words and each token's number among them, so that it is read once.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    keys = np.array(sorted(frequent), dtype=np.int64)
-    values = np.array([frequent[k] for k in keys.tolist()], dtype=np.int64)
-    total = model.tokens + model.vocabulary + 1
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            ids, rows = frame["doc_id"].tolist(), frame["row"].tolist()
-            held, no_id = frame["held_out"].tolist(), frame["_no_id"].tolist()
-            for numbers, tokens in batches_of(frame):
-                scores = scorer(tokens) if scorer else [None] * len(tokens)
-                infos, rare_rows, rare_tokens, rare_times = [], [], [], []
-                for i, own, score in zip(numbers, tokens, scores):
-                    distinct, times = np.unique(own.view(np.int64), return_counts=True)
-                    at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
-                    common = keys[at] == distinct if len(keys) else np.zeros(len(distinct), dtype=bool)
-                    c = values[at[common]] if len(keys) else np.zeros(0)
-                    infos.append({
-                        "doc_id": None if no_id[i] else ids[i], "held_out": held[i], "n_tokens": len(own),
-                        "known": int(times[common].sum()),
-                        "base": float((times[common] * np.log10((c + 1) / total)).sum()), "score": score})
-                    rare_rows.append(np.full(int((~common).sum()), rows[i]))
-                    rare_tokens.append(distinct[~common])
-                    rare_times.append(times[~common])
-                yield pd.DataFrame({
-                    "row": [rows[i] for i in numbers], "token": [rows[i] for i in numbers], "times": 0, "info": infos})
-                n = sum(map(len, rare_rows))
-                if n:
-                    yield pd.DataFrame({
-                        "row": np.concatenate(rare_rows), "token": np.concatenate(rare_tokens),
-                        "times": np.concatenate(rare_times), "info": [None] * n})
-
-    info = f"struct<doc_id:{kind},held_out:boolean,n_tokens:long,known:long,base:double,score:double>"
-    return id_carried(docs.select("row", "doc_id", "held_out", "text")).mapInPandas(
-        run, f"row long, token long, times long, info {info}")
-
-
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``row, held_out, word, history, pair, times``: distinct bigrams of each document."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows, held = frame["row"].tolist(), frame["held_out"].tolist()
-            for numbers, tokens in batches_of(frame):
-                for i, own in zip(numbers, tokens):
-                    before = histories(own)
-                    pair, first, times = np.unique(bigrams(before, own), return_index=True, return_counts=True)
-                    yield pd.DataFrame({
-                        "row": rows[i], "held_out": held[i], "word": own[first].view(np.int64),
-                        "history": before[first].view(np.int64), "pair": pair.view(np.int64), "times": times})
-
-    return docs.select("row", "held_out", "text").mapInPandas(
-        run, "row long, held_out boolean, word long, history long, pair long, times long")
-
-
-def joined_levels(found: DataFrame, segments: DataFrame, n_segments: int) -> DataFrame:
-    """``found`` with ``word_level, history_level, pair_level``, probed where the segments are."""
-    asked = found.select(F.lit(1).alias("order"), F.col("word").alias("gram")).union(
-        found.select(F.lit(1), "history")).union(found.select(F.lit(2), "pair")).distinct()
-
-    def segment_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            ids = frame["gram"].to_numpy().view(np.uint64)
-            yield frame.assign(segment=(ids % np.uint64(n_segments)).astype(np.int64))
-
-    def probe(key: tuple, grams: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, own in portions(batch):
+                distinct, place = np.unique(own.tokens, return_inverse=True)
+                name = part["row"][0].as_py()
+                for order, ids in ((1, distinct), (2, np.unique(own.pairs()))):
+                    by, first, some = _by_segment(ids, n_segments)
+                    n = len(some)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([name] * n, pa.int64()), pa.array([order] * n, pa.int32()), pa.array(some, pa.int64()),
+                         _packed(ids[by], first), pa.nulls(n, record)], names)
+                own_record = {
+                    "row": part["row"].to_pylist(), "doc_id": part["doc_id"].to_pylist(),
+                    "held_out": part["held_out"].to_pylist(), "sizes": own.sizes.tolist(),
+                    "words": distinct.tobytes(), "place": place.astype("<u4").tobytes()}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name], pa.int64()), pa.array([0], pa.int32()), pa.array([0], pa.int64()),
+                     pa.nulls(1, pa.binary()), pa.array([own_record], record)], names)
+
+    def probe(key: tuple, asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         blob = bytes(own["bits"].iloc[0]) if len(own) else b"\0" * 8
-        one = Filter(np.frombuffer(blob, np.uint8), np.array([0, len(blob)]))
-        return pd.DataFrame({"order": key[0], "gram": grams["gram"],
-                             "level": one.levels(grams["gram"].to_numpy().view(np.uint64))})
-
-    dealt = asked.mapInPandas(segment_of, "order int, gram long, segment long")
-    level = cut_lineage(
-        dealt.groupBy("order", "segment").cogroup(segments.groupBy("order", "segment")).applyInPandas(
-            probe, "order int, gram long, level int"), "levels")
-    for name, order in (("word", 1), ("history", 1), ("pair", 2)):
-        own = level.filter(F.col("order") == order).select(
-            F.col("gram").alias(name), F.col("level").alias(f"{name}_level"))
-        found = found.join(own, name)
-    return found
+        one = Filter(np.frombuffer(blob, np.uint64), np.array([0, len(blob) // 8]))
+        return pd.DataFrame({"portion": asked["portion"], "order": asked["order"], "segment": asked["segment"], "levels": [
+            one.levels(np.frombuffer(ids, np.uint64)).astype(np.uint8).tobytes() for ids in asked["ids"]]})
+
+    def assemble(key: tuple, records: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        record = records["record"].iloc[0]
+        distinct, place = np.frombuffer(record["words"], np.uint64), np.frombuffer(record["place"], "<u4").astype(np.int64)
+        own = Portion(distinct[place], np.asarray(record["sizes"], dtype=np.int64))
+        pairs, pair_place = np.unique(own.pairs(), return_inverse=True)
+        found = {}
+        for order, ids in ((1, distinct), (2, pairs)):
+            some = answers[answers["order"] == order].sort_values("segment")
+            by, _, _ = _by_segment(ids, n_segments)
+            found[order] = np.empty(len(ids), dtype=np.int64)
+            found[order][by] = np.frombuffer(b"".join(some["levels"]), np.uint8)
+        columns = _found(own, distinct, place, found[1], found[2][pair_place], summing.value)
+        return pd.DataFrame({
+            "row": list(record["row"]), "doc_id": list(record["doc_id"]), "held_out": list(record["held_out"]),
+            **{name: column.to_pylist() for name, column in zip(["n_tokens", "levels", *_FOUND], columns)}})
+
+    names = ["portion", "order", "segment", "ids", "record"]
+    # an id as text stays whole among NULLs
+    record = pa.struct([("row", pa.list_(pa.int64())), ("doc_id", pa.list_(pa.string())), ("held_out", pa.list_(pa.bool_())),
+                        ("sizes", pa.list_(pa.int64())), ("words", pa.binary()), ("place", pa.binary())])
+    record_type = ("struct<row:array<long>,doc_id:array<string>,held_out:array<boolean>,"
+                   "sizes:array<long>,words:binary,place:binary>")
+    asked = cut_lineage(docs.withColumn("doc_id", F.col("doc_id").cast("string")).mapInArrow(
+        ask, f"portion long, order int, segment long, ids binary, record {record_type}"), "asked")
+    answers = (
+        asked.filter("order > 0").drop("record").groupBy("order", "segment")
+        .cogroup(segments.groupBy("order", "segment"))
+        .applyInPandas(probe, "portion long, order int, segment long, levels binary"))
+    records = asked.filter("order = 0").select("portion", "record")
+    found = records.groupBy("portion").cogroup(answers.groupBy("portion")).applyInPandas(
+        assemble, f"row long, doc_id string, held_out boolean, {_FOUND_TYPES}")
+    return found.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
+
+
+def _stored_codes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The triples of all tokens of a batch of stored levels, and where each text begins."""
+    parts = [np.frombuffer(b, "<u2") for b in batch["levels"].to_pylist()]
+    sizes = np.array([len(p) for p in parts])
+    starts = np.cumsum(sizes) - sizes
+    return codes_of(np.concatenate(parts), starts), starts
+
+
+def code_counts(probed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The triples of levels in the training texts, and how often each occurs: ``CODES`` rows at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        times = np.zeros(CODES, dtype=np.int64)
+        for batch in batches:
+            if len(batch):
+                times += np.bincount(_stored_codes(batch)[0], minlength=CODES)
+        code = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(times[code])], ["code", "times"])
+
+    rows = probed.filter("NOT held_out").select("levels").mapInArrow(run, "code long, times long").groupBy("code").agg(
+        F.sum("times").alias("times")).collect()
+    return np.array([r.code for r in rows], dtype=np.int64), np.array([r.times for r in rows], dtype=np.int64)
+
+
+def scored(probed: DataFrame, table) -> DataFrame:
+    """``probed`` with ``score`` in place of the levels, from the broadcast ``table`` of all triples."""
+    names = ["row", "doc_id", "held_out", "n_tokens", "known", "base"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                code, starts = _stored_codes(batch)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch[n] for n in names), pa.array(np.add.reduceat(table.value[code], starts))], [*names, "score"])
+
+    kept = ", ".join(f"{n} {probed.schema[n].dataType.simpleString()}" for n in names)
+    return probed.select(*names, "levels").mapInArrow(run, f"{kept}, score double")
 
 
 def lm_scores(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT,
-              broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+              broadcast_bytes: int = BROADCAST_BYTES, bits_per_entry: int = BITS_PER_ENTRY) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for every row of ``docs``.
 
     Rows whose crc32 remainder by ``folds`` is ``held_out`` are scored but not learned from.
     """
     spark = docs.sparkSession
     docs = small_batches(docs).select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", "text",
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce(remainder("doc_id", folds) == held_out, F.lit(True)).alias("held_out"))
     train = docs.filter("NOT held_out")
     size = train.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
     n_segments = max(1, math.ceil((size[0] or 0) / SEGMENT_TEXT_BYTES))
-    grams = cut_lineage(gram_table(train, n_segments), "grams")
+    grams = cut_lineage(gram_table(train, n_segments, bits_per_entry), "grams")
     unigrams = cut_lineage(unigram_table(grams), "unigrams")
     by_level = level_table(grams).collect()  # a few dozen rows per order
     means = {order: np.zeros(1 + max((r.level for r in by_level if r.order == order), default=0)) for order in (1, 2)}
     for r in by_level:
         means[r.order][r.level] = r.total / r.n if r.n else 0.0
-    model = Model(
-        sum(r.total for r in by_level if r.order == 1), sum(r.n for r in by_level if r.order == 1), size[1],
-        means, np.zeros(len(means[1]) + 1), n_segments)
-    # at most FREQUENT tokens can have a count this large
-    floor = max(1, math.ceil(model.tokens / FREQUENT))
-    frequent = {r.token: r.c for r in unigrams.filter(F.col("c") >= floor).collect()}
+    words = sorted(((r.level, r.n, r.total) for r in by_level if r.order == 1), reverse=True)
+    model = Model(sum(w[2] for w in words), sum(w[1] for w in words), size[1], means, np.zeros(64))
+    # whole levels from the top, as long as they hold at most FREQUENT tokens
+    floor, held = math.inf, 0
+    for level, n, _ in words:
+        held += n
+        if level == 0 or held > FREQUENT:
+            break
+        floor = 1 << (level - 1)
+    frequent = [] if math.isinf(floor) else unigrams.filter(F.col("c") >= floor).collect()
+    keys = np.array([r.token for r in frequent], dtype=np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    total = model.tokens + model.vocabulary + 1
+    summing = spark.sparkContext.broadcast(
+        Summing(keys[order], np.array([r.c for r in frequent], dtype=np.int64)[order], total))
     segments = grams.select("order", "segment", "bits")
     filter_bytes = segments.agg(F.sum(F.octet_length("bits"))).first()[0] or 0
     if filter_bytes <= broadcast_bytes:
-        held = spark.sparkContext.broadcast(load_filter(segments, n_segments))
-
-        def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                for _, tokens in batches_of(frame):
-                    word, word_level, history, history_level, pair_level = _probe_portion(held.value, tokens)
-                    yield model.fit_rows(word_level, history, history_level, pair_level, np.ones(len(word)))
-
-        model.learn_weights(train.select("text").mapInPandas(fit, FIT_SCHEMA))
-
-        def scorer(tokens: list[np.ndarray]) -> list[float]:
-            _, word_level, history, history_level, pair_level = _probe_portion(held.value, tokens)
-            each = model.log_probability(word_level, history, history_level, pair_level)
-            return np.add.reduceat(each, np.cumsum([0, *map(len, tokens)])[:-1]).tolist()
-
-        rows, scores = _token_rows(docs, scorer, frequent, model), None
+        probed = probed_where_read(docs, spark.sparkContext.broadcast(load_filter(segments, n_segments)), summing)
     else:
-        found = cut_lineage(joined_levels(occurrences(docs), segments, n_segments), "probed")
-        names = ["word_level", "history", "history_level", "pair_level"]
-
-        def columns(frame: pd.DataFrame) -> list[np.ndarray]:
-            return [frame[n].to_numpy().view(np.uint64) if n == "history" else frame[n].to_numpy() for n in names]
-
-        def fit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                yield model.fit_rows(*columns(frame), frame["times"].to_numpy())
-
-        model.learn_weights(found.filter("NOT held_out").select(*names, "times").mapInPandas(fit, FIT_SCHEMA))
-
-        def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                yield pd.DataFrame({
-                    "row": frame["row"], "part": model.log_probability(*columns(frame)) * frame["times"]})
-
-        scores = found.select("row", *names, "times").mapInPandas(score, "row long, part double").groupBy(
-            F.col("row").alias("score_row")).agg(F.sum("part").alias("joined_score"))
-        rows = _token_rows(docs, None, frequent, model)
-    total = model.tokens + model.vocabulary + 1
+        probed = probed_in_place(docs, segments, n_segments, summing)
+    probed = cut_lineage(probed, "probed")
+    model.learn_weights(*code_counts(probed))
+    rows = scored(probed, spark.sparkContext.broadcast(model.table()))
     c = F.coalesce("c", F.lit(0))
-    rare = F.col("times") * F.log10((c + 1) / F.lit(float(total)))
-    summed = rows.join(unigrams, "token", "left").groupBy("row").agg(
-        F.max("info").alias("info"), F.sum(rare).alias("rare_base"),
+    each = probed.select(F.col("row").alias("of_row"), F.explode(F.arrays_zip("rare", "times")).alias("own")).select(
+        "of_row", F.col("own.rare").alias("token"), F.col("own.times").alias("times"))
+    rare = each.join(unigrams, "token", "left").groupBy("of_row").agg(
+        F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(total)))).alias("rare_base"),
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("rare_known"))
-    if scores is not None:
-        summed = summed.join(scores, F.col("row") == F.col("score_row"), "left")
-    return summed.select(
-        "info.doc_id", "info.held_out", "info.n_tokens",
-        (F.col("info.known") + F.col("rare_known")).alias("n_known"),
+    return rows.join(rare, F.col("row") == F.col("of_row"), "left").select(
+        "doc_id", "held_out", "n_tokens",
+        (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(int(model.tokens)).cast("long").alias("train_tokens"),
-        (F.col("info.base") + F.col("rare_base")).alias("base_score"),
-        (F.col("joined_score") if scores is not None else F.col("info.score")).alias("score"))
+        (F.col("base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), "score")
 
 
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:

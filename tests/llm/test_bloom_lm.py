@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from lodgegrid.llm.bloom_lm import Filter, build_segment, levels_of, lm_scores
+from lodgegrid.llm.bloom_lm import Filter, build_segment, levels_of, lm_scores, portion_of, word_hashes
 
 
 def tokens_of(text):
@@ -60,3 +60,89 @@ def test_odd_rows(make_docs, odd_rows):
     check(lm_scores(docs).collect(), odd_rows)
     assert lm_scores(make_docs([])).count() == 0
     check(lm_scores(make_docs([(None, "only held out")])).collect(), [(None, "only held out")])
+
+
+def test_words_are_told_apart_as_split_does():
+    texts = [b"Ab cd\x0b\x0cEF\r\n", b"", b"  ", b"ab  x", "\u00e4\u00a0b \u2003c".encode(), b"word" * 3000 + b" end", b"q"]
+    texts += [b"a b", b"ab"]  # a text's border parts words without a space
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    hashes, counts = word_hashes(data, np.cumsum([0, *map(len, texts)]))
+    words = [t.lower().split() for t in texts]
+    assert counts.tolist() == list(map(len, words))
+    flat = [w for own in words for w in own]
+    by_word = {w: h for w, h in zip(flat, hashes.tolist())}
+    assert [by_word[w] for w in flat] == hashes.tolist() and len(set(by_word.values())) == len(by_word)
+    own = portion_of(data, np.cumsum([0, *map(len, texts)]))
+    assert own.sizes.tolist() == [len(w) + 1 for w in words] and len(own.tokens) == own.sizes.sum()
+    assert word_hashes(data[:0], np.zeros(3, dtype=np.int64))[1].tolist() == [0, 0]
+
+
+def test_word_hashes_over_many_portions():
+    rng = np.random.default_rng(2)
+    words = [bytes(rng.integers(97, 123, rng.integers(1, 12), dtype=np.uint8)) for _ in range(300_000)]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    hashes, _ = word_hashes(data, np.array([0, len(data)]))
+    assert len(set(hashes.tolist())) == len(set(words)) and len(hashes) == len(words)
+
+
+def plain_model(docs):
+    """Scores in plain Python, from the definition: exact counts, put on levels of the powers of 2."""
+    weights = (0.0, 0.01, 0.03, 0.06, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
+    trained = [tokens_of(text) for d, text in docs if not is_held(d)]
+    one = Counter(t for own in trained for t in own)
+    two = Counter((h, t) for own in trained for h, t in zip(["start", *own], own))
+    n, v = sum(one.values()), len(one)
+
+    def level(count):
+        return count.bit_length()
+
+    means = []
+    for counts in (one, two):
+        by_level = {}
+        for c in counts.values():
+            by_level.setdefault(level(c), []).append(c)
+        means.append({k: sum(c) / len(c) for k, c in by_level.items()} | {0: 0.0})
+
+    def parts(history, token, own):
+        word = max(means[0][level(one[token])] - own, 0)
+        given = len(trained) if history == "start" else means[0][level(one[history])]
+        given, pair = max(given - own, 0), max(means[1][level(two[history, token])] - own, 0)
+        return (word + 1) / (n + v + 1), min(pair / given, 1) if given else 0.0
+
+    def key(history):
+        return "start" if history == "start" else level(one[history])
+
+    fit = {}
+    for own in trained:
+        for history, token in zip(["start", *own], own):
+            unigram, share = parts(history, token, 1)
+            sums = fit.setdefault(key(history), [0.0] * len(weights))
+            for i, w in enumerate(weights):
+                sums[i] += math.log10((1 - w) * unigram + w * share)
+    chosen = {k: weights[max(range(len(weights)), key=lambda i: sums[i])] for k, sums in fit.items()}
+    out = []
+    for d, text in docs:
+        own, score = tokens_of(text), 0.0
+        for history, token in zip(["start", *own], own):
+            unigram, share = parts(history, token, 0)
+            w = chosen.get(key(history), 0.0)
+            score += math.log10((1 - w) * unigram + w * share)
+        out.append((d, score))
+    return out
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 30, 0])
+def test_scores_against_a_plain_model(small, broadcast_bytes):
+    some = small.filter("doc_id < 70")
+    expected = dict(plain_model([(r.doc_id, r.text) for r in some.collect()]))
+    # so many bits that no probe hits by chance
+    found = {r.doc_id: r.score for r in lm_scores(some, broadcast_bytes=broadcast_bytes, bits_per_entry=4000).collect()}
+    assert found.keys() == expected.keys()
+    assert all(found[d] == pytest.approx(expected[d], rel=1e-9) for d in found)
+
+
+def test_ids_of_any_type_and_size(make_docs):
+    rows = [(2**60 + 1, "one two"), (None, "one two"), (2**60 + 3, "three")]
+    for broadcast_bytes in (1 << 30, 0):
+        found = lm_scores(make_docs(rows), broadcast_bytes=broadcast_bytes).collect()
+        assert {r.doc_id for r in found} == {2**60 + 1, None, 2**60 + 3}
