@@ -383,6 +383,33 @@ def _load_and_warehouse() -> dict[str, str]:
                 "host_neighbourhood_cleansed FROM r",
             ),
         ),
+        "snapshot_load_layouts": _with(
+            _RAW,
+            """ SELECT id, CAST(year_month AS VARCHAR) AS year_month, host_id, host_neighbourhood,
+  host_neighbourhood_cleansed, CASE WHEN year_month < 199507 THEN '' ELSE bedrooms END AS bedrooms, amenities FROM r""",
+        ),
+        "month_load_ledger": _with(
+            _RAW,
+            " SELECT id, CAST(year_month AS VARCHAR) AS year_month, host_id, host_neighbourhood, "
+            "host_neighbourhood_cleansed FROM r WHERE year_month NOT IN (199504, 199505) "
+            "AND (year_month <> 199503 OR CAST(id AS BIGINT) % 2 = 0)",
+        ),
+        "star_rejects": _with(
+            _RAW,
+            """ SELECT year_month, CASE WHEN max(year) < 1998 THEN count(*) END AS kept, count(*) AS rows,
+  count(CASE WHEN year < 1997 OR room_type <> 'R' THEN 1 END) AS with_guests,
+  count(CASE WHEN year < 1997 OR number_of_reviews <> 1 THEN 1 END) AS with_price, TRUE AS refused
+FROM r GROUP BY year_month""",
+        ),
+        "star_host_parts": _with(
+            _RAW,
+            f"""
+, h AS (SELECT DISTINCT {_HOST} FROM r UNION
+  SELECT DISTINCT {_HOST.replace("host_name", "'Renamed' AS host_name")} FROM r
+  WHERE year_month = 199806 AND CAST(host_id AS INTEGER) =
+    (SELECT min(CAST(host_id AS INTEGER)) FROM r WHERE year_month = 199806))
+SELECT *, TRUE AS own_parts_only FROM h""",
+        ),
         "month_conform": _with(
             _DELIVERED,
             """ SELECT id, host_name,
@@ -425,14 +452,29 @@ FROM lineitem""",
 SELECT CAST(r.id AS BIGINT) AS id, r.year_month, h.host_id, h.host_neighbourhood_cleansed, r.price
 FROM r JOIN h ON {host_match}""",
         ),
-        "star_active_rate": _with(
+        "span_price_stats": _with(
+            _LISTINGS,
+            f""", g AS (SELECT neighbourhood_cleansed, min(price) AS lo, max(price) AS hi,
+  quantile_disc(price, 0.5) AS mid, CAST(sum(price) * 100 AS BIGINT) AS total, count(price) AS known
+FROM f WHERE year_month BETWEEN 199601 AND 199812 GROUP BY 1)
+SELECT neighbourhood_cleansed, CAST(lo AS DOUBLE) AS min_price, CAST(hi AS DOUBLE) AS max_price,
+  CAST(mid AS DOUBLE) AS median_price, {_half_up("total", "known * 100")} AS average_price FROM g""",
+        ),
+        "span_distinct_hosts": _with(
+            _LISTINGS,
+            f""", g AS (SELECT neighbourhood_cleansed, count(DISTINCT host_id) AS distinct_host_count,
+  count(DISTINCT CASE WHEN host_is_superhost = 't' THEN host_id END) AS supers
+FROM f WHERE year_month BETWEEN 199601 AND 199812 GROUP BY 1)
+SELECT neighbourhood_cleansed, distinct_host_count, {_half_up("supers", "distinct_host_count")} AS superhost_rate FROM g""",
+        ),
+        **dict.fromkeys(["star_active_rate", "star_bucketed_rate"], _with(
             _RAW,
             f"""
 , c AS (SELECT neighbourhood_cleansed, year_month,
   count(CASE WHEN has_availability = 't' THEN 1 END) AS active_listings,
   count(*) AS total_listings FROM r GROUP BY 1, 2)
 SELECT *, {rate} AS active_listings_rate FROM c""",
-        ),
+        )),
         "census_fact": _with(
             _LGA, _CENSUS, f" SELECT LGA_CODE_2016, {counts}, {medians}, lga_name FROM census"
         ),

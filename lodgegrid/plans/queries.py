@@ -30,8 +30,9 @@ from ..sources.listings_csv import (
 )
 from ..sources.split_csv import read_split_records
 from ..sources.tables import preview, row_counts
+from ..streaming.ledger import sync_folder
 from ..streaming.monthly import load_new_months
-from . import datamart, tpch_mapping as tm, warehouse as w
+from . import datamart, month_parts, tpch_mapping as tm, warehouse as w
 from .tpch_mapping import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -236,14 +237,19 @@ def csv_split_scan(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("id", "host_name", "amenities", "price")
 
 
-def _month_files(spark: SparkSession, folder: str, later: bool | None = None) -> str:
-    """The delivered listings as files named ``n_MM_YYYY.csv``; of one half of the months if asked."""
-    delivered = tm.delivered_listings(spark, folder)
-    absent = [F.lit(None).cast("string").alias(c) for c in DELIVERED_COLUMNS if c not in delivered.columns]
+def _month_files(
+    spark: SparkSession, folder: str, later: bool | None = None, rows: str = "true", columns: list[str] = DELIVERED_COLUMNS
+) -> str:
+    """The delivered listings as files named ``n_MM_YYYY.csv``; of one half of the months, or of some rows, if asked.
+
+    ``columns`` is the files' layout; what no table supplies is missing.
+    """
+    delivered = tm.delivered_listings(spark, folder).filter(rows)
+    layout = [F.col(c) if c in delivered.columns else F.lit(None).cast("string").alias(c) for c in columns]
     name = F.format_string("%02d_%d", F.col("snapshot") % 100, F.floor(F.col("snapshot") / 100))
     month = delivered if later is None else delivered.filter((F.col("snapshot") >= 199507) == later)
     parts, incoming = scratch_path(spark, "csv"), scratch_path(spark, "incoming")
-    month.select("*", *absent, name.alias("month_name")).drop("snapshot").repartition("month_name").write.partitionBy(
+    month.select(*layout, name.alias("month_name")).repartition("month_name").write.partitionBy(
         "month_name").options(header=True, quote='"', escape='"').csv(parts)
     store.collect_files(spark, parts, "month_name", incoming)
     return incoming
@@ -282,6 +288,44 @@ def month_load_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return read_raw(spark, raw).select(*_LOADED)
 
 
+_EARLY_BLANKS = ["bathrooms_text", "bedrooms", "number_of_reviews_l30d"]
+# the earlier months' layout: other order, columns that are not kept, and some of ours absent
+_EARLY_LAYOUT = ["zipcode", "square_feet", *[c for c in DELIVERED_COLUMNS[::-1] if c not in _EARLY_BLANKS], "medium_url"]
+
+
+def snapshot_load_layouts(spark: SparkSession, folder: str) -> DataFrame:
+    """Month files of two layouts in one load; the earlier months' absent columns load as blanks."""
+    incoming = _month_files(spark, folder, later=False, columns=_EARLY_LAYOUT)
+    store.move_files(spark, _month_files(spark, folder, later=True), incoming)
+    months = tm.delivered_listings(spark, folder).filter("snapshot < 199507").select("snapshot").distinct()
+    blanks = {r.snapshot: _EARLY_BLANKS for r in months.collect()}  # a few dozen months
+    raw = scratch_path(spark, "raw")
+    load_snapshots(spark, incoming, _lookup_file(spark, folder), raw, blanks=blanks)
+    return read_raw(spark, raw).select(*_LOADED, "bedrooms", "amenities")
+
+
+def month_load_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    """A folder kept in step: loaded, then one file delivered again, one emptied and one gone, then nothing new."""
+    raw, ledger, lookup = scratch_path(spark, "raw"), scratch_path(spark, "ledger"), _lookup_file(spark, folder)
+    incoming = _month_files(spark, folder)
+    sync_folder(spark, incoming, lookup, raw, ledger)
+    again = _month_files(spark, folder, rows="snapshot = 199503 AND CAST(id AS BIGINT) % 2 = 0")
+    store.move_files(spark, again, incoming)
+    header = scratch_path(spark, "csv")
+    tm.delivered_listings(spark, folder).limit(0).select(
+        *[F.lit(None).cast("string").alias(c) for c in DELIVERED_COLUMNS]).coalesce(1).write.options(header=True).csv(
+        f"{header}/month_name=04_1995")
+    emptied = scratch_path(spark, "incoming")
+    store.collect_files(spark, header, "month_name", emptied)
+    names = [n for n in store.child_names(spark, incoming) if n.endswith("_04_1995.csv") or n.endswith("_05_1995.csv")]
+    for name in names:
+        store.delete_folder(spark, f"{incoming}/{name}")
+    store.move_files(spark, emptied, incoming)
+    for _ in range(2):
+        sync_folder(spark, incoming, lookup, raw, ledger)
+    return read_raw(spark, raw).select(*_LOADED)
+
+
 # --- warehouse ------------------------------------------------------------------
 
 
@@ -359,6 +403,48 @@ def star_add_months(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def star_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Months with a fraction and an unparsable price are refused, then taken with those as missing.
+
+    ``kept`` rows were there after the refusal, ``rows`` after the values were allowed.
+    """
+    by_month = _raw(spark, folder).select(*[f.name for f in LISTING_SCHEMA]).hint("rebalance", F.col("year_month"))
+    raw = cut_lineage(by_month, "raw")
+    path = scratch_path(spark, "star")
+    w.build_star(raw.filter("year < '1998'"), path)
+    spoiled = raw.filter("year >= '1997'").withColumns(
+        {
+            "accommodates": F.when(F.col("room_type") == "R", "2.5").otherwise(F.col("accommodates")),
+            "price": F.when(F.col("number_of_reviews") == "1.0", "on request").otherwise(F.col("price")),
+        }
+    )
+    try:
+        w.add_months(spoiled, path)
+        refused = False
+    except ValueError:
+        refused = True
+    fact = w.read_star(spark, path)["listing_fact"]
+    kept = cut_lineage(fact.groupBy("year_month").agg(F.count(F.lit(1)).alias("kept")), "kept")
+    w.add_months(spoiled, path, allow_rejects=True)
+    after = w.read_star(spark, path)["listing_fact"].groupBy("year_month").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("accommodates").alias("with_guests"), F.count("price").alias("with_price"))
+    return after.join(kept, "year_month", "left").withColumn("refused", F.lit(refused))
+
+
+def star_host_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The host dimension after a month with one host renamed, and whether that rewrote no part but the host's."""
+    raw = cut_lineage(_raw(spark, folder).select(*[f.name for f in LISTING_SCHEMA]), "raw")
+    path = scratch_path(spark, "star")
+    w.build_star(raw, path)
+    month = raw.filter("year_month = '199806'")
+    first = month.agg(F.min(F.col("host_id").cast("int"))).first()[0]
+    renamed = F.when(F.col("host_id") == str(first), "Renamed").otherwise(F.col("host_name"))
+    rewritten = w.add_months(month.withColumn("host_name", renamed), path)["dim_host"]
+    hosts = w.read_star(spark, path)["dim_host"]
+    # a suburb in two areas makes a host two rows
+    return hosts.select(*HOST_KEY, F.lit(1 <= len(rewritten) <= 2).alias("own_parts_only"))
+
+
 def star_active_rate(spark: SparkSession, folder: str) -> DataFrame:
     """The active rate per area from the star schema."""
     _, star = _star(spark, folder)
@@ -366,6 +452,40 @@ def star_active_rate(spark: SparkSession, folder: str) -> DataFrame:
     return _comparable(m.active_rate(listings, m.AREA))
 
 
+def star_bucketed_rate(spark: SparkSession, folder: str) -> DataFrame:
+    """The active rate per area from facts and hosts bucketed by host key, joined where they are."""
+    raw = cut_lineage(_raw(spark, folder).select(*[f.name for f in LISTING_SCHEMA]), "raw")
+    path = scratch_path(spark, "bucketed")
+    names = w.store_bucketed_star(raw, path, path.rsplit("/", 1)[-1].replace("-", "_"), 16)
+    properties = w.dim_property(raw)
+    listings = w.listings_from_star(spark.table(names["listing_fact"]), spark.table(names["dim_host"]), properties)
+    return _comparable(m.active_rate(listings, m.AREA))
+
+
+def _month_parts(spark: SparkSession, folder: str) -> str:
+    """Month parts of all listings; the last year is stored twice, as a reload would."""
+    facts = tm.listings(
+        spark, folder, "neighbourhood_cleansed", "year_month", "price", "host_id", "host_is_superhost")
+    path = scratch_path(spark, "month-parts")
+    keys = ["neighbourhood_cleansed"]
+    month_parts.store_month_parts(facts.filter("year_month < 199801"), path, keys)
+    month_parts.store_month_parts(facts.filter("year_month BETWEEN 199701 AND 199712"), path, keys)
+    month_parts.store_month_parts(facts.filter("year_month >= 199801"), path, keys)
+    return path
+
+
+def span_price_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Price statistics per area over three years, merged from the months' histograms."""
+    return _comparable(month_parts.prices_between(
+        spark, _month_parts(spark, folder), ["neighbourhood_cleansed"], 199601, 199812))
+
+
+def span_distinct_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    """Different hosts and share of superhosts per area over three years, merged from the months' bitmaps."""
+    return _comparable(month_parts.hosts_between(
+        spark, _month_parts(spark, folder), ["neighbourhood_cleansed"], 199601, 199812))
+
+
 def census_fact(spark: SparkSession, folder: str) -> DataFrame:
     return _comparable(_census(spark, folder).drop("abs_id"))
 
@@ -552,10 +672,11 @@ def ordered_cover(spark: SparkSession, folder: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     jobs = [
-        lookup_csv, snapshot_load, month_load_incremental,
+        lookup_csv, snapshot_load, snapshot_load_layouts, month_load_incremental, month_load_ledger,
         lookup_left_join, month_conform, year_month_from_names, money_parse, csv_scan, csv_split_scan,
         dim_host, dim_property, dim_time, dim_lga, stored_dim_lga, listing_fact, listing_fact_by_join,
-        star_add_months, star_active_rate, census_fact,
+        star_add_months, star_rejects, star_host_parts, star_active_rate, star_bucketed_rate,
+        span_price_stats, span_distinct_hosts, census_fact,
         audit_unique, audit_fk, audit_not_null, audit_casts, audit_summary,
         upsert_dim, stored_view, month_refresh, month_refresh_rate, raw_append, view_in_sql,
         table_counts, table_preview, ordered_stays, ordered_cover,

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.joins import null_safe_join
 from ..functions.keys import surrogate_key
 from ..functions.parsing import money, number, rating, whole_number
-from ..operators.audit import cast_rejects
-from ..operators.upsert import upsert
 from ..schemas import (
     CENSUS_CODE,
     CENSUS_FACT_COUNTS,
@@ -20,8 +23,10 @@ from ..schemas import (
     PROPERTY_KEY,
     TIME_KEY,
 )
-from ..sinks.store import check_schema, materialize, read_version, replace_partitions, write_version
-from ..sources.listings_csv import read_raw
+from ..sinks.bucketed import store_bucketed
+from ..sinks.keyed import merge_keyed, read_keyed, write_keyed
+from ..sinks.store import check_schema, materialize, replace_partitions, replace_table
+from ..sources.listings_csv import read_raw_sources
 
 # The load matches a raw row to its host without the last host column.
 HOST_MATCH_KEY = HOST_KEY[:-1]
@@ -45,43 +50,62 @@ def parse(column: str) -> str:
     return _PARSERS[column](column) if column in _PARSERS else f"`{column}`"
 
 
-def typed_listings(raw: DataFrame) -> DataFrame:
+def parse_or_fail(column: str) -> str:
+    """SQL text of a raw column's typed value; a present value that does not parse ends the job."""
+    if column not in _PARSERS:
+        return parse(column)
+    refusal = f"raise_error(concat('{_REFUSED} {column}: ', `{column}`))"
+    return f"coalesce({parse(column)}, CASE WHEN `{column}` <> 'NaN' THEN {refusal} END)"
+
+
+_REFUSED = "a value that does not parse in"
+
+
+@contextmanager
+def _refusals() -> Iterator[None]:
+    """What ``parse_or_fail`` refuses, as a ValueError."""
+    try:
+        yield
+    except PySparkException as failure:
+        found = re.search(f"{_REFUSED} [^\n]*", str(failure))
+        if not found:
+            raise
+        raise ValueError(found[0]) from failure
+
+
+def typed_listings(raw: DataFrame, parser: Callable[[str], str] = parse) -> DataFrame:
     """The listing frame the metrics read: 18 typed columns of the raw table.
 
     Joining the fact back to its dimensions gives the same rows, since the dimensions
     are distinct parts of the raw rows; this form needs no join, and the scan reads
     only the columns a metric uses.
     """
-    return raw.selectExpr(*[f"{parse(f.name)} AS {f.name}" for f in LISTING_SCHEMA])
-
-
-def refuse_rejects(raw: DataFrame) -> None:
-    """Fails if a present value does not parse, instead of storing it as missing."""
-    found = cast_rejects(raw, parse, [c for c in PARSED_COLUMNS if c in raw.columns])
-    bad = found.agg(F.count(F.lit(1)), F.first("rejected_columns")).first()
-    if bad[0]:
-        raise ValueError(f"{bad[0]} rows have values that do not parse, for example in {bad[1]}")
+    return raw.selectExpr(*[f"{parser(f.name)} AS {f.name}" for f in LISTING_SCHEMA])
 
 
-def store_listings(raw: DataFrame, path: str, allow_rejects: bool = False) -> None:
+def store_listings(
+    raw: DataFrame, path: str, allow_rejects: bool = False, months: Iterable[int] = ()
+) -> None:
     """Parse the raw rows once and store the typed frame by month.
 
     Replaces the months ``raw`` holds, which must be there in full, with all their
-    sources; :func:`store_months` sees to that. Values that do not parse are refused
-    unless allowed, and then stored as missing.
+    sources; :func:`store_months` sees to that. Of ``months``, those without rows are
+    removed. Values that do not parse are refused unless allowed, and then stored as
+    missing; a refused load leaves the table as it was.
     """
-    if not allow_rejects:
-        refuse_rejects(raw)
-    replace_partitions(check_schema(typed_listings(raw), LISTING_SCHEMA), path, ["year_month"])
+    typed = typed_listings(raw, parse if allow_rejects else parse_or_fail)
+    with _refusals():
+        replace_partitions(
+            check_schema(typed, LISTING_SCHEMA), path, ["year_month"], [(month,) for month in months])
 
 
 def store_months(spark: SparkSession, raw_path: str, path: str, months: list[int], allow_rejects: bool = False) -> None:
     """:func:`store_listings` for whole months of the raw table."""
-    store_listings(_raw_months(spark, raw_path, months), path, allow_rejects)
+    store_listings(_raw_months(spark, raw_path, months), path, allow_rejects, months)
 
 
 def _raw_months(spark: SparkSession, raw_path: str, months: list[int]) -> DataFrame:
-    return read_raw(spark, raw_path).filter(F.col("year_month").isin([str(month) for month in months]))
+    return read_raw_sources(spark, raw_path).filter(F.col("year_month").isin([str(month) for month in months]))
 
 
 def read_listings(spark: SparkSession, path: str) -> DataFrame:
@@ -109,15 +133,16 @@ def dim_time(raw: DataFrame) -> DataFrame:
     )
 
 
-def listing_fact(raw: DataFrame) -> DataFrame:
+def listing_fact(raw: DataFrame, parser: Callable[[str], str] = parse) -> DataFrame:
     """One fact row per raw row, with keys computed from the row itself: no shuffle.
 
-    ``f_id`` is a key of all columns of the raw row; exact repeats of a row share it and
-    appear in the uniqueness audit.
+    ``f_id`` is a key of all columns of the raw row, the source file included where ``raw``
+    has it (:func:`lodgegrid.sources.listings_csv.read_raw_sources`); exact repeats of a row
+    share it and appear in the uniqueness audit.
     """
     typed = raw.select(
         surrogate_key(*raw.columns).alias("f_id"),
-        *[F.expr(f"{parse(f.name)} AS {f.name}") for f in LISTING_SCHEMA],
+        *[F.expr(f"{parser(f.name)} AS {f.name}") for f in LISTING_SCHEMA],
     )
     return typed.select(
         "f_id",
@@ -173,51 +198,71 @@ def listings_from_star(
     return joined
 
 
+# what builds a dimension, its key, and the parts it is stored in
 DIMENSIONS = {
-    "dim_host": (dim_host, "h_id"),
-    "dim_property": (dim_property, "p_id"),
-    "dim_time": (dim_time, "t_id"),
+    "dim_host": (dim_host, "h_id", 64),
+    "dim_property": (dim_property, "p_id", 4),
+    "dim_time": (dim_time, "t_id", 1),
 }
 FACT = "listing_fact"
 
 
-def build_star(raw: DataFrame, folder: str, by_month: bool = True) -> None:
+def build_star(
+    raw: DataFrame, folder: str, by_month: bool = True, allow_rejects: bool = False, parts: dict[str, int] | None = None
+) -> None:
     """Write the dimensions and the fact from all raw rows.
 
     ``by_month`` puts the fact in one folder per month. Tasks write a file per month
-    they hold rows of, so it suits a raw table that is stored by month itself.
+    they hold rows of, so it suits a raw table that is stored by month itself. ``parts``
+    overrides how many parts a dimension is stored in. Values that do not parse are refused
+    unless allowed, and then stored as missing; a refused build leaves the fact as it was.
     """
-    for name, (build, _) in DIMENSIONS.items():
-        write_version(build(raw), f"{folder}/{name}")
     by = ["year_month"] if by_month else []
-    listing_fact(raw).write.mode("overwrite").partitionBy(*by).parquet(f"{folder}/{FACT}")
+    for name, (build, key, usual) in DIMENSIONS.items():
+        write_keyed(build(raw), f"{folder}/{name}", [key], (parts or {}).get(name, usual))
+    with _refusals():
+        replace_table(listing_fact(raw, parse if allow_rejects else parse_or_fail), f"{folder}/{FACT}", by)
 
 
-def add_months(raw_months: DataFrame, folder: str) -> None:
+def add_months(
+    raw_months: DataFrame, folder: str, allow_rejects: bool = False, months: Iterable[int] = ()
+) -> dict[str, list[int]]:
     """Bring new or reloaded months, each in full, into a star built ``by_month``.
 
-    Dimension rows are merged by key into a new version of each dimension, and the
-    months' fact rows replace what the fact held for them. Running it again changes
-    nothing.
+    Dimension rows are merged by key, which rewrites the parts of a dimension that new
+    keys fall in, and the months' fact rows replace what the fact held for them. Of
+    ``months``, those without rows are removed from the fact. Running it again changes
+    nothing. Values that do not parse are refused before the fact changes, unless allowed.
+    Gives the parts rewritten by dimension.
     """
-    spark = raw_months.sparkSession
-    for name, (build, key) in DIMENSIONS.items():
-        table = f"{folder}/{name}"
-        write_version(upsert(read_version(spark, table), build(raw_months), [key]), table)
-    replace_partitions(listing_fact(raw_months), f"{folder}/{FACT}", ["year_month"])
+    rewritten = {
+        name: merge_keyed(build(raw_months), f"{folder}/{name}") for name, (build, _, _) in DIMENSIONS.items()}
+    fact = listing_fact(raw_months, parse if allow_rejects else parse_or_fail)
+    with _refusals():
+        replace_partitions(fact, f"{folder}/{FACT}", ["year_month"], [(month,) for month in months])
+    return rewritten
 
 
 def add_raw_months(spark: SparkSession, raw_path: str, folder: str, months: list[int]) -> None:
     """:func:`add_months` for whole months of the raw table."""
-    add_months(_raw_months(spark, raw_path, months), folder)
+    add_months(_raw_months(spark, raw_path, months), folder, months=months)
 
 
 def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The stored tables; their measured sizes let Spark broadcast what is small."""
-    star = {name: read_version(spark, f"{folder}/{name}") for name in DIMENSIONS}
+    star = {name: read_keyed(spark, f"{folder}/{name}") for name in DIMENSIONS}
     return star | {FACT: spark.read.parquet(f"{folder}/{FACT}")}
 
 
+def store_bucketed_star(raw: DataFrame, folder: str, prefix: str, buckets: int) -> dict[str, str]:
+    """The fact and its host dimension as catalog tables bucketed by host key, so that their join
+    moves neither; names of the two tables. All rows of a host are one task's work in it."""
+    tables = {"dim_host": dim_host(raw), FACT: listing_fact(raw)}
+    for name, table in tables.items():
+        store_bucketed(table, f"{prefix}_{name}", f"{folder}/{name}", "h_id", buckets)
+    return {name: f"{prefix}_{name}" for name in tables}
+
+
 def dim_lga(lga_raw: DataFrame) -> DataFrame:
     return lga_raw.select(*[F.col(c).alias(c.lower()) for c in lga_raw.columns])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -25,17 +27,58 @@ def create_table(spark: SparkSession, schema: StructType, path: str) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+def replace_partitions(
+    df: DataFrame, path: str, by: list[str], covers: Iterable[tuple] = ()
+) -> list[tuple]:
     """Write ``df``, replacing only the partitions it has rows for.
 
-    Running the same load again leaves the table as it was.
+    Running the same load again leaves the table as it was. ``covers`` names partitions, by
+    their values of ``by``, that ``df`` stands for as a whole: of those, the ones it has no
+    rows for are removed. Gives the removed ones.
     """
+    spark = df.sparkSession
+    folders = {values: f"{path}/{partition_folder(spark, by, values)}" for values in covers}
+    before = {values: child_names(spark, folder) for values, folder in folders.items()}
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
     )
+    # a partition that was written has other files now
+    left = [v for v, folder in folders.items() if before[v] and child_names(spark, folder) == before[v]]
+    for values in left:
+        delete_folder(spark, folders[values])
+    return left
+
+
+def partition_folder(spark: SparkSession, by: list[str], values: tuple) -> str:
+    """The folder of a partition below its table, as Spark names it."""
+    name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join(name(column, None if value is None else str(value)) for column, value in zip(by, values))
+
+
+def replace_table(df: DataFrame, path: str, by: Iterable[str] = ()) -> None:
+    """Write ``df`` beside the table and put it in its place once it is complete."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}_next")
+    delete_folder(spark, path)
+    files, source = _folder(spark, f"{path}_next")
+    if not files.rename(source, _folder(spark, path)[1]):
+        raise OSError(f"cannot move {path}_next")
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names in a folder; none where there is no such folder."""
+    files, root = _folder(spark, path)
+    if not files.exists(root):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(root))
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, folder = _folder(spark, path)
+    files.delete(folder, True)
 
 
 def append_rows(df: DataFrame, path: str, by: list[str]) -> None:
@@ -60,10 +103,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def move_files(spark: SparkSession, source: str, target: str) -> None:
-    """Moves the files of one folder into another; names stay."""
+    """Moves the files of one folder into another, over files of their names; names stay."""
     files, root = _folder(spark, source)
     files.mkdirs(_folder(spark, target)[1])
     for status in files.listStatus(root):
+        delete_folder(spark, f"{target}/{status.getPath().getName()}")
         if not files.rename(status.getPath(), _folder(spark, f"{target}/{status.getPath().getName()}")[1]):
             raise OSError(f"cannot move {status.getPath()}")
 
@@ -104,8 +148,7 @@ def write_version(df: DataFrame, path: str, keep: int | None = None) -> int:
     df.write.mode("overwrite").parquet(f"{path}/version={version}")
     if keep:
         for old in [*done, version][:-keep]:
-            files, folder = _folder(spark, f"{path}/version={old}")
-            files.delete(folder, True)
+            delete_folder(spark, f"{path}/version={old}")
     return version
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.joins import null_safe_join
 from ..functions.parsing import missing_to_null
 from ..schemas import BLANK_COLUMNS_BY_MONTH, LISTING_COLUMNS, MONTH_NAMES, text_schema
-from ..sinks.store import check_schema, replace_partitions
+from ..sinks.store import check_schema, delete_folder, partition_folder, replace_partitions
 from .split_csv import read_split_records
 
 CSV_OPTIONS = {"header": True, "sep": ",", "quote": '"', "escape": '"', "multiLine": True}
@@ -24,8 +24,8 @@ RAW_TABLE_SCHEMA = text_schema(LISTING_COLUMNS + [SOURCE])
 
 _FILE_NAME = r"(\d{2})_(\d{4})\.csv"  # a prefix may name the source
 
-# A CSV with quoted line breaks is read by one task; larger files are cut into splits.
-SPLIT_ABOVE_BYTES = 512 * 1024 * 1024
+# Files above this size are read in splits: all of them, so that the size changes no result.
+SPLIT_ABOVE_BYTES = 0
 
 
 def month_of_file(path: str) -> int:
@@ -111,7 +111,7 @@ def _files(spark: SparkSession, paths: list[str]) -> dict[str, int]:
     sizes = {r.path: r.length for r in listed.select("path", "length").collect()}
     if not sizes:
         raise FileNotFoundError(f"no listing files under {paths}")
-    names = [path.rsplit("/", 1)[-1] for path in sizes]
+    names = [file_name(path) for path in sizes]
     twice = sorted({n for n in names if names.count(n) > 1}) if len(set(names)) < len(names) else []
     if twice:
         raise ValueError(f"a file is known by its name, which must be unique: {twice}")
@@ -143,7 +143,11 @@ def read_snapshots(
 ) -> DataFrame:
     """All given month files as one frame of the fixed columns plus the file name.
 
-    ``missing_text="NaN"`` stores missing values as that text instead of NULL.
+    ``missing_text="NaN"`` stores missing values as that text instead of NULL. ``blanks``
+    names columns, by month, that a month may lack and that load as blanks. Files of up to
+    ``split_above`` bytes go through Spark's own reader, a task each, which takes a quote
+    that is never closed as part of the text; the others are read in splits and such a
+    quote fails.
     """
     sizes = _files(spark, [paths] if isinstance(paths, str) else paths)
     scans = []
@@ -177,12 +181,38 @@ def load_snapshots(
     lookup: DataFrame,
     raw_path: str,
     missing_text: str | None = None,
+    blanks: dict[int, list[str]] = BLANK_COLUMNS_BY_MONTH,
 ) -> None:
-    """Load month files into the raw table; loading a file again replaces its rows."""
-    snapshots = read_snapshots(spark, paths, lookup, missing_text)
-    replace_partitions(check_schema(snapshots, RAW_TABLE_SCHEMA), raw_path, RAW_PARTITIONS)
+    """Load month files into the raw table; loading a file again replaces its rows.
+
+    A file without rows leaves none of the rows that were loaded from it before.
+    """
+    files = _files(spark, [paths] if isinstance(paths, str) else paths)
+    snapshots = read_snapshots(spark, paths, lookup, missing_text, blanks)
+    replace_partitions(
+        check_schema(snapshots, RAW_TABLE_SCHEMA), raw_path, RAW_PARTITIONS, [partition_of(path) for path in files])
+
+
+def partition_of(path: str) -> tuple[str, str]:
+    """The partition of the raw table that holds a file's rows."""
+    return str(month_of_file(path)), file_name(path)
+
+
+def file_name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]
+
+
+def retract_files(spark: SparkSession, raw_path: str, names: Iterable[str]) -> None:
+    """Removes the rows loaded from the files of these names."""
+    for name in names:
+        delete_folder(spark, f"{raw_path}/{partition_folder(spark, RAW_PARTITIONS, partition_of(name))}")
+
+
+def read_raw_sources(spark: SparkSession, raw_path: str) -> DataFrame:
+    """The raw table with the file each row came from."""
+    return spark.read.schema(RAW_TABLE_SCHEMA).parquet(raw_path)
 
 
 def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
     """The raw table; a filter on ``year_month`` reads only those folders."""
-    return spark.read.schema(RAW_TABLE_SCHEMA).parquet(raw_path).select(*LISTING_COLUMNS)
+    return read_raw_sources(spark, raw_path).select(*LISTING_COLUMNS)
