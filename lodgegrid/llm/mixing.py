@@ -31,6 +31,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -48,8 +49,8 @@ BLOCK = 512
 SHARD_SLOTS = 4096
 BUCKET_DOCS = 8192
 SEED = 7
-#: Draws over more slots than this are split in proportion instead; the generator ends at 10**9.
-DRAWN_SLOTS = 500_000_000
+#: Copies of a repeated row whose texts are cut in one task.
+COPY_BLOCK = 32
 
 
 @dataclass(frozen=True)
@@ -111,32 +112,52 @@ def source_table(sized: DataFrame, weights=WEIGHTS, ratio: float = RATIO, cap: f
     return [quota(i, n, sums[n], g, block, seed) for i, (n, g) in enumerate(zip(names, goals))]
 
 
+def hypergeometric(good: int, bad: int, draws: int, uniform: float) -> int:
+    """How many of ``draws`` from ``good + bad`` are good, by inversion of ``uniform`` in [0, 1).
+
+    The probabilities come from their ratios, outward from the likeliest value, as far as twelve standard
+    deviations and 50; what lies beyond is below what a double resolves. So one sampler serves all sizes.
+    """
+    total = good + bad
+    least, most = max(0, draws - bad), min(good, draws)
+    if least == most:
+        return least
+    mode = min(max((draws + 1) * (good + 1) // (total + 2), least), most)
+    spread = math.sqrt(draws / total * good / total * bad * ((total - draws) / max(total - 1, 1)))
+    reach = int(12 * spread) + 50
+    low, high = max(least, mode - reach), min(most, mode + reach)
+    k = np.arange(low, high, dtype=np.float64)
+    step = np.log((good - k) / (k + 1)) + np.log((draws - k) / (bad - draws + k + 1))
+    logs = np.concatenate([[0.0], np.cumsum(step)])
+    chance = np.cumsum(np.exp(logs - logs[mode - low]))
+    return low + min(int(np.searchsorted(chance, uniform * chance[-1], "right")), high - low)
+
+
+@lru_cache(maxsize=4096)
+def _left_counts(own: tuple[int, ...], left_total: int, low: int, high: int, seed: int) -> tuple[int, ...]:
+    """The slots of each source that fall to the left when the shards from ``low`` to ``high`` are halved."""
+    uniform = np.random.default_rng([seed, low, high]).random(len(own)).tolist()
+    left, rest_draw, rest_all = [], left_total, sum(own)
+    for k, u in zip(own, uniform):
+        left.append(hypergeometric(k, rest_all - k, rest_draw, u))
+        rest_draw, rest_all = rest_draw - left[-1], rest_all - k
+    return tuple(left)
+
+
 def shard_counts(shard: int, shards: int, slots: np.ndarray, per_shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Slots of each source in ``shard`` and in all shards before it.
 
     Halves the range of shards down to one, drawing how many of each source's slots fall to the left.
     """
-    low, high, own, before = 0, shards, slots.astype(np.int64), np.zeros(len(slots), dtype=np.int64)
+    low, high, own, before = 0, shards, tuple(map(int, slots)), np.zeros(len(slots), dtype=np.int64)
     while high - low > 1:
         middle = (low + high) // 2
-        left_total, total = (middle - low) * per_shard, int(own.sum())
-        left = np.zeros(len(own), dtype=np.int64)
-        if total > DRAWN_SLOTS:
-            exact = [int(k) * left_total for k in own]
-            left = np.array([e // total for e in exact], dtype=np.int64)
-            for i in sorted(range(len(own)), key=lambda i: -(exact[i] % total))[:left_total - int(left.sum())]:
-                left[i] += 1
-        else:
-            rng = np.random.default_rng([seed, low, high])
-            rest_draw, rest_all = left_total, total
-            for i, k in enumerate(own.tolist()):
-                left[i] = rng.hypergeometric(k, rest_all - k, rest_draw) if rest_draw else 0
-                rest_draw, rest_all = rest_draw - int(left[i]), rest_all - k
+        left = _left_counts(own, (middle - low) * per_shard, low, high, seed)
         if shard < middle:
             high, own = middle, left
         else:
-            low, own, before = middle, own - left, before + left
-    return own, before
+            low, own, before = middle, tuple(a - b for a, b in zip(own, left)), before + np.array(left, dtype=np.int64)
+    return np.array(own, dtype=np.int64), before
 
 
 def slot_table(spark: SparkSession, sources: list[Source], block: int = BLOCK,
@@ -253,25 +274,26 @@ def mixed_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
     ``n_chars``, where there is such a column, is set to the new text's length. Rows of equal
     ``doc_id``, text and source are taken from one of them, whose other columns they then share.
     """
-    taken = spans.filter("n_words > 0").groupBy("doc_id", "text_hash", "source").agg(
-        F.collect_list(F.struct("copy", "turn", "word_from", "n_words")).alias("spans"))
+    same = ["doc_id", "text_hash", "source"]
+    taken = spans.filter("n_words > 0").groupBy(*same, "copy").agg(
+        F.collect_list(F.struct("turn", "word_from", "n_words")).alias("spans")).withColumn(
+        "copies", F.floor(F.col("copy") / COPY_BLOCK))
 
     @F.pandas_udf("array<string>")
     def parts(text: pd.Series, runs: pd.Series) -> pd.Series:
-        out = []
-        for t, own in zip(text, runs):
-            by_copy: dict[int, list] = {}
-            for s in own:
-                by_copy.setdefault(s["copy"], []).append((s["turn"], s["word_from"], s["n_words"]))
-            out.append([p for c in sorted(by_copy) for p in _cut(t, merged_runs(by_copy[c]))])
-        return pd.Series(out)
+        return pd.Series([
+            _cut(t, merged_runs([(s["turn"], s["word_from"], s["n_words"]) for s in own])) for t, own in zip(text, runs)])
 
     keyed = boxed(small_batches(docs), F.col("doc_id").alias("id"), F.col("text").alias("own_text"),
                   F.xxhash64("text").alias("own_hash"), F.col("source").cast("string").alias("own_source"))
-    rows = keyed.dropDuplicates(["id", "own_hash", "own_source"]).join(
+    # one row stands for all copies, once per block of them
+    single = keyed.groupBy("id", "own_hash", "own_source").agg(
+        F.first("doc").alias("doc"), F.first("own_text").alias("own_text"), F.count(F.lit(1)).alias("n")).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPY_BLOCK))))
+    rows = single.join(
         taken,
         F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
-        & F.col("own_source").eqNullSafe(F.col("source")))
+        & F.col("own_source").eqNullSafe(F.col("source")) & (F.col("block") == F.col("copies")))
     cut = rows.select("doc", F.explode(parts("own_text", "spans")).alias("part"))
     new = {"text": F.col("part")}
     if "n_chars" in docs.columns:
