@@ -3,21 +3,27 @@
 A document is the set of its five-word shingles. Documents with equal sets form one class, and only one
 row per class goes on. Its MinHash signature fills ``TREES`` tries: in each it is a label of
 ``DEPTH`` one-byte hashes, and sorted labels are the trie. Two classes meet where their labels share a
-prefix. The prefix is shortened from the full label until a pair at the threshold meets in some trie
-with probability ``TARGET_RECALL``; shorter prefixes would only add pairs below the threshold. Spark
-sorts the labels by (tree, prefix) and joins the runs of equal ones. Every pair met is then verified on
-the whole shingle sets, so no pair below the threshold stays. Groups are the connected components of
-the links.
-
-A node of more than ``WIDE_NODE`` classes forms no pairs. The classes that such nodes connect are a wide
-group, all of whose pairs are verified a pair of blocks at a time; a block task writes a count and a
-connection per class. So what is written grows with the classes, not with the square of a group.
+prefix. Prefixes are as long as the crowd in a trie's node asks for, and matches are shortened as far as
+the recall asks for. From the full label the prefix is shortened until a pair at the threshold meets in
+some trie with probability ``TARGET_RECALL``; shorter prefixes would only add pairs below the threshold.
+Where more than ``WIDE_NODE`` classes meet at such a prefix, they part again by longer ones: the classes
+of crowded nodes, and only they, get the labels of a deeper forest, ``DEEP_DEPTH`` hashes long in as many
+tries as keep the recall. Texts that share much but less than the threshold part there, copies stay
+together. Spark sorts labels by (tree, prefix) and joins the runs of equal ones. Every pair met is then
+verified on the whole shingle sets, so no pair below the threshold stays. Groups are the connected
+components of the links.
+
+A deep node of more than ``WIDE_NODE`` classes forms no pairs. The classes that such nodes connect are a
+wide group, all of whose pairs are verified a pair of blocks at a time; a block task writes a count and a
+connection per class. So what is written grows with the classes, not with the square of a group. A class
+of a wide group of ``m`` is sent to ``m / BLOCK`` tasks.
 
 Cases
 -----
 * Words are as they stand in the text, case included. A text of one to four words is one shingle.
 * NULL, empty and blank texts have no shingle. They are one class with each other and link to nothing.
-* A NULL ``doc_id`` belongs to no class: it keeps its row, with NULL ids and 0 links.
+* A NULL ``doc_id`` belongs to no class: it keeps its row, with NULL ids and 0 links. ``keep_one``
+  compares such rows too, by their texts.
 * Rows that share a ``doc_id`` but not a text count as several documents; a class or group is named by
   the smallest ``doc_id`` in it.
 * Repeated rows are copies of each other. No documents, no rows.
@@ -26,24 +32,26 @@ Cases
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lodgegrid.session import cut_lineage
 
-from .common import boxed, documents, id_carried, id_restored, small_batches, unboxed
+from .common import WORD_PATTERN, boxed, documents, id_carried, id_restored, small_batches, unboxed
 
 WORDS = 5
 THRESHOLD = 0.8
 TREES = 32
 DEPTH = 8
 TARGET_RECALL = 0.9999
-#: At nodes of more classes than this no pairs are formed; their groups are verified in blocks.
+#: Classes at nodes of more than this part by longer prefixes; at deep ones they are verified in blocks.
 WIDE_NODE = 32
+DEEP_DEPTH = 12
 BLOCK = 256
 #: Ids of verified documents are broadcast up to this many (16 bytes each), and shuffled beyond.
 BROADCAST_IDS = 1_000_000
@@ -61,6 +69,11 @@ def prefix_depth(threshold: float, trees: int = TREES, depth: int = DEPTH, targe
     return depth
 
 
+def trees_for(threshold: float, depth: int = DEEP_DEPTH, target: float = TARGET_RECALL) -> int:
+    """How many tries a pair at the threshold needs to meet in one of them with the target probability."""
+    return math.ceil(math.log(1 - target) / math.log1p(-threshold ** depth)) if threshold < 1 else 1
+
+
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's shingles."""
     parts = (text or "").encode("utf-8", "surrogatepass").split()
@@ -75,16 +88,36 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     return np.unique(total * _GOLDEN)
 
 
+def minhashes(hashes: np.ndarray, factors: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The least value of each 32-bit hash function over the shingles."""
+    short = ((hashes ^ (hashes >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    lowest = np.full(len(factors), 0xFFFFFFFF, dtype=np.uint32)
+    step = max(256, (1 << 20) // len(factors))
+    for low in range(0, len(short), step):
+        part = short[low:low + step]
+        np.minimum(lowest, (part[None, :] * factors[:, None] + offsets[:, None]).min(axis=1), out=lowest)
+    return lowest
+
+
 def labels(hashes: np.ndarray) -> np.ndarray:
     """One label per tree as a whole number: ``DEPTH`` one-byte MinHashes, the first the highest."""
-    short = ((hashes ^ (hashes >> np.uint64(32))) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    lowest = np.full(TREES * DEPTH, 0xFFFFFFFF, dtype=np.uint32)
-    for low in range(0, len(short), 4096):
-        part = short[low:low + 4096]
-        np.minimum(lowest, (part[None, :] * _FACTORS[:, None] + _OFFSETS[:, None]).min(axis=1), out=lowest)
+    lowest = minhashes(hashes, _FACTORS, _OFFSETS)
     return (lowest >> np.uint32(24) ^ lowest).astype(np.uint8).reshape(TREES, DEPTH).view(">i8").ravel().astype(np.int64)
 
 
+def deep_labels(hashes: np.ndarray, trees: int, depth: int = DEEP_DEPTH) -> np.ndarray:
+    """One label per tree of the deeper forest: ``depth`` whole MinHashes, put into 64 bits."""
+    draw = np.random.default_rng(6)
+    factors = (draw.integers(0, 2**32, trees * depth, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+    offsets = draw.integers(0, 2**32, trees * depth, dtype=np.uint64).astype(np.uint32)
+    own = minhashes(hashes, factors, offsets).reshape(trees, depth).astype(np.uint64)
+    label = np.zeros(trees, dtype=np.uint64)
+    for i in range(depth):
+        label = (label ^ own[:, i]) * _GOLDEN
+        label ^= label >> np.uint64(29)
+    return label.view(np.int64)
+
+
 def signature_table(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id, text_hash, set_key, n_shingles, labels`` of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -112,13 +145,32 @@ def shared_nodes(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     ).select(
         "set_key", "n_shingles", "tree",
         F.shiftrightunsigned("label", 8 * (DEPTH - depth)).alias("prefix"))
+    return _shared(nodes)
+
+
+def deep_nodes(classes: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The nodes of the deeper forest, for the classes in ``sets``."""
+    trees = trees_for(threshold)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"set_key": batch["set_key"], "deep": [
+                deep_labels(np.frombuffer(b, np.uint64), trees) for b in batch["hashes"]]})
+
+    labelled = sets.select("set_key", "hashes").mapInPandas(run, "set_key binary, deep array<long>")
+    nodes = labelled.join(classes.select("set_key", "n_shingles"), "set_key").select(
+        "set_key", "n_shingles", F.posexplode("deep").alias("place", "prefix"))
+    return _shared(nodes.select("set_key", "n_shingles", (F.col("place") + TREES).alias("tree"), "prefix"))
+
+
+def _shared(nodes: DataFrame) -> DataFrame:
     sizes = nodes.groupBy("tree", "prefix").agg(
         F.count(F.lit(1)).alias("members"), F.min("set_key").alias("lead")).filter("members > 1")
     return cut_lineage(nodes.join(sizes, ["tree", "prefix"]), "nodes")
 
 
 def wide_groups(nodes: DataFrame, wide: int = WIDE_NODE) -> DataFrame:
-    """``set_key, wide``: classes that meet at nodes of more than ``wide``, by connected group."""
+    """``set_key, wide``: classes that meet at deep nodes of more than ``wide``, by connected group."""
     edges = nodes.filter((F.col("members") > wide) & (F.col("set_key") != F.col("lead")))
     groups = components(edges.select(F.col("set_key").alias("a"), F.col("lead").alias("b")).distinct())
     return cut_lineage(groups.select(F.col("node").alias("set_key"), F.col("root").alias("wide")), "wide-groups")
@@ -144,8 +196,8 @@ def candidate_pairs(nodes: DataFrame, groups: DataFrame, threshold: float = THRE
 
 
 def shingle_sets(docs: DataFrame, classes: DataFrame, needed: DataFrame, words: int = WORDS) -> DataFrame:
-    """``set_key, hashes`` of the classes in ``needed``, from the text of one document each."""
-    needed = cut_lineage(needed.distinct().join(
+    """``set_key, hashes`` of the classes in ``needed``, each once there, from the text of one document each."""
+    needed = cut_lineage(needed.join(
         classes.select("set_key", "sample_id", "sample_hash"), "set_key"), "needed")
     ids = needed.select(F.col("sample_id").alias("id"), F.col("sample_hash").alias("hash"), "set_key")
     if needed.count() <= BROADCAST_IDS:
@@ -294,10 +346,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
     ).select("set_key", "copies", "n_shingles", "labels", F.col("sample.doc_id").alias("sample_id"),
              F.col("sample.text_hash").alias("sample_hash")), "classes")
     nodes = shared_nodes(classes, threshold)
-    groups = wide_groups(nodes, wide)
-    pairs = cut_lineage(candidate_pairs(nodes, groups, threshold, wide), "pairs")
-    sets = shingle_sets(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("set_key")).union(
-        groups.select("set_key")), words)
+    crowded = cut_lineage(nodes.filter(F.col("members") > wide).select("set_key").distinct(), "crowded")
+    crowded_sets = shingle_sets(docs, classes, crowded, words)
+    deep = deep_nodes(classes, crowded_sets, threshold)
+    groups = wide_groups(deep, wide)
+    pairs = cut_lineage(candidate_pairs(nodes.unionByName(deep), groups, threshold, wide), "pairs")
+    others = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct().join(crowded, "set_key", "left_anti")
+    sets = crowded_sets.unionByName(shingle_sets(docs, classes, others, words))
     links = verified_pairs(pairs, sets, threshold)
     within = wide_links(groups, classes, sets, threshold, block)
     slim = classes.select("set_key", "sample_id", "copies")
@@ -327,13 +382,26 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, words: int =
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS) -> DataFrame:
     """``docs`` with one row of each group: the smallest ``doc_id``, and of its repeated rows one.
 
-    Rows without a ``doc_id`` stay, and so do different texts under one ``doc_id``.
+    Rows are told apart by ``doc_id`` and text, so of near copies under one ``doc_id`` one stays too, the
+    one with the smallest hash. Rows without a ``doc_id`` come last in their groups; those of them without
+    a word stay.
     """
-    groups = near_duplicates(docs, threshold, words)
-    kept = groups.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = boxed(docs, F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
-    unique = rows.join(kept, F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id", "text_hash"])
-    return unboxed(unique, docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    kind = docs.schema["doc_id"].dataType
+    text_hash = F.hex(F.xxhash64("text"))
+    if isinstance(kind, T.IntegralType):
+        # as text that sorts as the numbers do
+        low = F.lit(-(2**63)).cast("long")
+        own = F.lpad(F.hex(F.col("doc_id").cast("long").bitwiseXOR(low)), 16, "0")
+    else:
+        own = F.col("doc_id").cast("string")
+    named = F.when(F.col("doc_id").isNotNull(), F.concat(F.lit("0"), own, F.lit(":"), text_hash))
+    without = F.when(F.col("text").rlike(WORD_PATTERN), F.concat(F.lit("1:"), text_hash))
+    key = F.coalesce(named, without)
+    groups = near_duplicates(docs.select(key.alias("doc_id"), "text"), threshold, words)
+    kept = groups.filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("kept_key")).distinct()
+    rows = boxed(docs, key.alias("key"))
+    unique = rows.join(kept, F.col("key") == F.col("kept_key"), "left_semi").dropDuplicates(["key"])
+    return unboxed(unique.unionByName(rows.filter("key IS NULL")), docs.columns)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
