@@ -19,6 +19,8 @@ Cases
   response; a NULL page id counts as the largest, and of repeated rows one is the response.
 * Pages without an id are captures too; ``refers_to`` is the response's page id, NULL if it has none.
 * Captures without a request or metadata have NULL there; others that name no capture are left out.
+* A record that is cut off, or has no length, is left out and counted by ``broken_records``; the others of
+  its archive are read. A damaged gzip stream ends the job.
 * No pages, no records and no rows. Only ``page_id``, ``url`` and ``html`` are read.
 """
 
@@ -112,19 +114,54 @@ def _header(name: str) -> Column:
     return F.when(F.length(value) > 0, value)
 
 
+def cut_records(content: bytes) -> Iterator[tuple[bytes, bool]]:
+    """The records of an archive by their lengths, and whether each is whole.
+
+    A record without an end of its head, without a length or shorter than it says is broken; it
+    ends where the next version line begins.
+    """
+    at = content.find(b"WARC/1.")
+    while at >= 0:
+        start = content.find(b"\r\n", at) + 2
+        end = content.find(b"\r\n\r\n", start) if start > 1 else -1
+        sizes = [line.split(b":", 1)[1].strip() for line in content[start:max(end, start)].split(b"\r\n")
+                 if line.lower().startswith(b"content-length:")]
+        stop = end + 4 + int(sizes[0]) if end >= 0 and sizes and sizes[0].isdigit() else -1
+        if 0 <= stop <= len(content):
+            yield content[start:stop], True
+            at = content.find(b"WARC/1.", stop)
+        else:
+            after = content.find(b"\nWARC/1.", at)
+            yield content[at:after if after >= 0 else len(content)], False
+            at = after + 1 if after >= 0 else -1
+
+
 def _cut_by_length(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for content in frame["content"]:
+        for path, content in zip(frame["path"], frame["content"]):
             content = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-            at, out = content.find(b"WARC/1."), []
-            while at >= 0:
-                start = content.index(b"\r\n", at) + 2
-                end = content.index(b"\r\n\r\n", start)
-                size = next(int(line.split(b":", 1)[1]) for line in content[start:end].split(b"\r\n")
-                            if line.lower().startswith(b"content-length:"))
-                out.append(content[start:end + 4 + size])
-                at = content.find(b"WARC/1.", end + 4 + size)
-            yield pd.DataFrame({"record": out})
+            out = list(cut_records(content))
+            yield pd.DataFrame({"path": path, "record": [r for r, _ in out], "good": [g for _, g in out]})
+
+
+def _cut_again(spark: SparkSession, path: str, broken: DataFrame) -> DataFrame:
+    """``path, record, good`` of the archives in ``broken``, cut by length."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content", _plain_path("path").alias("plain"))
+    files = files.join(broken.select(_plain_path("broken").alias("plain")), "plain", "left_semi")
+    return files.select("path", "content").mapInPandas(_cut_by_length, "path string, record binary, good boolean")
+
+
+def _pieces(spark: SparkSession, path: str) -> DataFrame:
+    pieces = spark.read.option("lineSep", VERSION_LINE).text(path).select(
+        F.col("value").alias("record"), F.input_file_name().alias("path"))
+    return pieces.filter(F.length("record") > 0)
+
+
+def broken_records(spark: SparkSession, path: str) -> DataFrame:
+    """``path, n_broken, bytes``: archives below ``path`` with records that ``read_records`` leaves out."""
+    odd = _split(_pieces(spark, path)).filter("NOT whole").select(F.col("path").alias("broken")).distinct()
+    return _cut_again(spark, path, odd).filter("NOT good").groupBy("path").agg(
+        F.count(F.lit(1)).alias("n_broken"), F.sum(F.octet_length("record")).cast("long").alias("bytes"))
 
 
 def _plain_path(column: str) -> Column:
@@ -138,7 +175,7 @@ def _split(df: DataFrame) -> DataFrame:
     cut = df.select(
         "path", F.when(at > 0, F.substring(text, F.lit(1), at - 1)).otherwise(text).alias("head"),
         F.when(at > 0, F.substring(text, at + 4, F.octet_length(text))).otherwise(F.lit("")).alias("rest"),
-        (at > 0).alias("headed")).withColumn("size", _header("Content-Length").cast("long"))
+        (at > 0).alias("headed")).withColumn("size", _header("Content-Length").try_cast("long"))
     # a whole record is its body and the two line ends after it
     whole = F.col("headed") & (F.octet_length("rest") == F.col("size") + 4)
     return cut.withColumn("whole", F.coalesce(whole, F.lit(False))).drop("headed")
@@ -161,19 +198,16 @@ def read_records(spark: SparkSession, path: str, kept: dict[str, Column] | None
     """``type, id, uri, concurrent_to, refers_to, digest, body`` of every record below ``path``.
 
     ``kept`` names columns to compute from these, ``body`` among them; the records are then written
-    once in that form, so that joins on them do not read the archives again.
+    once in that form, so that joins on them do not read the archives again. Records that are cut off
+    or have no length are left out; ``broken_records`` counts them.
     """
-    pieces = spark.read.option("lineSep", VERSION_LINE).text(path).select(
-        F.col("value").alias("record"), F.input_file_name().alias("path"))
-    found = _fields(_split(pieces.filter(F.length("record") > 0)), kept)
+    found = _fields(_split(_pieces(spark, path)), kept)
     if kept:
         found = cut_lineage(found, "records")
     broken = cut_lineage(found.filter("NOT whole").select(F.col("path").alias("broken")).distinct(), "broken-archives")
     records = found.filter("whole").join(broken, F.col("path") == F.col("broken"), "left_anti")
     if not broken.isEmpty():
-        files = spark.read.format("binaryFile").load(path).select("content", _plain_path("path").alias("plain"))
-        files = files.join(broken.select(_plain_path("broken").alias("plain")), "plain", "left_semi")
-        again = files.select("content").mapInPandas(_cut_by_length, "record binary").select(
+        again = _cut_again(spark, path, broken).filter("good").select(
             F.lit("").alias("path"), F.col("record").cast("string").alias("record"))
         records = records.unionByName(_fields(_split(again), kept))
     return records.drop("path", "whole")
