@@ -1,8 +1,9 @@
 """Line-first quality rules, in DataFrame functions only.
 
 Every line of a text is judged on its own: by its punctuation (no sentence ends in it, too many symbols or
-exclamation marks), as navigation (bar-separated entries, menu words) or as boilerplate (fixed
-phrases). Lines that fail are removed, and a document that loses more than ``MAX_LOST`` of its word
+exclamation marks), as navigation (bar-separated entries, menu words) or as boilerplate (a line of at most
+``MAX_PHRASE_WORDS`` words with a fixed phrase; a longer one only speaks of such things). Lines in scripts that
+do not mark where a sentence ends need no mark. Lines that fail are removed, and a document that loses more than ``MAX_LOST`` of its word
 characters is rejected. Base statistics of the whole text reject a document before that. Nothing is
 shuffled: a document is judged within its row, in time that grows with its length times its logarithm.
 
@@ -31,8 +32,12 @@ MAX_SYMBOLS_PER_WORD = 0.3
 MAX_BARS_PER_WORD = 0.2
 MAX_EXCLAMATIONS_PER_WORD = 0.5
 
-# What ends a sentence, and phrases of page furniture.
-SENTENCE_END = r"[.!?:;…。！？][\"”»’')\]]*([\x20\x09-\x0D]|$)"
+MAX_PHRASE_WORDS = 12
+
+# What ends a sentence in the scripts that mark it (with closing marks after it; the wide
+# marks need no space), letters of scripts that do not mark it, and phrases of page furniture.
+SENTENCE_END = r"([.!?:;…‼⁇⁈⁉؟۔።፧፨।॥။៕᠃][\"'\p{Pe}\p{Pf}]*([\x20\x09-\x0D]|$)|[。！？｡．︒]|[」』]$)"
+UNMARKED = "[\u0e00-\u0e7f\u0e80-\u0eff\u0f00-\u0fff\u1000-\u109f\u1780-\u17ff]"
 NAVIGATION = r"(?i)^(home|menu|next|previous|back|top|search|log ?in|sign ?(in|up|out)|register|contact( us)?|about( us)?|share|print|read more|skip to content|site ?map)[.!:]?$"
 BOILERPLATE = r"(?i)(javascript|lorem ipsum|all rights reserved|cookie policy|uses? cookies|accept cookies|privacy policy|terms of (use|service)|subscribe to our|click here|powered by)"
 
@@ -64,11 +69,11 @@ def line_verdicts(line: Column) -> Column:
             return (found > 0) & (found > share * n)
 
         return F.struct(
-            (words & (~trimmed.rlike(SENTENCE_END)
+            (words & ((~trimmed.rlike(SENTENCE_END) & ~trimmed.rlike(UNMARKED))
                       | many(SYMBOLS, MAX_SYMBOLS_PER_WORD)
                       | many("!", MAX_EXCLAMATIONS_PER_WORD))).alias("punctuation"),
             (words & (many("|", MAX_BARS_PER_WORD) | trimmed.rlike(NAVIGATION))).alias("navigation"),
-            (words & trimmed.rlike(BOILERPLATE)).alias("boilerplate"),
+            (words & trimmed.rlike(BOILERPLATE) & (n <= MAX_PHRASE_WORDS)).alias("boilerplate"),
             word_characters(trimmed).alias("chars"),
         )
 
@@ -175,10 +180,10 @@ measured AS (
            length(regexp_replace(s, '[\x20\x09-\x0D]', '', 'g')) AS chars
     FROM split_lines WHERE length(s) > 0),
 failing AS (
-    SELECT *, NOT regexp_matches(s, '{SENTENCE_END.replace("'", "''")}')
+    SELECT *, (NOT regexp_matches(s, '{SENTENCE_END.replace("'", "''")}') AND NOT regexp_matches(s, '{UNMARKED}'))
               OR symbols > {MAX_SYMBOLS_PER_WORD} * n OR bangs > {MAX_EXCLAMATIONS_PER_WORD} * n
               OR bars > {MAX_BARS_PER_WORD} * n OR regexp_matches(s, '{NAVIGATION}')
-              OR regexp_matches(s, '{BOILERPLATE}') AS lost
+              OR (regexp_matches(s, '{BOILERPLATE}') AND n <= {MAX_PHRASE_WORDS}) AS lost
     FROM measured),
 by_doc AS (
     SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (WHERE lost) AS lines_removed,

@@ -1,0 +1,45 @@
+"""Clean lines of any script and length stay; furniture goes."""
+
+import pytest
+
+from lodgegrid.llm.line_rules import OP8_SQL, judged
+
+from .test_lines import rows_of, sql_rows
+
+CLEAN = [
+    "Most pages of that decade used javascript only for small effects, and a reader who switched it off lost very little "
+    "of what the page had to say.",
+    "The essay argues that a privacy policy is a promise made to nobody in particular, and it shows with many examples how "
+    "such promises were kept, broken, or simply forgotten over the years.",
+    "यह एक साफ़ वाक्य है जिसमें दस से अधिक शब्द हैं और इसका अंत ठीक है।",
+    "ይህ ከአስር በላይ ቃላት ያሉት ንጹህ ዓረፍተ ነገር ነው እና በትክክል ያበቃል ሁሉም ጥሩ ነው።",
+    "彼 は 静か に 窓 の 外 を 見て こう 言った 「また 明日 会いましょう」",
+    "นี่ คือ ประโยค ที่ สะอาด และ มี คำ มาก กว่า สิบ คำ ใน ภาษา ไทย",
+    "یہ ایک صاف جملہ ہے جس میں دس سے زیادہ الفاظ ہیں اور یہ ٹھیک ختم ہوتا ہے۔",
+    "这 是 一个 干净 的 句子 ， 它 有 十 个 以上 的 词 。 它 也 结束 了",
+    "He wrote (and nobody believed him at that time, as it seems to us now that we know better.)",
+]
+FURNITURE = [
+    "Please enable javascript to view the comments on this page.", "Read our privacy policy here.",
+    "home | about | contact | login", "no sentence ends in this line", "buy### now*** here$$$ today%%% please&&& come.",
+]
+
+
+@pytest.mark.parametrize("line", CLEAN)
+def test_clean_lines_stay(make_docs, line):
+    (row,) = judged(make_docs([(1, line)])).collect()
+    assert row.kept and row.lines_removed == 0 and row.clean_text == line
+
+
+@pytest.mark.parametrize("line", FURNITURE)
+def test_furniture_goes(make_docs, line):
+    (row,) = judged(make_docs([(1, f"{CLEAN[0]}\n{line}")])).collect()
+    assert row.lines_removed == 1 and row.clean_text == CLEAN[0]
+
+
+def test_sql_agrees_on_all_of_them(spark, make_docs, tmp_path):
+    docs = [(i, line) for i, line in enumerate([*CLEAN, *FURNITURE, "\n".join(CLEAN + FURNITURE)])]
+    make_docs(docs).write.parquet(f"{tmp_path}/documents.parquet")
+    from lodgegrid.llm.line_rules import op8_quality_rules
+
+    assert rows_of(op8_quality_rules(spark, str(tmp_path))) == sql_rows(OP8_SQL, docs)
