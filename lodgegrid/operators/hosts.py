@@ -109,6 +109,14 @@ def mortgage_cover_one_listing(listings: DataFrame, lga: DataFrame, census: Data
     aggregate carries along. Hosts with more rows, of which one alone has an ``id``, take
     the full join.
     """
+    plain, others = _one_row_or_more(listings)
+    joined = _covered(plain.join(mortgage_by_area(lga, census), "neighbourhood_cleansed"))
+    full = mortgage_cover(listings.join(others, "host_id", "left_semi"), lga, census)
+    return joined.unionByName(full).drop("code_2016")
+
+
+def _one_row_or_more(listings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Hosts with one listing id: those of one row with its area and revenue, and the other ones."""
     singles = (
         listings.select("host_id", "id", "neighbourhood_cleansed", number_of_stays(), "price")
         .groupBy("host_id")
@@ -120,13 +128,55 @@ def mortgage_cover_one_listing(listings: DataFrame, lga: DataFrame, census: Data
         )
         .filter((F.col("_n") == 1) & F.col("host_id").isNotNull())
     )
-    plain = singles.filter(F.col("_rows") == 1)
-    joined = _covered(plain.join(mortgage_by_area(lga, census), "neighbourhood_cleansed"))
-    others = singles.filter(F.col("_rows") > 1).select("host_id")
-    full = mortgage_cover(listings.join(others, "host_id", "left_semi"), lga, census)
-    return joined.unionByName(full).drop("code_2016")
+    return singles.filter(F.col("_rows") == 1), singles.filter(F.col("_rows") > 1).select("host_id")
 
 
 def cover_count(one_listing: DataFrame) -> DataFrame:
-    """Hosts per covered flag."""
+    """Rows per covered flag."""
     return one_listing.groupBy("covered").agg(F.count("covered").alias("count"))
+
+
+def mortgage_cover_count(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:
+    """:func:`cover_count` of :func:`mortgage_cover`, without forming its pairs.
+
+    A host's revenues and mortgages are put in one order; a mortgage is not covered by the
+    revenues that stand before it, and covered by the others. So a host costs a sort of what
+    it has, not its areas times its revenues.
+    """
+    host_areas = listings.select("host_id", "neighbourhood_cleansed").distinct()
+    mortgages = host_areas.join(mortgage_by_area(lga, census), "neighbourhood_cleansed").select(
+        "host_id", F.col("annualised_median_mortgage_repay").alias("_value"), F.lit(0).alias("_revenues"), F.lit(1).alias("_mortgages"))
+    revenues = (
+        listings.select("host_id", number_of_stays(), "price")
+        .select("host_id", listing_revenue().alias("_value"))
+        .distinct()
+        .select("host_id", "_value", F.lit(1).alias("_revenues"), F.lit(0).alias("_mortgages"))
+    )
+    # equal values meet in one row per host; a missing revenue covers nothing, a missing mortgage is not covered
+    points = revenues.unionByName(mortgages).filter("host_id IS NOT NULL").groupBy(
+        "host_id", F.col("_value").cast("decimal(38,4)").alias("_value")
+    ).agg(F.sum("_revenues").alias("_revenues"), F.sum("_mortgages").alias("_mortgages"))
+    host = Window.partitionBy("host_id")
+    # missing first: the revenue among them stands before every mortgage
+    before = host.orderBy(F.col("_value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    placed = points.select(
+        "_mortgages",
+        F.col("_value").isNull().alias("_missing"),
+        F.coalesce(F.sum("_revenues").over(before), F.lit(0)).alias("_below"),
+        F.sum("_revenues").over(host).alias("_all"),
+    ).filter("_mortgages > 0")
+    uncovered = F.col("_mortgages") * F.when(F.col("_missing"), F.col("_all")).otherwise(F.col("_below"))
+    total = F.col("_mortgages") * F.col("_all")
+    sums = placed.agg(F.sum(total - uncovered).alias("yes"), F.sum(uncovered).alias("no"))
+    flags = F.array(
+        F.struct(F.lit(1).alias("covered"), F.col("yes").alias("count")), F.struct(F.lit(0).alias("covered"), F.col("no").alias("count")))
+    return sums.select(F.inline(flags)).filter("count > 0")
+
+
+def mortgage_cover_count_one_listing(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:
+    """:func:`cover_count` of :func:`mortgage_cover_one_listing`, without forming the pairs of
+    hosts with several rows."""
+    plain, others = _one_row_or_more(listings)
+    joined = _covered(plain.join(mortgage_by_area(lga, census), "neighbourhood_cleansed"))
+    full = mortgage_cover_count(listings.join(others, "host_id", "left_semi"), lga, census)
+    return cover_count(joined).unionByName(full).groupBy("covered").agg(F.sum("count").alias("count"))

@@ -330,6 +330,9 @@ JOIN lga ON lga.neighbourhood_cleansed = f.neighbourhood_cleansed""",
             *ctes, cover + " SELECT * FROM cover ORDER BY estimated_revenue DESC NULLS FIRST"
         ),
         "q4_d_3_mortgage_cover_one_listing": _with(*ctes, cover + one + " SELECT * FROM one"),
+        "cover_count_all_hosts": _with(
+            *ctes, cover + " SELECT covered, count(covered) AS count FROM cover GROUP BY covered"
+        ),
         "q4_d_4_cover_count": _with(
             *ctes, cover + one + " SELECT covered, count(covered) AS count FROM one GROUP BY covered"
         ),

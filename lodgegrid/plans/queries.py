@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.parsing import money
-from ..operators import audit, metrics as m
+from ..operators import audit, hosts, metrics as m
 from ..operators.census import SHARES
 from ..operators.upsert import upsert
 from ..schemas import HOST_KEY, LISTING_COLUMNS, LISTING_SCHEMA, PROPERTY_KEY, TIME_KEY
@@ -376,10 +376,10 @@ def listing_fact(spark: SparkSession, folder: str) -> DataFrame:
 def listing_fact_by_join(spark: SparkSession, folder: str) -> DataFrame:
     """Facts by natural-key joins on the five-column host key, read back through the hosts."""
     raw, star = _star(spark, folder)
-    hosts = star["dim_host"]
-    fact = w.listing_fact_by_join(raw, hosts, star["dim_property"], star["dim_time"])
+    dim = star["dim_host"]
+    fact = w.listing_fact_by_join(raw, dim, star["dim_property"], star["dim_time"])
     return _comparable(
-        w.listings_from_star(fact, hosts).select(
+        w.listings_from_star(fact, dim).select(
             "id", "year_month", "host_id", "host_neighbourhood_cleansed", "price"
         )
     )
@@ -440,9 +440,9 @@ def star_host_parts(spark: SparkSession, folder: str) -> DataFrame:
     first = month.agg(F.min(F.col("host_id").cast("int"))).first()[0]
     renamed = F.when(F.col("host_id") == str(first), "Renamed").otherwise(F.col("host_name"))
     rewritten = w.add_months(month.withColumn("host_name", renamed), path)["dim_host"]
-    hosts = w.read_star(spark, path)["dim_host"]
+    dim = w.read_star(spark, path)["dim_host"]
     # a suburb in two areas makes a host two rows
-    return hosts.select(*HOST_KEY, F.lit(1 <= len(rewritten) <= 2).alias("own_parts_only"))
+    return dim.select(*HOST_KEY, F.lit(1 <= len(rewritten) <= 2).alias("own_parts_only"))
 
 
 def star_active_rate(spark: SparkSession, folder: str) -> DataFrame:
@@ -529,13 +529,13 @@ def audit_casts(spark: SparkSession, folder: str) -> DataFrame:
 def audit_summary(spark: SparkSession, folder: str) -> DataFrame:
     """Violations per rule over the built warehouse."""
     _, star = _star(spark, folder)
-    fact, hosts, properties = star["listing_fact"], star["dim_host"], star["dim_property"]
+    fact, people, properties = star["listing_fact"], star["dim_host"], star["dim_property"]
     times, census = star["dim_time"], _census(spark, folder)
     return audit.violation_summary(
         {
-            "host_key_unique": audit.duplicate_keys(hosts, ["h_id"]),
+            "host_key_unique": audit.duplicate_keys(people, ["h_id"]),
             "property_key_unique": audit.duplicate_keys(properties, ["p_id"]),
-            "fact_host_exists": audit.orphans(fact, hosts, ["h_id"]),
+            "fact_host_exists": audit.orphans(fact, people, ["h_id"]),
             "fact_property_exists": audit.orphans(fact, properties, ["p_id"]),
             "census_code_unique": audit.duplicate_keys(census, ["LGA_CODE_2016"]),
             "time_key_unique": audit.duplicate_keys(times, ["t_id"]),
@@ -646,6 +646,11 @@ def view_in_sql(spark: SparkSession, folder: str) -> DataFrame:
 # --- inspection -----------------------------------------------------------------
 
 
+def cover_count_all_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    """How many of all hosts' revenues cover how many of their areas' mortgages, counted without pairs."""
+    return hosts.mortgage_cover_count(tm.host_listings(spark, folder), tm.lga(spark, folder), _census(spark, folder))
+
+
 def table_counts(spark: SparkSession, folder: str) -> DataFrame:
     names = ["lineitem", "orders", "customer", "supplier", "part", "nation", "region"]
     return row_counts({n: read_table(spark, folder, n) for n in names})
@@ -678,7 +683,7 @@ def all_queries() -> dict[str, Query]:
         star_add_months, star_rejects, star_host_parts, star_active_rate, star_bucketed_rate,
         span_price_stats, span_distinct_hosts, census_fact,
         audit_unique, audit_fk, audit_not_null, audit_casts, audit_summary,
-        upsert_dim, stored_view, month_refresh, month_refresh_rate, raw_append, view_in_sql,
+        cover_count_all_hosts, upsert_dim, stored_view, month_refresh, month_refresh_rate, raw_append, view_in_sql,
         table_counts, table_preview, ordered_stays, ordered_cover,
     ]
     return (
