@@ -295,7 +295,7 @@ FROM shares GROUP BY lga_name)"""
 
 
 def _host_views() -> dict[str, str]:
-    singles = "SELECT DISTINCT host_id FROM f GROUP BY host_id HAVING count(id) = 1"
+    singles = "SELECT host_id FROM f GROUP BY host_id HAVING count(id) = 1"
     cover = """
 , earned AS (SELECT host_id, (30 - availability_30) * price AS estimated_revenue FROM f),
 pairs AS (SELECT e.host_id, f.neighbourhood_cleansed, lga.code_2016, e.estimated_revenue,
