@@ -5,11 +5,14 @@ Each input split is one stream of ids, every document closed by the end id, cut
 room for as many as its text bytes could give (an id stands for at least one byte), so numbers are known
 before anything is encoded and ids are encoded and shuffled once. A keyed Feistel permutation with
 cycle-walking over all numbers gives every sequence its global slot. Numbers that no sequence uses leave
-slots empty; the training order is the order of the slots that are used.
+slots empty; the training order is the order of the slots that are used, and ``step`` counts it without
+gaps.
 
 Ranges of ``SHARD`` slots are shards. A shard is one file of records in slot order, each of the same
-number of bytes: the slot, the ids, and the line feed with which Spark's text writer ends it. A reader
-goes on from a shard and a byte, or finds a slot by bisection over the fixed stride.
+number of bytes: the slot, the ids, and the line feed with which Spark's text writer ends it. The files'
+lengths tell how many records each shard holds, so a step's shard is found by bisection over the shards
+and its place in the file by multiplication. Files are read in ranges of whole records, whatever their
+size; a reader that goes on from a step or a slot opens no earlier shard.
 
 The second pass over the splits checks that each holds as many documents and bytes as the first counted
 and fails otherwise.
@@ -25,7 +28,6 @@ Cases
 from __future__ import annotations
 
 import math
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -136,37 +138,79 @@ def write_shards(docs: DataFrame, path: str, sequence: int = SEQUENCE, shard: in
     return layout
 
 
-def read_shards(spark: SparkSession, path: str, layout: Layout, from_slot: int = 0) -> DataFrame:
-    """``slot, shard, byte_offset, ids`` of the records from ``from_slot`` on; earlier shards stay unread."""
-    stride, size = layout.stride, layout.ids_bytes
+@dataclass(frozen=True)
+class ShardIndex:
+    """The shards that hold records, in order, the step of each one's first record, and all steps."""
+
+    shards: np.ndarray
+    first_steps: np.ndarray
+    steps: int
+
+    def first_step(self, shard: int) -> int:
+        return int(self.first_steps[np.searchsorted(self.shards, shard)])
+
+    def shard_of(self, step: int) -> int:
+        """The shard that holds ``step``; one beyond the last where there is no such step."""
+        if step >= self.steps:
+            return int(self.shards[-1]) + 1 if len(self.shards) else 0
+        return int(self.shards[np.searchsorted(self.first_steps, max(step, 0), side="right") - 1])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for shard, content in zip(frame["shard"], frame["content"]):
-                slots = [int.from_bytes(content[at:at + 8], "little") for at in range(0, len(content), stride)]
-                first = int(np.searchsorted(slots, from_slot))
-                yield pd.DataFrame({
-                    "slot": slots[first:], "shard": shard, "byte_offset": np.arange(first, len(slots)) * stride,
-                    "ids": [bytes(content[i * stride + 8:i * stride + 8 + size]) for i in range(first, len(slots))]})
 
+def shard_index(spark: SparkSession, path: str, layout: Layout) -> ShardIndex:
+    """The index of the shards below ``path`` from their files' lengths: two numbers per shard reach the driver."""
     if not layout.numbers:
-        return spark.createDataFrame([], "slot long, shard long, byte_offset long, ids binary")
+        return ShardIndex(np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
     files = spark.read.format("binaryFile").option("basePath", path).load(path)
-    return files.filter(F.col("shard") >= from_slot // layout.shard).select(
-        F.col("shard").cast("long").alias("shard"), "content",
-    ).mapInPandas(run, "slot long, shard long, byte_offset long, ids binary")
+    sizes = files.groupBy(F.col("shard").cast("long").alias("shard")).agg(
+        F.sum("length").alias("size")).orderBy("shard").collect()
+    broken = [r.shard for r in sizes if r["size"] % layout.stride]
+    if broken:
+        raise RuntimeError(f"shards {broken} do not hold whole records")
+    records = np.array([r["size"] // layout.stride for r in sizes], dtype=np.int64)
+    ends = np.cumsum(records)
+    return ShardIndex(np.array([r.shard for r in sizes], dtype=np.int64), ends - records, int(ends[-1]))
+
+
+def read_shards(spark: SparkSession, path: str, layout: Layout, from_slot: int = 0, from_step: int = 0) -> DataFrame:
+    """``slot, shard, step, byte_offset, ids`` of the records from ``from_slot`` and ``from_step`` on."""
+    schema = "slot long, shard long, step long, byte_offset long, ids binary"
+    index = shard_index(spark, path, layout)
+    first = max(from_slot // layout.shard, index.shard_of(from_step))
+    wanted = index.shards[index.shards >= first].tolist()
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    stride, end = layout.stride, 8 + layout.ids_bytes
+    known = dict(zip(index.shards.tolist(), index.first_steps.tolist()))
+
+    def run(records: Iterator[tuple[int, bytes]]) -> Iterator[tuple]:
+        for place, record in records:
+            slot = int.from_bytes(record[:8], "little")
+            shard = slot // layout.shard
+            step = known[shard] + place
+            if slot >= from_slot and step >= from_step:
+                yield slot, shard, step, place * stride, bytes(record[8:end])
+
+    # all shards by pattern, or the later ones by name
+    folders = f"{path}/shard=*" if len(wanted) == len(index.shards) else ",".join(f"{path}/shard={n}" for n in wanted)
+    # Spark's input format for files of fixed-length records; its keys are their numbers in the file
+    records = spark.sparkContext.newAPIHadoopFile(
+        folders, "org.apache.spark.input.FixedLengthBinaryInputFormat", "org.apache.hadoop.io.LongWritable",
+        "org.apache.hadoop.io.BytesWritable",
+        conf={"org.apache.spark.input.FixedLengthBinaryInputFormat.recordLength": str(stride)}, batchSize=HELD_SEQUENCES)
+    return spark.createDataFrame(records.mapPartitions(run), schema, verifySchema=False)
 
 
 def op4_training_order(spark: SparkSession, folder: str) -> DataFrame:
-    """``number, slot, shard, byte_offset, ids_crc32`` of every record, read back from the shards."""
+    """``number, slot, shard, step, byte_offset, ids_crc32`` of every record, read back from the shards."""
     path = scratch_path(spark, "token-shards")
     layout = write_shards(documents(spark, folder), path)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if len(frame):
-                yield frame[["slot", "shard", "byte_offset"]].assign(
-                    number=layout.number_of(frame["slot"].to_numpy()), ids_crc32=[zlib.crc32(b) for b in frame["ids"]])
+                yield frame.assign(number=layout.number_of(frame["slot"].to_numpy()))
 
-    return read_shards(spark, path, layout).mapInPandas(
-        run, "number long, slot long, shard long, byte_offset long, ids_crc32 long")
+    columns = "slot long, shard long, step long, byte_offset long, ids_crc32 long"
+    return read_shards(spark, path, layout).select(
+        "slot", "shard", "step", "byte_offset", F.crc32("ids").alias("ids_crc32"),
+    ).mapInPandas(run, f"{columns}, number long")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodgegrid.llm.token_order import op4_training_order, plan_layout, read_shards, sequences, write_shards
+from lodgegrid.llm.token_order import op4_training_order, plan_layout, read_shards, sequences, shard_index, write_shards
 from lodgegrid.llm.tokens import encoder
 
 from .conftest import FOLDER
@@ -62,6 +62,19 @@ def test_shards_hold_every_sequence_in_slot_order(spark, stored, tmp_path, one_f
             assert f.read(1024) == own[-1].ids
     later = read_shards(spark, path, layout, from_slot=300).collect()
     assert sorted(r.slot for r in later) == sorted(r.slot for r in rows if r.slot >= 300)
+    # steps are the ranks of the slots, and reading goes on from any of them
+    ranked = sorted(rows, key=lambda r: r.slot)
+    assert [r.step for r in ranked] == list(range(len(rows)))
+    index = shard_index(spark, path, layout)
+    assert index.steps == len(rows)
+    for step in (0, 1, len(rows) // 2, len(rows) - 1):
+        found = read_shards(spark, path, layout, from_step=step).collect()
+        assert sorted(r.step for r in found) == list(range(step, len(rows)))
+        record = ranked[step]
+        assert index.shard_of(step) == record.shard
+        assert (step - index.first_step(record.shard)) * layout.stride == record.byte_offset
+    assert read_shards(spark, path, layout, from_step=len(rows)).count() == 0
+    assert read_shards(spark, path, layout, from_slot=layout.numbers).count() == 0
 
 
 def test_query_covers_every_id(spark):
@@ -84,3 +97,28 @@ def test_odd_rows(spark, make_docs, odd_rows, tmp_path):
     assert len(rows) == sum(map(len, expected_records(docs, 64).values()))
     layout = write_shards(make_docs([]), str(tmp_path / "e"))
     assert layout.numbers == 0 and read_shards(spark, str(tmp_path / "e"), layout).count() == 0
+
+
+def test_a_large_shard_is_read_in_several_ranges(spark, stored, tmp_path):
+    path = str(tmp_path / "one")
+    layout = write_shards(spark.read.parquet(stored), path, sequence=512, shard=1 << 20)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.input.fileinputformat.split.maxsize", str(layout.stride * 10 + 7))
+    try:
+        read = read_shards(spark, path, layout, from_step=15)
+        assert layout.shards == 1 and read.rdd.getNumPartitions() > 3
+        rows = sorted(read.collect(), key=lambda r: r.step)
+    finally:
+        hadoop.unset("mapreduce.input.fileinputformat.split.maxsize")
+    assert [r.byte_offset for r in rows] == [i * layout.stride for i in range(15, 15 + len(rows))]
+    assert len({r.slot for r in rows}) == len(rows) == shard_index(spark, path, layout).steps - 15
+
+
+def test_a_torn_shard_is_noticed(spark, stored, tmp_path):
+    path = str(tmp_path / "torn")
+    layout = write_shards(spark.read.parquet(stored), path, sequence=512, shard=1 << 20)
+    file, = glob.glob(os.path.join(path, "shard=0", "part-*"))
+    with open(file, "ab") as f:
+        f.write(b"x")
+    with pytest.raises(RuntimeError, match="whole records"):
+        shard_index(spark, path, layout)
