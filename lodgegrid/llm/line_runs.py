@@ -1,10 +1,13 @@
 """Line dedup on levelled sorted runs of line hashes.
 
-The index of all lines seen so far is a set of runs, each a table of (line hash, first document)
-sorted by hash; a hash is in one run only. A new batch takes the smallest document per hash, anti-joins
-the runs, and writes what is new as a run of level 0. Once a level holds ``fanout`` runs they are
-merged into one of the next level, so a hash is rewritten once per level. The list of current runs is
-itself a versioned table, so an index can be opened again by a later load.
+The index of all lines seen so far is a set of runs, each a table of (line hash, first document) in
+buckets of the hash, a file sorted by hash per bucket; a hash is in one run only. A new batch takes the
+smallest document per hash, is moved to the buckets and sorted once, merge-anti-joins one run after the
+other, and what is new becomes a run of level 0. Once a level holds ``fanout`` runs they are merged, two
+at a time, into one of the next level. The runs' side of these joins is read bucket by bucket in its
+stored order: nothing of the index is shuffled or sorted when a batch comes (``tests/llm/test_lines.py``
+holds the plans to that). The list of current runs is itself a versioned table, so an index can be opened
+again by a later load.
 
 A document loses a line if the index names another document as its first. Texts move once: the
 positions to drop, found on hashes alone, are joined to them.
@@ -22,10 +25,12 @@ Cases
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodgegrid.session import cut_lineage, scratch_path
+from lodgegrid.sinks.bucketed import register_bucketed
 from lodgegrid.sinks.store import read_version, versions, write_version
 
 from .common import SPACE_CHARS, ascii_lower, boxed, documents, let, unboxed
@@ -40,42 +45,98 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(SPACE_CHARS)))
 
 
+@contextmanager
+def stored_order(spark: SparkSession, buckets: int):
+    """Plans made inside shuffle into ``buckets`` and take bucketed tables, of one file per bucket, as sorted."""
+    settings = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.shuffle.partitions": buckets}
+    own = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in own.items():
+            spark.conf.set(name, value)
+
+
 class LineRuns:
-    """The index below ``root``; opening it again finds the runs written before."""
+    """The index below ``root``; opening it again finds the runs written before.
+
+    A new index has ``buckets`` buckets, or as many as the session has shuffle partitions; one that is
+    opened again keeps its own.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, root: str, fanout: int = FANOUT, buckets: int | None = None):
         self.spark, self.root, self.fanout = spark, root, fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.columns = ""
         self.runs: list[tuple[int, str]] = []
         if versions(spark, f"{root}/runs"):
             # a handful of rows: under ``fanout`` runs per level
-            self.runs = [(r.level, r.path) for r in read_version(spark, f"{root}/runs").collect()]
+            state = read_version(spark, f"{root}/runs").collect()
+            self.runs = [(r.level, r.path) for r in state]
+            self.buckets, self.columns = state[0].buckets, state[0].columns
 
     def table(self) -> DataFrame:
         """``line_hash, first_doc`` of all lines seen."""
-        return self.spark.read.parquet(*[path for _, path in self.runs])
+        return self.spark.read.schema(self.columns).parquet(*[path for _, path in self.runs])
 
     def add(self, keys: DataFrame) -> None:
         """Enter a batch of ``line_hash, doc_id`` rows; hashes seen before keep their first document."""
-        new = keys.groupBy("line_hash").agg(F.min("doc_id").alias("first_doc"))
-        if self.runs:
-            new = new.join(self.table().select("line_hash"), "line_hash", "left_anti")
-        self.runs.append(self._write(new, 0))
-        self._compact()
-        state = self.spark.createDataFrame(self.runs, "level int, path string")
+        if not self.runs:
+            self.columns = f"line_hash binary, first_doc {keys.schema['doc_id'].dataType.simpleString()}"
+        with stored_order(self.spark, self.buckets):
+            self.runs.append((0, self._write(self.unseen(keys))))
+            self._compact()
+        state = self.spark.createDataFrame(
+            [(level, path, self.buckets, self.columns) for level, path in self.runs],
+            "level int, path string, buckets int, columns string")
         write_version(state.coalesce(1), f"{self.root}/runs")
 
+    def unseen(self, keys: DataFrame) -> DataFrame:
+        """``line_hash, first_doc`` of the batch's lines that no run holds."""
+        new = keys.groupBy("line_hash").agg(F.min("doc_id").alias("first_doc"))
+        for _, path in self.runs:
+            # an anti-join by another name: as such it would be moved before the aggregation, and all
+            # rows of a frequent line would be shuffled to it
+            run = self._open(path).select("line_hash", F.lit(True).alias("seen"))
+            new = new.join(run.hint("merge"), "line_hash", "left").filter(F.col("seen").isNull()).drop("seen")
+        return new
+
+    def merged(self, x: str, y: str) -> DataFrame:
+        """The rows of two runs, which share no hash, in the order of both."""
+        left, right = self._open(x), self._open(y).withColumnsRenamed({"line_hash": "other", "first_doc": "other_doc"})
+        return left.join(right.hint("merge"), F.col("line_hash") == F.col("other"), "full").select(
+            F.coalesce("line_hash", "other").alias("line_hash"),
+            F.when(F.col("other").isNull(), F.col("first_doc")).otherwise(F.col("other_doc")).alias("first_doc"))
+
     def _compact(self) -> None:
         level = 0
         while len(own := [run for run in self.runs if run[0] == level]) >= self.fanout:
-            merged = self.spark.read.parquet(*[path for _, path in own])
-            run = self._write(merged.repartition(F.col("line_hash")), level + 1)
-            self.runs = [r for r in self.runs if r not in own] + [run]
+            paths = [path for _, path in own]
+            while len(paths) > 1:
+                # the two that came last are the smallest, where batches are alike
+                paths[-2:] = [self._write(self.merged(*paths[-2:]))]
+            self.runs = [r for r in self.runs if r not in own] + [(level + 1, paths[0])]
             level += 1
 
-    def _write(self, rows: DataFrame, level: int) -> tuple[int, str]:
-        path = f"{self.root}/run-{uuid.uuid4().hex}"
-        rows.sortWithinPartitions("line_hash").write.parquet(path)
-        return level, path
+    def _write(self, rows: DataFrame) -> str:
+        """The rows, which are in their buckets' partitions, as a run: one sorted file per bucket."""
+        name = f"run_{uuid.uuid4().hex}"
+        path = f"{self.root}/{name}"
+        rows.write.bucketBy(self.buckets, "line_hash").sortBy("line_hash").option("path", path).saveAsTable(name)
+        # the catalog's entry goes, the files stay
+        self.spark.sql(f"DROP TABLE {name}")
+        return path
+
+    def _open(self, path: str) -> DataFrame:
+        """A run as a bucketed table; its catalog entry is only needed until it is resolved."""
+        name = f"open_{uuid.uuid4().hex}"
+        register_bucketed(self.spark, name, path, self.columns, "line_hash", self.buckets)
+        run = self.spark.table(name)
+        run.schema  # resolves it
+        self.spark.sql(f"DROP TABLE {name}")
+        return run
 
 
 def line_table(docs: DataFrame, min_key: int = MIN_KEY) -> DataFrame:

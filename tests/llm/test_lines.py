@@ -100,3 +100,47 @@ def test_rules_odd_rows(make_docs, odd_rows):
 
 def test_lower_case_is_ascii_only(spark):
     assert spark.sql("SELECT 'ÀAzZ' AS t").select(ascii_lower("t").alias("t")).first().t == "Àazz"
+
+
+def hashed(spark, numbers):
+    return spark.createDataFrame([(f"{i:04d}".encode(), 1000 + i) for i in numbers], "line_hash binary, doc_id long")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_runs_are_neither_moved_nor_sorted_again(spark, tmp_path):
+    from lodgegrid.llm.line_runs import stored_order
+
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    index = LineRuns(spark, str(tmp_path / "runs"), fanout=4, buckets=8)
+    for low in (0, 100, 200):
+        index.add(hashed(spark, range(low, low + 150)))
+    assert [level for level, _ in index.runs] == [0, 0, 0]
+    with stored_order(spark, 8):
+        new, merged = index.unseen(hashed(spark, range(300, 400))), index.merged(*[path for _, path in index.runs[:2]])
+        plan, merge_plan = plan_of(new), plan_of(merged)
+        assert sorted(r.line_hash for r in new.collect()) == [f"{i:04d}".encode() for i in range(350, 400)]
+    # the batch's own exchange and, for the merges, its own sort
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [line_hash") == 1
+    assert plan.count("SortMergeJoin") == 3 and plan.count("Bucketed: true") == 3
+    # frequent lines are reduced to a row before they move
+    assert plan.index("Exchange hashpartitioning") < plan.index("partial_min")
+    assert "Exchange" not in merge_plan and "Sort [" not in merge_plan and "SortMergeJoin" in merge_plan
+    assert merged.count() == index.table().filter("first_doc < 1250").count() == 250
+    assert spark.conf.get("spark.sql.shuffle.partitions") == own
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("run_", "open_"))]
+
+
+def test_an_index_keeps_its_buckets_in_another_session(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    LineRuns(spark, root, buckets=5).add(hashed(spark, range(50)))
+    LineRuns(spark, root, buckets=5).add(hashed(spark, []))
+    index = LineRuns(spark, root, buckets=16)
+    assert index.buckets == 5
+    index.add(hashed(spark, range(25, 75)))
+    assert [level for level, _ in index.runs] == [1]
+    assert sorted(int(r.first_doc) for r in index.table().collect()) == list(range(1000, 1075))
+    again = LineRuns(spark, root)
+    assert again.buckets == 5 and again.unseen(hashed(spark, range(100))).count() == 25
