@@ -13,9 +13,11 @@ def surrogate_key(*columns: str) -> Column:
     about a billion natural keys; 128 do not. Each part carries its length, and NULL
     differs from every text, so no two natural keys share an input.
     """
-    texts = [f"CAST(`{c}` AS STRING)" for c in columns]
-    parts = ", ".join(f"coalesce(concat(length({t}), ':', {t}), '-')" for t in texts)
-    digest = f"unhex(substring(sha2(concat_ws('|', {parts}), 256), 1, 32))"
+    parts = []
+    for text in (f"CAST(`{c}` AS STRING)" for c in columns):
+        # a NULL text adds nothing to concat_ws
+        parts += ["'|'", f"coalesce(concat(length({text}), ':'), '-')", text]
+    digest = f"unhex(substring(sha2(concat_ws('', {', '.join(parts[1:])}), 256), 1, 32))"
     # never NULL, and declared so: joins on the key then need no not-null filter, which
     # would compute the digest once more
     return F.expr(f"coalesce({digest}, X'')")

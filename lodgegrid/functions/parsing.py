@@ -39,7 +39,8 @@ def whole_number(column: str, to: str = "int") -> str:
     :func:`lodgegrid.operators.audit.cast_rejects`.
     """
     # a fraction of zeros is cut off; any other fraction makes the cast fail
-    return f"try_cast(regexp_replace(`{column}`, '[.]0*$', '') AS {to})"
+    whole = f"CASE WHEN contains(`{column}`, '.') THEN regexp_replace(`{column}`, '[.]0*$', '') ELSE `{column}` END"
+    return f"try_cast({whole} AS {to})"
 
 
 def money(column: str) -> str:

@@ -23,6 +23,7 @@ from ..schemas import (
     PROPERTY_KEY,
     TIME_KEY,
 )
+from ..session import small_methods
 from ..sinks.bucketed import store_bucketed
 from ..sinks.keyed import merge_keyed, read_keyed, write_keyed
 from ..sinks.store import check_schema, materialize, replace_partitions, replace_table
@@ -80,7 +81,7 @@ def typed_listings(raw: DataFrame, parser: Callable[[str], str] = parse) -> Data
     are distinct parts of the raw rows; this form needs no join, and the scan reads
     only the columns a metric uses.
     """
-    return raw.selectExpr(*[f"{parser(f.name)} AS {f.name}" for f in LISTING_SCHEMA])
+    return small_methods(raw).selectExpr(*[f"{parser(f.name)} AS {f.name}" for f in LISTING_SCHEMA])
 
 
 def store_listings(
@@ -140,7 +141,7 @@ def listing_fact(raw: DataFrame, parser: Callable[[str], str] = parse) -> DataFr
     has it (:func:`lodgegrid.sources.listings_csv.read_raw_sources`); exact repeats of a row
     share it and appear in the uniqueness audit.
     """
-    typed = raw.select(
+    typed = small_methods(raw).select(
         surrogate_key(*raw.columns).alias("f_id"),
         *[F.expr(f"{parser(f.name)} AS {f.name}") for f in LISTING_SCHEMA],
     )

@@ -20,13 +20,29 @@ def create_session(app: str = "lodgegrid", master: str | None = None, **settings
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         # the JVM does not compile methods over 8000 bytes, so let Spark split them
-        "spark.sql.codegen.hugeMethodLimit": "8000",
+        "spark.sql.codegen.hugeMethodLimit": str(HUGE_METHOD_BYTES),
     }
     for name, value in {**defaults, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
 
+HUGE_METHOD_BYTES = 8000
+
+
+def small_methods(df: DataFrame) -> DataFrame:
+    """``df``, with the session's generated methods kept to what the JVM compiles.
+
+    A stage with many computed columns becomes one method that is interpreted for every row
+    where it is longer; Spark then runs the stage by operators instead, whose code it splits.
+    The setting stays, since ``df`` is only run later; it changes no result.
+    """
+    setting = "spark.sql.codegen.hugeMethodLimit"
+    if int(df.sparkSession.conf.get(setting)) > HUGE_METHOD_BYTES:
+        df.sparkSession.conf.set(setting, str(HUGE_METHOD_BYTES))
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.joins import null_safe_join
 from ..functions.parsing import missing_to_null
 from ..schemas import BLANK_COLUMNS_BY_MONTH, LISTING_COLUMNS, MONTH_NAMES, text_schema
+from ..session import small_methods
 from ..sinks.store import check_schema, delete_folder, partition_folder, replace_partitions
 from .split_csv import read_split_records
 
@@ -76,7 +77,7 @@ def conform(
 
     kept = {c: value(c) for c in DELIVERED_COLUMNS} | month_columns(year_month)
     extra = [c for c in (SOURCE,) if c in delivered.columns]
-    return delivered.selectExpr(*[f"{v} AS `{c}`" for c, v in kept.items()], *extra)
+    return small_methods(delivered).selectExpr(*[f"{v} AS `{c}`" for c, v in kept.items()], *extra)
 
 
 def add_host_area(listings: DataFrame, lookup: DataFrame) -> DataFrame:
