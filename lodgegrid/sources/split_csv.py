@@ -20,12 +20,14 @@ the file's name and the place in it.
 
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from ..session import shared_dir
@@ -33,13 +35,16 @@ from ..session import shared_dir
 _SPLIT = ["file_path", "split_start"]
 
 # The inside of a quoted field, where two quotes stand for one, and the fields that end
-# on a line. A closed quoted field may go on up to the next comma.
-_QUOTED = '(?:[^"]++|"")*+'
-_FIELDS = f'(?:(?:"{_QUOTED}"[^,]*+|[^",][^,]*+)?,)*+'
+# on a line. A closed quoted field may go on up to the next comma, and its closing quote is
+# one that no quote follows.
+_QUOTED = '(?:[^"]|"")*'
+_CLOSED = '"(?:[^",][^,]*)?,'
+_FIELDS = f'(?:"{_QUOTED}{_CLOSED}|(?:[^",][^,]*)?,)*'
 _OPENS = f'^{_FIELDS}"{_QUOTED}$'
-_STAYS_OPEN = f'^{_QUOTED}(?:$|"[^,]*+,{_FIELDS}"{_QUOTED}$)'
+_STAYS_OPEN = f'^{_QUOTED}(?:$|{_CLOSED}{_FIELDS}"{_QUOTED}$)'
 
 MAX_RECORD_BYTES = 64 << 20
+TASK_BYTES = 32 << 20
 
 _INSIDE = (False, True)  # the two states a split may begin in
 
@@ -79,15 +84,17 @@ def read_split_records(
 
 
 def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The lines of all splits; a task has those of a split together and in order."""
+    """The lines of all splits; a task has those of a split together and in order.
+
+    However small splits are set, a task reads ``TASK_BYTES`` of them where there are many.
+    """
+    size = spark.read.format("binaryFile").load(paths).agg(F.sum("length")).first()[0] or 0
+    tasks = max(4 * spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
     return spark.read.option("lineSep", "\n").text(paths).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("split_start"),
         "value",
-        # the states after the line, for a beginning outside and inside a quoted field
-        F.col("value").rlike(_OPENS).alias("opens"),
-        F.col("value").rlike(_STAYS_OPEN).alias("stays"),
-    )
+    ).coalesce(tasks)
 
 
 def states_before(opens: np.ndarray, stays: np.ndarray, entering: bool) -> tuple[np.ndarray, bool]:
@@ -112,8 +119,13 @@ def _parts(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], pa.RecordBa
         yield (paths.dictionary[int(number[a])].as_py(), int(starts[a])), batch.slice(a, b - a)
 
 
-def _flags(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(part[c].to_numpy(zero_copy_only=False).astype(bool) for c in ("opens", "stays"))
+def line_flags(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The states after each line, for a beginning outside and inside a quoted field."""
+    # bytes, since a text need not be UTF-8
+    own = values.cast(pa.binary())
+    return tuple(
+        pc.match_substring_regex(own, pattern).to_numpy(zero_copy_only=False).astype(bool)
+        for pattern in (_OPENS, _STAYS_OPEN))
 
 
 @dataclass
@@ -195,9 +207,10 @@ def _borders(lines: DataFrame, limit: int) -> DataFrame:
                     if split:
                         yield row(split, folds)
                     split, folds, read = own, tuple(_Fold(state, limit) for state in _INSIDE), own[1]
-                sizes = np.array([len(v) + 1 for v in part["value"].cast(pa.binary()).to_pylist()])
+                flags = line_flags(part["value"])
+                sizes = pc.binary_length(part["value"].cast(pa.binary())).to_numpy().astype(np.int64) + 1
                 for fold in folds:
-                    fold.add(part["value"], *_flags(part), sizes, read)
+                    fold.add(part["value"], *flags, sizes, read)
                 read += int(sizes.sum())
         if split:
             yield row(split, folds)
@@ -247,7 +260,7 @@ def _inner_records(lines: DataFrame, inside: dict[str, set[int]], limit: int) ->
                 if own != split:
                     # what is pending belongs to the border of the split before
                     split, state, number, pending, held = own, own[1] in known.value.get(own[0], ()), 0, [], 0
-                before, state = states_before(*_flags(part), state)
+                before, state = states_before(*line_flags(part["value"]), state)
                 begins = np.flatnonzero(~before).tolist()
                 values = part["value"].cast(pa.binary()).to_pylist()
                 texts = []
