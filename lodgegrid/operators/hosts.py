@@ -75,12 +75,7 @@ def mortgage_cover(
     ``split_above`` revenues is joined in several parts, so that its combinations do not
     all arise in one task.
     """
-    host_areas = listings.select("host_id", "neighbourhood_cleansed").distinct()
-    host_revenues = (
-        listings.select("host_id", number_of_stays(), "price")
-        .select("host_id", listing_revenue().alias("estimated_revenue"))
-        .distinct()
-    )
+    host_revenues = _host_revenues(listings)
     large = (
         host_revenues.groupBy("host_id")
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -89,7 +84,7 @@ def mortgage_cover(
     )
     parts = "coalesce(_parts, 1)"
     mortgages = (
-        host_areas.join(mortgage_by_area(lga, census), "neighbourhood_cleansed")
+        _host_mortgages(listings, lga, census)
         .join(large, "host_id", "left")
         .withColumn("_part", F.expr(f"explode(sequence(0, {parts} - 1))"))
         .drop("_parts")
@@ -102,6 +97,21 @@ def mortgage_cover(
     return _covered(revenues.join(mortgages, ["host_id", "_part"]))
 
 
+def _host_mortgages(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:
+    """The mortgages in each host's different areas."""
+    host_areas = listings.select("host_id", "neighbourhood_cleansed").distinct()
+    return host_areas.join(mortgage_by_area(lga, census), "neighbourhood_cleansed")
+
+
+def _host_revenues(listings: DataFrame) -> DataFrame:
+    """Each host's different listing revenues."""
+    return (
+        listings.select("host_id", number_of_stays(), "price")
+        .select("host_id", listing_revenue().alias("estimated_revenue"))
+        .distinct()
+    )
+
+
 def mortgage_cover_one_listing(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:
     """:func:`mortgage_cover` for hosts with one listing id.
 
@@ -143,31 +153,23 @@ def mortgage_cover_count(listings: DataFrame, lga: DataFrame, census: DataFrame)
     revenues that stand before it, and covered by the others. So a host costs a sort of what
     it has, not its areas times its revenues.
     """
-    host_areas = listings.select("host_id", "neighbourhood_cleansed").distinct()
-    mortgages = host_areas.join(mortgage_by_area(lga, census), "neighbourhood_cleansed").select(
+    mortgages = _host_mortgages(listings, lga, census).select(
         "host_id", F.col("annualised_median_mortgage_repay").alias("_value"), F.lit(0).alias("_revenues"), F.lit(1).alias("_mortgages"))
-    revenues = (
-        listings.select("host_id", number_of_stays(), "price")
-        .select("host_id", listing_revenue().alias("_value"))
-        .distinct()
-        .select("host_id", "_value", F.lit(1).alias("_revenues"), F.lit(0).alias("_mortgages"))
-    )
-    # equal values meet in one row per host; a missing revenue covers nothing, a missing mortgage is not covered
-    points = revenues.unionByName(mortgages).filter("host_id IS NOT NULL").groupBy(
-        "host_id", F.col("_value").cast("decimal(38,4)").alias("_value")
-    ).agg(F.sum("_revenues").alias("_revenues"), F.sum("_mortgages").alias("_mortgages"))
-    host = Window.partitionBy("host_id")
-    # missing first: the revenue among them stands before every mortgage
-    before = host.orderBy(F.col("_value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    revenues = _host_revenues(listings).select(
+        "host_id", F.col("estimated_revenue").alias("_value"), F.lit(1).alias("_revenues"), F.lit(0).alias("_mortgages"))
+    # a host's points are only sorted, which needs far less memory than a hash table of all hosts' values
+    points = revenues.unionByName(mortgages).filter("host_id IS NOT NULL").withColumn(
+        "_value", F.col("_value").cast("decimal(38,4)"))
+    # a mortgage stands before a revenue equal to it, which covers it; a missing revenue, which covers nothing,
+    # before every mortgage, and a missing mortgage, which is not covered, after every revenue
+    missing = F.when(F.col("_value").isNotNull(), 0).otherwise(F.col("_mortgages") - F.col("_revenues"))
+    before = Window.partitionBy("host_id").orderBy(missing, "_value", "_revenues").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     placed = points.select(
-        "_mortgages",
-        F.col("_value").isNull().alias("_missing"),
-        F.coalesce(F.sum("_revenues").over(before), F.lit(0)).alias("_below"),
-        F.sum("_revenues").over(host).alias("_all"),
-    ).filter("_mortgages > 0")
-    uncovered = F.col("_mortgages") * F.when(F.col("_missing"), F.col("_all")).otherwise(F.col("_below"))
-    total = F.col("_mortgages") * F.col("_all")
-    sums = placed.agg(F.sum(total - uncovered).alias("yes"), F.sum(uncovered).alias("no"))
+        (F.col("_revenues") * F.sum("_mortgages").over(before)).alias("_yes"),
+        (F.col("_mortgages") * F.sum("_revenues").over(before)).alias("_no"),
+    )
+    sums = placed.agg(F.sum("_yes").alias("yes"), F.sum("_no").alias("no"))
     flags = F.array(
         F.struct(F.lit(1).alias("covered"), F.col("yes").alias("count")), F.struct(F.lit(0).alias("covered"), F.col("no").alias("count")))
     return sums.select(F.inline(flags)).filter("count > 0")

@@ -1,6 +1,7 @@
 """Covered counts without pairs equal the counts of the pairs."""
 
 import random
+import re
 
 import pytest
 
@@ -60,3 +61,9 @@ def test_a_hot_host_forms_no_pairs(listings, lga, census):
     facts = listings(*[{"host_id": "hot", "neighbourhood_cleansed": a, "price": p} for a in "ABC" for p in range(300)])
     plan = hosts.mortgage_cover_count(facts, lga, census)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Join") == 2  # areas to census codes, both by area, and none on the host
+
+
+def test_points_of_a_host_are_sorted_not_hashed(listings, lga, census):
+    """Only the different areas and revenues are hashed: a table of all hosts' values grew with the rows of a task."""
+    plan = hosts.mortgage_cover_count(listings({}), lga, census)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and not re.search(r"keys=\[host_id#\d+, _value#", plan)
