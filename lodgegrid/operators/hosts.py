@@ -97,6 +97,28 @@ def mortgage_cover(
     return _covered(revenues.join(mortgages, ["host_id", "_part"]))
 
 
+def mortgage_cover_by_revenue(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:
+    """:func:`mortgage_cover` in descending order of revenue, missing ones first.
+
+    A pair's place depends on its revenue alone. So a host's areas become bits, revenues are put in order with
+    the bits of their host beside them, and the pairs arise afterwards, where their revenue stands: sorting the
+    pairs would shuffle each of them, and form them twice, once for the sample. Equal revenues are spread by host.
+    """
+    # a number per area of the list, which is a dimension
+    numbered = mortgage_by_area(lga, census).withColumn(
+        "_area", F.dense_rank().over(Window.orderBy("neighbourhood_cleansed")) - 1)
+    places = numbered.select(
+        "neighbourhood_cleansed", F.expr("_area div 32").alias("_word"), (F.col("_area") % 32).alias("_bit")).distinct()
+    host_areas = listings.select("host_id", "neighbourhood_cleansed").join(places, "neighbourhood_cleansed").groupBy(
+        "host_id", "_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    placed = _host_revenues(listings).join(host_areas, "host_id").orderBy(
+        F.col("estimated_revenue").desc_nulls_first(), "host_id")
+    pairs = placed.select("*", F.expr("explode(sequence(0, 31)) AS _bit")).filter("bit_get(_bits, _bit) = 1").withColumn(
+        "_area", F.expr("int(_word * 32 + _bit)"))
+    # the area list has to come to the rows, since moving them would undo their order
+    return _covered(pairs.join(F.broadcast(numbered), "_area"))
+
+
 def _host_mortgages(listings: DataFrame, lga: DataFrame, census: DataFrame) -> DataFrame:
     """The mortgages in each host's different areas."""
     host_areas = listings.select("host_id", "neighbourhood_cleansed").distinct()

@@ -34,6 +34,8 @@ class View:
     grain: tuple[str, ...] = ()
     descending: tuple[str, ...] = ()
     stored: bool = True
+    # how to build it in its presentation order, where that is less work than sorting its rows
+    in_order: Callable[[Inputs], DataFrame] | None = None
 
     def ordering(self) -> list[Column]:
         """Missing values sort as the largest."""
@@ -135,6 +137,7 @@ VIEWS: dict[str, View] = (
             lambda i: hosts.mortgage_cover(i.listings, i.lga, i.census),
             descending=("estimated_revenue",),
             stored=False,
+            in_order=lambda i: hosts.mortgage_cover_by_revenue(i.listings, i.lga, i.census),
         ),
         "q4_d_3_revenue_cover_mortgage_hosts_with_one_listing": View(_one_listing, stored=False),
         "q4_d_4_cover_count": View(
@@ -147,6 +150,8 @@ VIEWS: dict[str, View] = (
 def view(name: str, inputs: Inputs, ordered: bool = False) -> DataFrame:
     """A result by name. ``ordered`` adds its presentation order, one more shuffle."""
     spec = VIEWS[name]
+    if ordered and spec.in_order:
+        return spec.in_order(inputs)
     result = spec.build(inputs)
     ordering = spec.ordering()
     return result.orderBy(*ordering) if ordered and ordering else result
