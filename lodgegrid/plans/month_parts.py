@@ -19,7 +19,8 @@ def store_month_parts(listings: DataFrame, folder: str, keys: list[str], months:
     rows are removed. Hosts get numbers that they keep.
     """
     spark = listings.sparkSession
-    grain = [*keys, m.TIME]
+    # rows grouped in the order of the months are written to them as they come
+    grain = [m.TIME, *keys]
     covers = [(month,) for month in months]
     numbers = spans.number_hosts(spark, f"{folder}/host_numbers", listings)
     replace_partitions(spans.price_histogram(listings, grain), f"{folder}/month_prices", _BY, covers)

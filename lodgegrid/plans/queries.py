@@ -464,8 +464,9 @@ def star_bucketed_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 def _month_parts(spark: SparkSession, folder: str) -> str:
     """Month parts of all listings; the last year is stored twice, as a reload would."""
-    facts = tm.listings(
-        spark, folder, "neighbourhood_cleansed", "year_month", "price", "host_id", "host_is_superhost")
+    # each store reads its listings several times: joined once, written narrow
+    facts = cut_lineage(tm.listings(
+        spark, folder, "neighbourhood_cleansed", "year_month", "price", "host_id", "host_is_superhost"), "facts")
     path = scratch_path(spark, "month-parts")
     keys = ["neighbourhood_cleansed"]
     month_parts.store_month_parts(facts.filter("year_month < 199801"), path, keys)

@@ -7,7 +7,7 @@ from statistics import median_low
 import pytest
 
 from lodgegrid.operators import spans
-from lodgegrid.plans import month_parts, warehouse as w
+from lodgegrid.plans import month_parts, queries, warehouse as w
 from lodgegrid.schemas import LISTING_COLUMNS, RAW_LISTING_SCHEMA
 from lodgegrid.sinks.bucketed import register_bucketed
 
@@ -91,6 +91,23 @@ def test_numbers_over_many_buckets(spark, listings):
     assert all(abs(r.distinct_host_count - 70_000 / 3) < 0.05 * 70_000 / 3 for r in about) and len(about) == 3
 
 
+def test_span_queries_join_the_listings_once(spark, tmp_path, monkeypatch):
+    facts = spark.createDataFrame(
+        [("A", 199601, Decimal(5), "h", "t"), ("A", 199701, Decimal(7), "g", "f"), ("B", 199812, None, "h", "f")],
+        "neighbourhood_cleansed string, year_month int, price decimal(19,2), host_id string, host_is_superhost string")
+    monkeypatch.setattr(queries.tm, "listings", lambda *_: facts.join(facts.select("host_id").distinct(), "host_id").select(*facts.columns))
+    plans, store = [], month_parts.store_month_parts
+
+    def seen(part, *rest):
+        plans.append(part._jdf.queryExecution().optimizedPlan().toString())
+        store(part, *rest)
+
+    monkeypatch.setattr(month_parts, "store_month_parts", seen)
+    assert rows(queries.span_distinct_hosts(spark, str(tmp_path))) == [("A", 2, 0.5), ("B", 1, 0.0)]
+    assert rows(queries.span_price_stats(spark, str(tmp_path))) == [("A", 5.0, 7.0, 5.0, 6.0), ("B", None, None, None, None)]
+    assert len(plans) == 6 and not [p for p in plans if "Join" in p]
+
+
 def test_bucketed_join_moves_nothing(spark, tmp_path):
     plain = {c: "x" for c in LISTING_COLUMNS} | {
         "month": "May", "year_month": "202005", "year": "2020", "accommodates": "2", "availability_30": "20",
