@@ -45,13 +45,20 @@ def number_hosts(spark: SparkSession, path: str, hosts: DataFrame) -> DataFrame:
 def host_bitmaps(listings: DataFrame, numbers: DataFrame, keys: list[str]) -> DataFrame:
     """``keys, bucket, hosts, superhosts``: the hosts of each group, and those that were superhost in it.
 
-    A bucket is the bitmap of 32,768 host numbers, 4 KB before compression.
+    A bucket is the bitmap of 32,768 host numbers, 4 KB before compression. Rows meet by group and bucket
+    as plain numbers, so that each bitmap arises in one task only: combined on the map side, every task
+    would send bitmaps of all groups and buckets, whose number grows with the hosts.
     """
     numbered = listings.select(*keys, "host_id", "host_is_superhost").join(numbers, "host_id", "left")
-    position = "bitmap_bit_position(number)"
-    return numbered.groupBy(*keys, F.bitmap_bucket_number("number").alias("bucket")).agg(
-        F.expr(f"bitmap_construct_agg({position})").alias("hosts"),
-        F.expr(f"bitmap_construct_agg(CASE WHEN host_is_superhost = 't' THEN {position} END)").alias("superhosts"))
+    together = numbered.select(
+        *keys,
+        F.bitmap_bucket_number("number").alias("bucket"),
+        F.bitmap_bit_position("number").alias("_position"),
+        (F.col("host_is_superhost") == "t").alias("_super"),
+    ).repartition(*keys, "bucket")
+    return together.groupBy(*keys, "bucket").agg(
+        F.bitmap_construct_agg("_position").alias("hosts"),
+        F.bitmap_construct_agg(F.when(F.col("_super"), F.col("_position"))).alias("superhosts"))
 
 
 def hosts_over(bitmaps: DataFrame, keys: list[str]) -> DataFrame:

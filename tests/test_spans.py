@@ -91,6 +91,14 @@ def test_numbers_over_many_buckets(spark, listings):
     assert all(abs(r.distinct_host_count - 70_000 / 3) < 0.05 * 70_000 / 3 for r in about) and len(about) == 3
 
 
+def test_bitmaps_arise_where_they_are_complete(spark, listings):
+    """Tasks exchange host numbers; bitmaps of every group from every task grew with the hosts times the tasks."""
+    numbers = spark.createDataFrame([("h", 0)], "host_id string, number long")
+    found = spans.host_bitmaps(listings({}, {"host_id": "other"}), numbers, ["year_month", *KEYS])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_bitmap_construct_agg") < plan.index("Exchange")
+
+
 def test_span_queries_join_the_listings_once(spark, tmp_path, monkeypatch):
     facts = spark.createDataFrame(
         [("A", 199601, Decimal(5), "h", "t"), ("A", 199701, Decimal(7), "g", "f"), ("B", 199812, None, "h", "f")],
