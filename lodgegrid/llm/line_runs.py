@@ -33,7 +33,7 @@ from lodgegrid.session import cut_lineage, scratch_path
 from lodgegrid.sinks.bucketed import register_bucketed
 from lodgegrid.sinks.store import read_version, versions, write_version
 
-from .common import SPACE_CHARS, ascii_lower, boxed, documents, let, unboxed
+from .common import SPACE_CHARS, ascii_lower, boxed, documents, let, small_table, unboxed
 
 MIN_KEY = 10
 BATCHES = 4
@@ -88,8 +88,8 @@ class LineRuns:
         with stored_order(self.spark, self.buckets):
             self.runs.append((0, self._write(self.unseen(keys))))
             self._compact()
-        state = self.spark.createDataFrame(
-            [(level, path, self.buckets, self.columns) for level, path in self.runs],
+        state = small_table(
+            self.spark, [(level, path, self.buckets, self.columns) for level, path in self.runs],
             "level int, path string, buckets int, columns string")
         write_version(state.coalesce(1), f"{self.root}/runs")
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lodgegrid.session import cut_lineage
 
-from .common import WORD_PATTERN, boxed, documents, small_batches, unboxed
+from .common import WORD_PATTERN, boxed, documents, small_batches, small_table, unboxed
 from .feistel import permute, unpermute
 
 WEIGHTS = (5, 2, 1)
@@ -204,7 +204,7 @@ def placed_documents(sized: DataFrame, sources: list[Source], seed: int = SEED)
     Positions are sums within pseudorandom buckets of bounded size on top of sums over buckets.
     """
     spark = sized.sparkSession
-    ranks = spark.createDataFrame([(s.rank, s.name) for s in sources], "rank int, _name string")
+    ranks = small_table(spark, [(s.rank, s.name) for s in sources], "rank int, _name string")
     buckets = max(1, math.ceil(sized.count() / BUCKET_DOCS))
     counted = (
         sized.join(ranks, F.col("source").eqNullSafe(F.col("_name"))).drop("_name")
@@ -284,17 +284,18 @@ def mixed_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
         return pd.Series([
             _cut(t, merged_runs([(s["turn"], s["word_from"], s["n_words"]) for s in own])) for t, own in zip(text, runs)])
 
-    keyed = boxed(small_batches(docs), F.col("doc_id").alias("id"), F.col("text").alias("own_text"),
-                  F.xxhash64("text").alias("own_hash"), F.col("source").cast("string").alias("own_source"))
+    # the text moves in ``doc`` alone
+    keyed = boxed(small_batches(docs), F.col("doc_id").alias("id"), F.xxhash64("text").alias("own_hash"),
+                  F.col("source").cast("string").alias("own_source"))
     # one row stands for all copies, once per block of them
     single = keyed.groupBy("id", "own_hash", "own_source").agg(
-        F.first("doc").alias("doc"), F.first("own_text").alias("own_text"), F.count(F.lit(1)).alias("n")).withColumn(
+        F.first("doc").alias("doc"), F.count(F.lit(1)).alias("n")).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPY_BLOCK))))
     rows = single.join(
         taken,
         F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
         & F.col("own_source").eqNullSafe(F.col("source")) & (F.col("block") == F.col("copies")))
-    cut = rows.select("doc", F.explode(parts("own_text", "spans")).alias("part"))
+    cut = rows.select("doc", F.explode(parts("doc.text", "spans")).alias("part"))
     new = {"text": F.col("part")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.char_length("part").cast(docs.schema["n_chars"].dataType)
@@ -303,8 +304,8 @@ def mixed_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     spans, sources = mix(documents(spark, folder))
-    table = spark.createDataFrame(
-        [(s.rank, s.words, s.target) for s in sources], "rank int, source_size long, target double")
+    table = small_table(
+        spark, [(s.rank, s.words, s.target) for s in sources], "rank int, source_size long, target double")
     taken = spans.groupBy("rank", "first", "doc_id", "text_hash", "size", "copy").agg(
         F.sum("n_words").alias("taken"))
     return taken.join(table, "rank").select("doc_id", "size", "source_size", "target", "taken")

@@ -204,9 +204,11 @@ def classify(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: floa
 def keep_good(docs: DataFrame, labels: DataFrame, folds: int = 5, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score at least ``threshold``, with all their columns.
 
-    The texts are read twice instead of being joined to their scores, so none is shuffled.
+    The texts are read twice instead of being joined to their scores, so none is shuffled. The vectors
+    are written before they are summed: where the labels are broadcast, one task would else hold two
+    Python workers, and an executor keeps all it has started.
     """
-    model = learn(_with_fold(feature_table(docs), folds), labels)
+    model = learn(_with_fold(cut_lineage(feature_table(docs), "qda-features"), folds), labels)
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
