@@ -3,8 +3,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
+from lodgegrid.llm import bloom_lm
 from lodgegrid.llm.bloom_lm import Filter, build_segment, levels_of, lm_scores, portion_of, word_hashes
 
 
@@ -146,3 +148,31 @@ def test_ids_of_any_type_and_size(make_docs):
     for broadcast_bytes in (1 << 30, 0):
         found = lm_scores(make_docs(rows), broadcast_bytes=broadcast_bytes).collect()
         assert {r.doc_id for r in found} == {2**60 + 1, None, 2**60 + 3}
+
+
+def test_portions_are_gathered_for_the_segments(make_docs, monkeypatch):
+    monkeypatch.setattr(bloom_lm, "PORTION_BYTES", 200)
+    rows = [(i, " ".join(f"w{(i * 7 + j) % 40}" for j in range(60))) for i in range(60)]
+    batches = [make_docs(rows).coalesce(1).select("doc_id", "text").toArrow().to_batches()[0]]
+    small = [own for batch in batches for _, own in bloom_lm.portions(batch)]
+    found = list(bloom_lm.gathered(iter(batches)))
+    assert len(small) > 20 and len(found) == 1
+    assert found[0][0] == {"doc_id": list(range(60))}
+    assert found[0][1].tokens.tolist() == np.concatenate([p.tokens for p in small]).tolist()
+    monkeypatch.setattr(bloom_lm, "GATHERED_TOKENS", 200)
+    parts = list(bloom_lm.gathered(iter(batches)))
+    assert len(parts) > 5 and sum((ids["doc_id"] for ids, _ in parts), []) == list(range(60))
+    assert all(len(own.tokens) <= 200 or len(own.sizes) <= 4 for _, own in parts)
+
+
+def test_a_segment_is_probed_once_for_all_portions(monkeypatch):
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 2**63, 3000, dtype=np.uint64)
+    blob = build_segment(ids, rng.geometric(0.3, 3000)).tobytes()
+    one = Filter(np.frombuffer(blob, np.uint64), np.array([0, len(blob) // 8]))
+    portions = [ids[a : a + 30] for a in range(0, 3000, 25)] + [rng.integers(0, 2**63, 40, dtype=np.uint64), ids[:0]]
+    expected = [one.levels(p).astype(np.uint8).tobytes() for p in portions]
+    calls, plain = [], Filter.levels
+    monkeypatch.setattr(Filter, "levels", lambda self, asked: calls.append(len(asked)) or plain(self, asked))
+    assert bloom_lm.answers_of(blob, pd.Series([p.tobytes() for p in portions])) == expected
+    assert calls == [sum(map(len, portions))]
