@@ -6,7 +6,8 @@ Decimals leave as doubles so that results compare across engines.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -15,7 +16,7 @@ from ..operators import audit, hosts, metrics as m
 from ..operators.census import SHARES
 from ..operators.upsert import upsert
 from ..schemas import HOST_KEY, LISTING_COLUMNS, LISTING_SCHEMA, PROPERTY_KEY, TIME_KEY
-from ..session import cut_lineage, scratch_path
+from ..session import cut_lineage, scratch_path, shuffles_released
 from ..sinks import store
 from ..sources.census_csv import read_columns
 from ..sources.listings_csv import (
@@ -24,6 +25,7 @@ from ..sources.listings_csv import (
     add_host_area,
     conform,
     load_snapshots,
+    month_of_file,
     read_lookup,
     read_raw,
     with_year_month,
@@ -154,6 +156,26 @@ def _change_by_group(grain: list[str], flag: str) -> Query:
 
 # --- load -----------------------------------------------------------------------
 
+# Months are put together in slices of about this many stored bytes; in a shuffle they take about five times as many.
+_SLICE_BYTES = 1 << 30
+
+
+def _month_slices(delivered: DataFrame) -> Iterator[DataFrame]:
+    """The delivered rows in slices of whole months, each to be written before the next is taken.
+
+    The rows are stored once, narrow, so that the joins' shuffles are gone before the months are put
+    together, and only a slice's rows are in a shuffle at a time. They are removed at the end.
+    """
+    spark = delivered.sparkSession
+    kept = scratch_path(spark, "delivered")
+    with shuffles_released(spark):
+        delivered.write.parquet(kept)
+    rows = spark.read.schema(delivered.schema).parquet(kept)
+    slices = math.ceil(max(1, store.stored_bytes(spark, kept)) / _SLICE_BYTES)
+    for number in range(slices):
+        yield rows.filter(F.pmod(F.xxhash64("snapshot"), F.lit(slices)) == number)
+    store.delete_folder(spark, kept)
+
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
     """All-text listings with their host area, as the raw table holds them."""
@@ -248,10 +270,15 @@ def _month_files(
     layout = [F.col(c) if c in delivered.columns else F.lit(None).cast("string").alias(c) for c in columns]
     name = F.format_string("%02d_%d", F.col("snapshot") % 100, F.floor(F.col("snapshot") / 100))
     month = delivered if later is None else delivered.filter((F.col("snapshot") >= 199507) == later)
-    parts, incoming = scratch_path(spark, "csv"), scratch_path(spark, "incoming")
-    month.select(*layout, name.alias("month_name")).repartition("month_name").write.partitionBy(
-        "month_name").options(header=True, quote='"', escape='"').csv(parts)
-    store.collect_files(spark, parts, "month_name", incoming)
+    incoming = scratch_path(spark, "incoming")
+    for own in _month_slices(month):
+        parts = scratch_path(spark, "csv")
+        # rows move and are sorted without the layout's empty columns, in the order the writer needs
+        together = own.withColumn("month_name", name).repartition("month_name").sortWithinPartitions("month_name")
+        with shuffles_released(spark):
+            together.select(*layout, "month_name").write.partitionBy("month_name").options(
+                header=True, quote='"', escape='"').csv(parts)
+        store.collect_files(spark, parts, "month_name", incoming)
     return incoming
 
 
@@ -296,9 +323,9 @@ _EARLY_LAYOUT = ["zipcode", "square_feet", *[c for c in DELIVERED_COLUMNS[::-1]
 def snapshot_load_layouts(spark: SparkSession, folder: str) -> DataFrame:
     """Month files of two layouts in one load; the earlier months' absent columns load as blanks."""
     incoming = _month_files(spark, folder, later=False, columns=_EARLY_LAYOUT)
+    early = [month_of_file(name) for name in store.child_names(spark, incoming)]
     store.move_files(spark, _month_files(spark, folder, later=True), incoming)
-    months = tm.delivered_listings(spark, folder).filter("snapshot < 199507").select("snapshot").distinct()
-    blanks = {r.snapshot: _EARLY_BLANKS for r in months.collect()}  # a few dozen months
+    blanks = dict.fromkeys(early, _EARLY_BLANKS)  # a few dozen months
     raw = scratch_path(spark, "raw")
     load_snapshots(spark, incoming, _lookup_file(spark, folder), raw, blanks=blanks)
     return read_raw(spark, raw).select(*_LOADED, "bedrooms", "amenities")

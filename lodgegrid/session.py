@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,6 +45,25 @@ def small_methods(df: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Removes a query's shuffle files once it has ended, for what is written within.
+
+    Else they stay until the driver's JVM happens to collect the plan, and a job of several
+    writes holds the shuffles of all of them on disk. Nothing that is written is read from them again.
+    """
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    usual = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        if usual is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, usual)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
@@ -70,5 +91,6 @@ def cut_lineage(df: DataFrame, label: str) -> DataFrame:
     Everything downstream then sees one fixed set of rows, also after executors are lost.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ..functions.joins import null_safe_join
 from ..operators.upsert import upsert
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffles_released
 from .store import child_names, delete_folder, read_version, versions, write_version
 
 _PART = "_part"
@@ -95,7 +95,8 @@ def _write(df: DataFrame, path: str, key: list[str], parts: int, others: dict[in
     written = done[-1] + 1 if done else 1
     data = f"{path}/data/written={written}"
     placed = df.withColumn(_PART, part_of(key, parts)).repartition(_PART)
-    placed.write.mode("overwrite").partitionBy(_PART).parquet(data)
+    with shuffles_released(spark):
+        placed.write.mode("overwrite").partitionBy(_PART).parquet(data)
     own = [int(name.removeprefix(f"{_PART}=")) for name in child_names(spark, data) if name.startswith(f"{_PART}=")]
     where = others | dict.fromkeys(own, written) | {-1: written}
     rows = [(part, at, parts, key, df.schema.json()) for part, at in sorted(where.items())]

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..session import shuffles_released
+
 
 def check_schema(df: DataFrame, declared: StructType) -> DataFrame:
     """``df`` in the declared column order; raises on a missing column or another type."""
@@ -39,12 +41,13 @@ def replace_partitions(
     spark = df.sparkSession
     folders = {values: f"{path}/{partition_folder(spark, by, values)}" for values in covers}
     before = {values: child_names(spark, folder) for values, folder in folders.items()}
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    with shuffles_released(spark):
+        (
+            df.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*by)
+            .parquet(path)
+        )
     # a partition that was written has other files now
     left = [v for v, folder in folders.items() if before[v] and child_names(spark, folder) == before[v]]
     for values in left:
@@ -61,7 +64,8 @@ def partition_folder(spark: SparkSession, by: list[str], values: tuple) -> str:
 def replace_table(df: DataFrame, path: str, by: Iterable[str] = ()) -> None:
     """Write ``df`` beside the table and put it in its place once it is complete."""
     spark = df.sparkSession
-    df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}_next")
+    with shuffles_released(spark):
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{path}_next")
     delete_folder(spark, path)
     files, source = _folder(spark, f"{path}_next")
     if not files.rename(source, _folder(spark, path)[1]):
@@ -76,6 +80,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.listStatus(root))
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a folder."""
+    files, root = _folder(spark, path)
+    return files.getContentSummary(root).getLength()
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, folder = _folder(spark, path)
     files.delete(folder, True)
@@ -145,7 +155,8 @@ def write_version(df: DataFrame, path: str, keep: int | None = None) -> int:
     spark = df.sparkSession
     done = versions(spark, path)
     version = done[-1] + 1 if done else 1
-    df.write.mode("overwrite").parquet(f"{path}/version={version}")
+    with shuffles_released(spark):
+        df.write.mode("overwrite").parquet(f"{path}/version={version}")
     if keep:
         for old in [*done, version][:-keep]:
             delete_folder(spark, f"{path}/version={old}")
