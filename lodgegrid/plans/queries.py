@@ -15,7 +15,7 @@ from ..functions.parsing import money
 from ..operators import audit, hosts, metrics as m
 from ..operators.census import SHARES
 from ..operators.upsert import upsert
-from ..schemas import HOST_KEY, LISTING_COLUMNS, LISTING_SCHEMA, PROPERTY_KEY, TIME_KEY
+from ..schemas import HOST_KEY, LISTING_COLUMNS, LISTING_SCHEMA, PROPERTY_KEY, RAW_LISTING_SCHEMA, TIME_KEY
 from ..session import cut_lineage, scratch_path, shuffles_released
 from ..sinks import store
 from ..sources.census_csv import read_columns
@@ -179,7 +179,10 @@ def _month_slices(delivered: DataFrame) -> Iterator[DataFrame]:
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
     """All-text listings with their host area, as the raw table holds them."""
-    delivered = tm.delivered_listings(spark, folder)
+    return _raw_of(spark, folder, tm.delivered_listings(spark, folder))
+
+
+def _raw_of(spark: SparkSession, folder: str, delivered: DataFrame) -> DataFrame:
     return add_host_area(
         conform(delivered, "snapshot"), tm.suburb_lookup(spark, folder)
     ).select(*LISTING_COLUMNS)
@@ -417,9 +420,13 @@ def star_add_months(spark: SparkSession, folder: str) -> DataFrame:
 
     The months added overlap the months built by one year.
     """
-    # rows of a month together, so that few tasks write each month; a large one is split
-    by_month = _raw(spark, folder).hint("rebalance", F.col("year_month"))
-    raw = cut_lineage(by_month, "raw")
+    stored = scratch_path(spark, "raw")
+    for own in _month_slices(tm.delivered_listings(spark, folder)):
+        # rows of a month together, so that few tasks write each month; a large one is split
+        by_month = _raw_of(spark, folder, own.hint("rebalance", F.col("snapshot")))
+        with shuffles_released(spark):
+            by_month.write.mode("append").parquet(stored)
+    raw = spark.read.schema(RAW_LISTING_SCHEMA).parquet(stored)
     path = scratch_path(spark, "star")
     w.build_star(raw.filter("year <= '1998'"), path)
     w.add_months(raw.filter("year >= '1998'"), path)
